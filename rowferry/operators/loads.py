@@ -49,7 +49,7 @@ def delta_effect(
     )
 
 
-def batch_metrics(rows: DataFrame, keys: str | Sequence[str], accepted: str, size: int) -> DataFrame:
+def batch_metrics(rows: DataFrame, keys: str | Sequence[str], accepted: str, size: int, done: int = 0) -> DataFrame:
     """Rows processed, inserted and rejected per key-ordered batch.
 
     ``rows`` has the key and a boolean column naming the accepted ones.
@@ -57,7 +57,7 @@ def batch_metrics(rows: DataFrame, keys: str | Sequence[str], accepted: str, siz
     keys = as_keys(keys)
     last = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
     return (
-        with_batches(rows.select(*keys, accepted), keys, size)
+        with_batches(rows.select(*keys, accepted), keys, size, done)
         .groupBy("batch_no")
         .agg(
             F.count(F.lit(1)).alias("rows_processed"),
@@ -76,4 +76,4 @@ def load_progress(metrics: DataFrame, total: int) -> DataFrame:
     window over the batches is needed. Without rows the share is NULL.
     """
     share = F.try_divide(F.col("rows_done") * 100.0, F.lit(total).cast("long"))
-    return metrics.select("batch_no", "rows_done", F.round(share, 2).alias("pct"))
+    return metrics.withColumn("pct", F.round(share, 2))

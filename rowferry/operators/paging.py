@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowferry.functions.keys import after, as_keys, total_order
 from rowferry.sources.workdir import write_through
@@ -106,8 +107,9 @@ def offset_page(df: DataFrame, offset: int, size: int) -> DataFrame:
 
 
 def key_cuts(df: DataFrame, key: str, ranges: int) -> list:
-    """At most ``ranges - 1`` approximate quantiles of a numeric or time key."""
-    if ranges < 2:
+    """At most ``ranges - 1`` approximate quantiles; none for other key types
+    than numbers and times."""
+    if ranges < 2 or not isinstance(df.schema[key].dataType, (T.NumericType, T.DatetimeType)):
         return []
     shares = [i / ranges for i in range(1, ranges)]
     cuts = df.agg(F.percentile_approx(key, shares, 10_000)).first()[0] or []

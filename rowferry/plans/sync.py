@@ -155,14 +155,23 @@ def _load(source: DataFrame, existing: DataFrame | None, dest: DestTable, run_id
     return rows, done["last"]
 
 
-def _save_batches(job: JobSpec, store: S.StateStore, rows: DataFrame, dest: DestTable, result: RunResult) -> None:
+def _save_batches(
+    job: JobSpec,
+    store: S.StateStore,
+    rows: DataFrame,
+    dest: DestTable,
+    result: RunResult,
+    total: int,
+    rows_before: int = 0,
+    batches_before: int = 0,
+) -> None:
+    """Batch counters of the rows just loaded, counted on from earlier ones."""
     keys = dest.spec.primary_key
-    metrics = batch_metrics(
-        rows.withColumn("accepted", F.col("_reason").isNull()), keys, "accepted", job.batch_size
-    )
-    progress = load_progress(metrics, result.rows_processed).select("batch_no", "pct")
+    outcome = rows.withColumn("accepted", F.col("_reason").isNull())
+    metrics = batch_metrics(outcome, keys, "accepted", job.batch_size, batches_before)
+    metrics = metrics.withColumn("rows_done", F.col("rows_done") + F.lit(rows_before))
     last = key_text("last_pk") if len(keys) == 1 else F.to_json("last_pk")
-    table = metrics.join(progress, "batch_no").select(
+    table = load_progress(metrics, total).select(
         F.lit(job.name).alias("job"),
         F.lit(result.run_id).alias("run_id"),
         "batch_no",
@@ -201,6 +210,8 @@ def full_load(
         result.rows_processed, result.rows_inserted = point["rows_processed"], point["rows_inserted"]
         source = source.where(after([pk], [typed_value(*done)]))
     cuts = key_cuts(source, pk, ranges)
+    # With one range the rows processed are the total.
+    total = result.rows_processed + source.count() if cuts and job.batch_history else None
     bounds = list(zip([None, *cuts], [*cuts, None]))
     where = {"job": job.name, "source_table": job.source_table, "dest_table": job.dest_table, "mode": "full"}
     fresh = dest.is_empty()
@@ -211,10 +222,11 @@ def full_load(
         if hi is not None:
             # NULL keys go with the first range.
             part = part.where((F.col(pk) <= F.lit(hi)) | (F.col(pk).isNull() if lo is None else F.lit(False)))
+        before = result.rows_processed
         rows, last = _load(part, None if fresh else dest.keys(), dest, result.run_id, result)
-        batches += 1
         if job.batch_history:
-            _save_batches(job, store, rows, dest, result)
+            _save_batches(job, store, rows, dest, result, total or result.rows_processed, before, batches)
+        batches += -(-(result.rows_processed - before) // job.batch_size)
         last = last or (done[0] if done else None)
         finished = i == len(bounds) - 1
         store.put(
@@ -259,7 +271,7 @@ def incremental_load(
     fresh = after_watermark(pk, value, kind)
     rows, last = _load(source.where(fresh), dest.keys().where(fresh), dest, result.run_id, result)
     if job.batch_history:
-        _save_batches(job, store, rows, dest, result)
+        _save_batches(job, store, rows, dest, result, result.rows_processed)
     if last is not None:
         save_watermark(job, store, pk, last, source.schema[pk].dataType.simpleString())
 

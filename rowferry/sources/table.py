@@ -80,7 +80,7 @@ class DestTable:
             .add("_reason", "string")
             .add("_row", "string")
             .add("seq", "long")
-            .add("bucket", "int")
+            .add("bucket", "integer")
         )
         try:
             return self.spark.read.schema(layout).parquet(f"{self.path}/rows")
