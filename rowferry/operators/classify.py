@@ -32,12 +32,13 @@ def conform(source: DataFrame, spec: DestSpec) -> DataFrame:
             value = F.lit(spec.defaults.get(f.name)).cast(f.dataType)
             if not f.nullable and f.name not in spec.defaults:
                 nulls.append((F.lit(True), f"not_null:{f.name}"))
-            values[f.name] = value
+            values[f.name] = value.alias(f.name)
             continue
         raw = F.col(f"`{f.name}`")
         same = source.schema[f.name].dataType == f.dataType
         value = raw if same else raw.try_cast(f.dataType)
-        values[f.name] = value
+        # An alias on an unchanged column would keep Spark from reusing the shuffle.
+        values[f.name] = raw if same else value.alias(f.name)
         if not f.nullable and f.name not in spec.primary_key:
             nulls.append((raw.isNull(), f"not_null:{f.name}"))
         if not same:
@@ -54,14 +55,14 @@ def conform(source: DataFrame, spec: DestSpec) -> DataFrame:
         reason = F.when(failed, F.lit(name)).otherwise(reason)
     checked = source.withColumn("_reason", reason)
     text = F.when(F.col("_reason").isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in source.columns])))
-    return checked.select(*[v.alias(n) for n, v in values.items()], "_reason", text.alias("_row"))
+    return checked.select(*values.values(), "_reason", text.alias("_row"))
 
 
 def hot_keys(df: DataFrame, forms: Sequence[Column], share: float) -> list[int]:
     """Hashes of keys that hold more than ``share`` of the rows.
 
-    One mergeable sketch of bounded size; a hash that is listed without need
-    only costs a little extra shuffling.
+    One scan of the key columns into a mergeable sketch of bounded size. A hash
+    that is listed without need only costs a little extra shuffling.
     """
     found = df.select(F.xxhash64(*forms).alias("h")).agg(
         F.count(F.lit(1)).alias("n"), F.expr("approx_top_k(h, 100, 10000)").alias("top")
@@ -107,15 +108,16 @@ def classify_conformed(
     task is ranked again. Rows already rejected are spread the same way.
     """
     keys = spec.primary_key
-    order = list(order or total_order(rows.drop("_reason", "_row"), keys))
+    # Keys that are equal under a collation may still differ, so they order too.
+    same = keys if spec.key_collation is None else ()
+    order = list(order or total_order(rows.drop("_reason", "_row"), same))
     forms = list(keys)
     if spec.key_collation is not None:
         forms = [f"_k{i}" for i in range(len(keys))]
         rows = rows.withColumns(dict(zip(forms, normal_forms(rows, keys, spec.key_collation))))
-    good = F.col("_reason").isNull()
     if hot is None:
         parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        hot = hot_keys(rows.where(good), [F.col(f) for f in forms], 1 / parts)
+        hot = hot_keys(rows, [F.col(f) for f in forms], 1 / parts)
     is_hot = F.xxhash64(*[F.col(f) for f in forms]).isin(list(hot)) if hot else F.lit(False)
     meet = rows.withColumns(
         {

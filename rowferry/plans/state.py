@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowferry.operators.profile import stack
+from rowferry.sources.workdir import empty, rows_of, struct_type
 
 WATERMARK_KEY = ("job", "source_table", "dest_table", "pk")
 CHECKPOINT_KEY = ("job", "source_table", "dest_table", "mode")
@@ -144,15 +145,15 @@ class StateStore:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], TABLES[table])
+            return empty(self.spark, TABLES[table])
 
     def append(self, table: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.path}/{table}")
 
     def put(self, table: str, seq: int, **values) -> None:
-        schema = self.spark.createDataFrame([], TABLES[table]).schema
-        row = tuple({**values, "seq": seq}.get(n) for n in schema.names)
-        self.append(table, self.spark.createDataFrame([row], schema).coalesce(1))
+        schema = struct_type(TABLES[table])
+        row = [{**values, "seq": seq}.get(n) for n in schema.names]
+        self.append(table, rows_of(self.spark, [row], schema))
 
     def of_job(self, table: str, job) -> DataFrame:
         return self.history(table).where(

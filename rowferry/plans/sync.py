@@ -25,6 +25,7 @@ from rowferry.plans import state as S
 from rowferry.plans.modes import FORCED, MODES, mode_columns
 from rowferry.sources.table import DestTable, next_seq
 from rowferry.sources.template import check_query, extract, render
+from rowferry.sources.workdir import rows_of
 from rowferry.spec import DestSpec, JobSpec
 
 
@@ -46,18 +47,21 @@ class RunResult:
     error: str | None = None
 
 
+SCHEMA_ROWS = "pair string, column_name string, data_type string, is_nullable string"
+
+
 def dest_schema_rows(spark: SparkSession, pair: str, spec: DestSpec) -> DataFrame:
     rows = [
         (pair, f.name, spark_type_name(f.dataType), "YES" if f.nullable and f.name not in spec.primary_key else "NO")
         for f in spec.schema.fields
     ]
-    return spark.createDataFrame(rows, "pair string, column_name string, data_type string, is_nullable string")
+    return rows_of(spark, rows, SCHEMA_ROWS)
 
 
 def source_schema_rows(spark: SparkSession, pair: str, df: DataFrame) -> DataFrame:
     """A query's columns count as nullable, as its metadata knows no better."""
     rows = [(pair, f.name, spark_type_name(f.dataType), "YES") for f in df.schema.fields]
-    return spark.createDataFrame(rows, "pair string, column_name string, data_type string, is_nullable string")
+    return rows_of(spark, rows, SCHEMA_ROWS)
 
 
 def schema_errors(source: DataFrame, spec: DestSpec, pk: tuple[str, ...]) -> list[str]:
@@ -66,10 +70,8 @@ def schema_errors(source: DataFrame, spec: DestSpec, pk: tuple[str, ...]) -> lis
     report = schema_report(
         source_schema_rows(spark, "job", source), dest_schema_rows(spark, "job", spec)
     )
-    errors = [
-        f"Column '{r['column_name']}' exists in source but not in destination"
-        for r in report.where(F.col("level") == ERROR).orderBy("column_name").collect()
-    ]
+    absent = {r["column_name"] for r in report.where(F.col("level") == ERROR).collect()}
+    errors = [f"Column '{c}' exists in source but not in destination" for c in source.columns if c in absent]
     for k in pk:
         if k not in spec.schema.names:
             errors.append(f"Primary key column '{k}' not found in destination table")

@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.functions.keys import bucket, normal_forms
+from rowferry.sources.workdir import empty, rows_of
 from rowferry.spec import DestSpec
 
 REJECT_BUCKET = -1
 COMMITS = "seq long, run_id string, kind string, buckets array<int>"
+REJECTS = "run_id string, reason string, row string"
 
 
 def next_seq(last: int = 0) -> int:
@@ -44,7 +46,7 @@ class DestTable:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], COMMITS)
+            return empty(self.spark, COMMITS)
 
     def has_run(self, run_id: str) -> bool:
         return not self.commits().where(F.col("run_id") == run_id).isEmpty()
@@ -63,7 +65,7 @@ class DestTable:
         """The dead letters of all committed runs: row JSON, reason, run."""
         files = self._files()
         if files is None:
-            return self.spark.createDataFrame([], "run_id string, reason string, row string")
+            return empty(self.spark, REJECTS)
         return (
             files.where(F.col("bucket") == REJECT_BUCKET)
             .join(F.broadcast(self.commits().select("seq", "run_id")), "seq")
@@ -92,27 +94,27 @@ class DestTable:
     def _visible(self, *columns: str) -> DataFrame:
         files = self._files()
         if files is None:
-            return self.spark.createDataFrame([], T.StructType([self.spec.schema[c] for c in columns]))
+            return empty(self.spark, T.StructType([self.spec.schema[c] for c in columns]))
         return files.where(self._live()).select(*columns)
 
     def _live(self) -> Column:
         """A predicate on directories only, so dead ones are never opened."""
         commits = self.commits()
-        # At most one row per bucket, and one per commit since the last compaction.
-        replaced = (
-            commits.select("seq", F.explode("buckets").alias("bucket"))
-            .groupBy("bucket")
-            .agg(F.max("seq").alias("seq"))
-            .collect()
-        )
-        floor = min((r["seq"] for r in replaced), default=0) if len(replaced) == self.spec.buckets else 0
-        seqs = [r["seq"] for r in commits.where(F.col("seq") >= floor).select("seq").collect()]
-        live = (F.col("bucket") >= 0) & F.col("seq").isin(seqs)
+        # One small row per run.
+        runs = commits.select("seq", F.size("buckets").alias("n")).collect()
+        newest = {}
+        if any(r["n"] for r in runs):
+            # At most one row per bucket.
+            newest = dict(
+                commits.select(F.explode("buckets").alias("bucket"), "seq").groupBy("bucket").agg(F.max("seq")).collect()
+            )
+        floor = min(newest.values()) if len(newest) == self.spec.buckets else 0
+        live = (F.col("bucket") >= 0) & F.col("seq").isin([r["seq"] for r in runs if r["seq"] >= floor])
         by_seq = defaultdict(list)
-        for r in replaced:
-            by_seq[r["seq"]].append(r["bucket"])
-        for seq, buckets in by_seq.items():
-            live = live & ~(F.col("bucket").isin(buckets) & (F.col("seq") < seq))
+        for number, seq in newest.items():
+            by_seq[seq].append(number)
+        for seq, numbers in by_seq.items():
+            live = live & ~(F.col("bucket").isin(numbers) & (F.col("seq") < seq))
         return live
 
     # -- writing ---------------------------------------------------------
@@ -138,8 +140,8 @@ class DestTable:
         return seq
 
     def commit(self, seq: int, run_id: str, kind: str = "insert", buckets: Sequence[int] = ()) -> None:
-        row = self.spark.createDataFrame([(seq, run_id, kind, list(buckets))], COMMITS)
-        row.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        row = rows_of(self.spark, [(seq, run_id, kind, list(buckets))], COMMITS)
+        row.write.mode("append").parquet(f"{self.path}/commits")
 
     def insert(self, classified: DataFrame, run_id: str) -> int:
         seq = self.write(classified)

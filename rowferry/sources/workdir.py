@@ -1,11 +1,36 @@
-"""A shared place for intermediate tables."""
+"""Small local relations and a shared place for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def struct_type(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows; planned away entirely, unlike an empty RDD."""
+    schema = struct_type(schema)
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).where(F.lit(False)).select(*columns)
+
+
+def rows_of(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
+    """A few driver-side rows, such as one state entry, as literals."""
+    schema = struct_type(schema)
+    if not rows:
+        return empty(spark, schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def work_path(spark: SparkSession, label: str) -> str:

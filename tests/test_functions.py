@@ -1,0 +1,77 @@
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from rowferry.functions.keys import after, after_watermark, normal_forms
+from rowferry.functions.types import TYPE_CODES, TYPE_GROUPS, type_name, types_compatible
+
+NAMES = (
+    "int integer bigint smallint tinyint mediumint varchar char text longtext mediumtext tinytext decimal numeric "
+    "float double real datetime timestamp date time blob longblob mediumblob tinyblob binary varbinary enum set "
+    "json bit year geometry null unknown point"
+).split()
+
+
+def test_compatible_pairs(spark):
+    pairs = spark.createDataFrame(list(itertools.product(NAMES, NAMES)), "a string, b string")
+    got = {(r.a, r.b) for r in pairs.where(types_compatible("a", "b")).collect()}
+    assert len(got) == 166
+    assert ("date", "datetime") in got and ("time", "timestamp") in got
+    assert ("point", "int") in got and ("enum", "varchar") not in got
+    assert {(b, a) for a, b in got} == got
+
+
+def test_compatible_ignores_case(spark):
+    df = spark.createDataFrame([("VARCHAR", "LongText"), ("JSON", "json"), ("INT", "text")], "a string, b string")
+    assert [r[0] for r in df.select(types_compatible("a", "b")).collect()] == [True, True, False]
+
+
+def test_type_codes(spark):
+    assert len(TYPE_CODES) == 28 and len(TYPE_GROUPS) == 7
+    df = spark.createDataFrame([(3,), (253,), (14,), (99,), (None,)], "c int")
+    assert [r[0] for r in df.select(type_name("c")).collect()] == ["int", "varchar", "date", "unknown", "unknown"]
+
+
+@pytest.mark.parametrize("cursor", [(0, 0), (1, 2), (2, 9), (3, 3)])
+def test_after_is_lexicographic(spark, cursor):
+    rows = [(a, b) for a in range(4) for b in range(4)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    assert {tuple(r) for r in df.where(after(["a", "b"], cursor)).collect()} == {r for r in rows if r > cursor}
+
+
+def test_after_reaches_the_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").where(after(["conv_id", "turn"], [5, 1]))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(conv_id,5)" in plan and "GreaterThan(turn,1)" in plan
+
+
+def test_after_needs_matching_values():
+    with pytest.raises(ValueError):
+        after(["a", "b"], [1])
+
+
+def test_watermark_compares_in_its_type(spark):
+    df = spark.createDataFrame([(9,), (10,), (2**53,), (2**53 + 1,)], "k long")
+    assert df.where(after_watermark("k", "9", "bigint")).count() == 3
+    assert df.where(after_watermark("k", str(2**53), "bigint")).count() == 1
+    assert df.where(after_watermark("k", None, None)).count() == 4
+    text = spark.createDataFrame([("10",), ("9",)], "k string")
+    assert [r.k for r in text.where(after_watermark("k", "10", "string")).collect()] == ["9"]
+
+
+def test_watermark_of_time_key(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00.000001' AS k UNION ALL SELECT timestamp_ntz'2024-01-02'")
+    kept = df.where(after_watermark("k", "2024-01-01 00:00:00.000001", "timestamp_ntz")).collect()
+    assert len(kept) == 1 and kept[0].k.day == 2
+
+
+def test_normal_forms(spark):
+    df = spark.createDataFrame([("Ab ", 1)], "k string, n int")
+    def form(c):
+        return df.select(*normal_forms(df, ["k", "n"], c)).first()
+    assert tuple(form(None)) == ("Ab ", 1)
+    assert tuple(form("UTF8_LCASE")) == ("ab ", 1)
+    assert tuple(form("UTF8_LCASE_RTRIM")) == ("ab", 1)
+    with pytest.raises(ValueError):
+        form("latin1_swedish_ci")
