@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from rowferry.functions.keys import after, after_watermark, key_text, typed_value
 from rowferry.functions.types import spark_type_name
 from rowferry.operators.classify import classify
-from rowferry.operators.compat import ERROR, schema_report
+from rowferry.operators.compat import schema_report
 from rowferry.operators.loads import batch_metrics, load_progress
 from rowferry.operators.paging import key_cuts
 from rowferry.operators.profile import deleted_keys
@@ -64,14 +64,19 @@ def source_schema_rows(spark: SparkSession, pair: str, df: DataFrame) -> DataFra
     return rows_of(spark, rows, SCHEMA_ROWS)
 
 
+def job_schema_report(source: DataFrame, spec: DestSpec) -> DataFrame:
+    """All differences between a query and its destination, warnings included."""
+    spark = source.sparkSession
+    return schema_report(source_schema_rows(spark, "job", source), dest_schema_rows(spark, "job", spec))
+
+
 def schema_errors(source: DataFrame, spec: DestSpec, pk: tuple[str, ...]) -> list[str]:
     """Reasons to refuse the run; type and NULL differences only warn."""
-    spark = source.sparkSession
-    report = schema_report(
-        source_schema_rows(spark, "job", source), dest_schema_rows(spark, "job", spec)
-    )
-    absent = {r["column_name"] for r in report.where(F.col("level") == ERROR).collect()}
-    errors = [f"Column '{c}' exists in source but not in destination" for c in source.columns if c in absent]
+    errors = [
+        f"Column '{c}' exists in source but not in destination"
+        for c in source.columns
+        if c not in spec.schema.names
+    ]
     for k in pk:
         if k not in spec.schema.names:
             errors.append(f"Primary key column '{k}' not found in destination table")
@@ -95,8 +100,8 @@ def choose_pk(job: JobSpec) -> tuple[str, ...]:
     return job.primary_key
 
 
-def start_fresh(job: JobSpec, dest: DestTable, store: S.StateStore) -> bool:
-    if job.force_full_refresh or (dest.is_empty() and store.checkpoint(job) is not None):
+def start_fresh(job: JobSpec, store: S.StateStore, empty: bool) -> bool:
+    if job.force_full_refresh or (empty and store.checkpoint(job) is not None):
         store.clear(job, next_seq())
         return True
     return False
@@ -116,11 +121,10 @@ def flagged_rows(job: JobSpec, table: DataFrame, store: S.StateStore, pk: tuple[
 
 
 def detect_mode(
-    spark: SparkSession, job: JobSpec, dest: DestTable, store: S.StateStore, pk: tuple[str, ...]
+    spark: SparkSession, job: JobSpec, empty: bool, store: S.StateStore, pk: tuple[str, ...]
 ) -> tuple[str, str]:
     table = spark.table(job.source_table)
     has_flag = job.deleted_flag in table.columns
-    empty = dest.is_empty()
     flagged = 0
     if has_flag and not empty:
         flagged = flagged_rows(job, table, store, pk).count()
@@ -307,7 +311,8 @@ def apply_deletes(
     result.rows_attempted += ids.count()
     new = ids.select("record_id").distinct().join(store.delete_log(job), "record_id", "left_anti")
     store.append("deletes", entries(new, 0))
-    result.rows_removed += dest.delete(ids.select(*pk), result.run_id)
+    if not dest.has_run(f"{result.run_id}-delete"):
+        result.rows_removed += dest.delete(ids.select(*pk), f"{result.run_id}-delete")
     pending = S.delete_log_pending(store.delete_log(job))
     done = pending.join(ids.select("record_id").distinct(), "record_id", "left_semi")
     store.append("deletes", entries(done, 1))
@@ -340,7 +345,8 @@ def sync(
     started = datetime.now(timezone.utc)
     try:
         preflight(spark, job)
-        start_fresh(job, dest, store)
+        empty = dest.is_empty()
+        start_fresh(job, store, empty)
         valid, error = check_query(spark, job.query, job.source_table)
         if not valid:
             raise SyncError(f"SQL query syntax error: {error}: {render(job.query, job.source_table)}")
@@ -348,9 +354,10 @@ def sync(
         if errors:
             raise SyncError("Schema validation failed: " + ", ".join(errors))
         if job.truncate:
-            dest.truncate(result.run_id)
+            dest.truncate(f"{result.run_id}-truncate")
+            empty = True
         if force_mode is None:
-            result.mode, result.reason = detect_mode(spark, job, dest, store, choose_pk(job))
+            result.mode, result.reason = detect_mode(spark, job, empty, store, choose_pk(job))
         elif force_mode in MODES:
             result.mode, result.reason = force_mode, FORCED
         else:

@@ -37,7 +37,9 @@ def insert_batch(job: JobSpec, dest: DestTable, store: S.StateStore, late: str):
         mark = store.watermark(job, pk)
         if not dest.has_run(run_id):
             keep = after_watermark(pk, *(mark or (None, None))) if late == "drop" else F.lit(True)
-            dest.insert(classify(batch.where(keep), dest.spec, dest.keys().where(keep)), run_id)
+            # A stream shows a row once, so rows without a key must reach the rejects now.
+            rows = batch.where(keep | F.col(pk).isNull())
+            dest.insert(classify(rows, dest.spec, dest.keys().where(keep)), run_id)
         seq = dest.commits().where(F.col("run_id") == run_id).first()["seq"]
         last = S.watermark_advance(dest.run_rows(seq), pk).first()["new_value"]
         if last is None:
@@ -57,9 +59,7 @@ def delete_batch(job: JobSpec, dest: DestTable, store: S.StateStore):
     pk = dest.spec.primary_key
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{job.name}-delete-{batch_id}"
-        if dest.has_run(run_id):
-            return
+        run_id = f"{job.name}-{batch_id}"
         flagged = batch.where(is_flagged(job.deleted_flag)).select(*pk).withColumn("record_id", record_id(pk))
         apply_deletes(job, dest, store, flagged, RunResult(run_id=run_id), pk)
 
