@@ -58,16 +58,19 @@ def conform(source: DataFrame, spec: DestSpec) -> DataFrame:
     return checked.select(*values.values(), "_reason", text.alias("_row"))
 
 
-def hot_keys(df: DataFrame, forms: Sequence[Column], share: float) -> list[int]:
-    """Hashes of keys that hold more than ``share`` of the rows.
+# A group of this many rows is more than one task should sort.
+HOT_ROWS = 5_000_000
 
-    One scan of the key columns into a mergeable sketch of bounded size. A hash
-    that is listed without need only costs a little extra shuffling.
+
+def hot_keys(df: DataFrame, forms: Sequence[Column], rows: int = HOT_ROWS, share: float = 0.01) -> list[int]:
+    """Hashes of the keys that hold more than ``rows`` rows, by a sample.
+
+    Reads the key columns only. The outcome of a load does not depend on this
+    list; a key missing from it or listed without need only costs time.
     """
-    found = df.select(F.xxhash64(*forms).alias("h")).agg(
-        F.count(F.lit(1)).alias("n"), F.expr("approx_top_k(h, 100, 10000)").alias("top")
-    ).first()
-    return [t["item"] for t in found["top"] if t["count"] > share * found["n"]]
+    seen = df.select(F.xxhash64(*forms).alias("h")).sample(share, seed=7).groupBy("h").count()
+    hot = seen.where(F.col("count") > rows * share).orderBy(F.desc("count"), "h").limit(10_000)
+    return [r["h"] for r in hot.collect()]
 
 
 def accepted(
@@ -116,8 +119,7 @@ def classify_conformed(
         forms = [f"_k{i}" for i in range(len(keys))]
         rows = rows.withColumns(dict(zip(forms, normal_forms(rows, keys, spec.key_collation))))
     if hot is None:
-        parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        hot = hot_keys(rows, [F.col(f) for f in forms], 1 / parts)
+        hot = hot_keys(rows, [F.col(f) for f in forms])
     is_hot = F.xxhash64(*[F.col(f) for f in forms]).isin(list(hot)) if hot else F.lit(False)
     meet = rows.withColumns(
         {

@@ -39,15 +39,14 @@ def schema_report(source: DataFrame, dest: DataFrame) -> DataFrame:
     def issue(flag, level, name):
         return F.when(F.col(flag), F.struct(F.lit(level).alias("level"), F.lit(name).alias("issue")))
 
-    issues = F.array_compact(
-        F.array(
-            issue("missing", ERROR, "missing_in_destination"),
-            issue("extra", WARNING, "extra_in_destination"),
-            issue("type", WARNING, "type"),
-            issue("nullable", WARNING, "nullable"),
-        )
+    issues = F.array(
+        issue("missing", ERROR, "missing_in_destination"),
+        issue("extra", WARNING, "extra_in_destination"),
+        issue("type", WARNING, "type"),
+        issue("nullable", WARNING, "nullable"),
     )
-    return compare_schemas(source, dest).select("pair", "column_name", F.inline(issues))
+    report = compare_schemas(source, dest).select("pair", "column_name", F.inline(issues))
+    return report.where(F.col("level").isNotNull())
 
 
 def schema_verdict(source: DataFrame, dest: DataFrame) -> DataFrame:
@@ -74,11 +73,9 @@ def dest_pk_report(dest: DataFrame, pk: str) -> DataFrame:
         F.bool_or(here & F.equal_null("column_key", F.lit("PRI"))).alias("primary"),
         F.bool_or(here & F.contains(extra, F.lit("auto_increment"))).alias("auto"),
     )
-    errors = F.array_compact(
-        F.array(
-            F.when(~F.col("found"), F.lit("not_found")),
-            F.when(F.col("found") & ~F.col("primary"), F.lit("not_primary")),
-            F.when(F.col("auto"), F.lit("auto_increment")),
-        )
+    errors = F.array(
+        F.when(~F.col("found"), F.lit("not_found")),
+        F.when(F.col("found") & ~F.col("primary"), F.lit("not_primary")),
+        F.when(F.col("auto"), F.lit("auto_increment")),
     )
-    return found.select("table_name", F.explode(errors).alias("error"))
+    return found.select("table_name", F.explode(errors).alias("error")).where(F.col("error").isNotNull())

@@ -33,13 +33,10 @@ def delta_effect(
 ) -> DataFrame:
     """Deletes attempted, rows they remove, and delete batches."""
     keys = list(as_keys(keys))
-    flagged = deleted_keys(source, keys, flag)
-    asked = (
-        flagged.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("asked"))
-        .withColumn("held", F.lit(0).cast("long"))
-    )
-    held = dest.select(*keys, F.lit(0).cast("long").alias("asked"), F.lit(1).cast("long").alias("held"))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    asked = deleted_keys(source, keys, flag).select(*keys, one.alias("asked"), zero.alias("held"))
+    held = dest.select(*keys, zero.alias("asked"), one.alias("held"))
+    # Both sides meet in one aggregation, folded per task before its shuffle.
     per_key = asked.unionByName(held).groupBy(*keys).agg(F.sum("asked").alias("asked"), F.sum("held").alias("held"))
     attempted = F.coalesce(F.sum("asked"), F.lit(0))
     return per_key.agg(

@@ -22,10 +22,10 @@ SHALLOW_OFFSET = 100_000
 
 
 def keyset_page(df: DataFrame, keys: str | Sequence[str], cursor: Sequence | None, size: int) -> DataFrame:
-    """The next ``size`` rows after the cursor in key order."""
+    """The next ``size`` rows after the cursor in key order, ties by the other columns."""
     keys = as_keys(keys)
     rows = df if cursor is None else df.where(after(keys, cursor))
-    return rows.orderBy(*[F.col(k).asc_nulls_first() for k in keys]).limit(size)
+    return rows.orderBy(*[F.col(k).asc_nulls_first() for k in keys], *total_order(df, keys)).limit(size)
 
 
 def number_rows(df: DataFrame, keys: str | Sequence[str] = ()) -> DataFrame:

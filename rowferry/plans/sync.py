@@ -25,7 +25,7 @@ from rowferry.plans import state as S
 from rowferry.plans.modes import FORCED, MODES, mode_columns
 from rowferry.sources.table import DestTable, next_seq
 from rowferry.sources.template import check_query, extract, render
-from rowferry.sources.workdir import rows_of
+from rowferry.sources.workdir import rows_of, write_through
 from rowferry.spec import DestSpec, JobSpec
 
 
@@ -307,7 +307,8 @@ def apply_deletes(
             F.lit(next_seq()).alias("seq"),
         )
 
-    ids = flagged.where(F.col("record_id").isNotNull())
+    # Pinned: every step below must see the same ids, and the source is read once.
+    ids = write_through(flagged.where(F.col("record_id").isNotNull()), "flagged")
     result.rows_attempted += ids.count()
     new = ids.select("record_id").distinct().join(store.delete_log(job), "record_id", "left_anti")
     store.append("deletes", entries(new, 0))

@@ -68,7 +68,7 @@ class DestTable:
             return empty(self.spark, REJECTS)
         return (
             files.where(F.col("bucket") == REJECT_BUCKET)
-            .join(F.broadcast(self.commits().select("seq", "run_id")), "seq")
+            .join(self.commits().select("seq", "run_id"), "seq")
             .select("run_id", F.col("_reason").alias("reason"), F.col("_row").alias("row"))
         )
 
@@ -97,8 +97,8 @@ class DestTable:
             return empty(self.spark, T.StructType([self.spec.schema[c] for c in columns]))
         return files.where(self._live()).select(*columns)
 
-    def _live(self) -> Column:
-        """A predicate on directories only, so dead ones are never opened."""
+    def _pointers(self) -> tuple[list[int], dict[int, int]]:
+        """Committed runs, and the last rewrite of each rewritten bucket."""
         commits = self.commits()
         # One small row per run.
         runs = commits.select("seq", F.size("buckets").alias("n")).collect()
@@ -108,8 +108,13 @@ class DestTable:
             newest = dict(
                 commits.select(F.explode("buckets").alias("bucket"), "seq").groupBy("bucket").agg(F.max("seq")).collect()
             )
+        return [r["seq"] for r in runs], newest
+
+    def _live(self) -> Column:
+        """A predicate on directories only, so dead ones are never opened."""
+        seqs, newest = self._pointers()
         floor = min(newest.values()) if len(newest) == self.spec.buckets else 0
-        live = (F.col("bucket") >= 0) & F.col("seq").isin([r["seq"] for r in runs if r["seq"] >= floor])
+        live = (F.col("bucket") >= 0) & F.col("seq").isin([s for s in seqs if s >= floor])
         by_seq = defaultdict(list)
         for number, seq in newest.items():
             by_seq[seq].append(number)
@@ -186,6 +191,32 @@ class DestTable:
             seq = self.write(files.where(self._live()))
             self.commit(seq, run_id, "compact", range(self.spec.buckets))
 
+    def vacuum(self) -> int:
+        """Delete directories that no reader of the current state can see.
+
+        Rejects stay. Run it when neither a load nor an older reader is active.
+        Returns the number of directories deleted.
+        """
+        if self._files() is None:
+            return 0
+        seqs, newest = self._pointers()
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows")
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+        def children(path, prefix):
+            found = [(s.getPath(), s.getPath().getName()) for s in fs.listStatus(path)]
+            return [(p, int(n.removeprefix(prefix))) for p, n in found if n.startswith(prefix)]
+
+        dead = []
+        for run, seq in children(root, "seq="):
+            if seq not in seqs:
+                dead.append(run)
+                continue
+            dead += [p for p, b in children(run, "bucket=") if b >= 0 and seq < newest.get(b, 0)]
+        for path in dead:
+            fs.delete(path, True)
+        return len(dead)
+
     def _last_seq(self) -> int:
         return self.commits().agg(F.max("seq")).first()[0] or 0
 

@@ -104,8 +104,9 @@ def test_hot_key_is_found_and_split(spark):
         )
     )
     h = df.where("id = 7").select(F.xxhash64("id")).first()[0]
-    assert hot_keys(df, [F.col("id")], 0.25) == [h]
-    split = classify(df, spec())
+    assert hot_keys(df, [F.col("id")], 5_000, 0.1) == [h]
+    assert hot_keys(df, [F.col("id")]) == []
+    split = classify(df, spec(), hot=[h])
     plain = classify(df, spec(), hot=[])
     assert split.groupBy("_reason").count().collect() == plain.groupBy("_reason").count().collect()
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()

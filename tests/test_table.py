@@ -71,6 +71,18 @@ def test_compact_and_truncate(spark, place):
     assert dest.is_empty() and dest.rejects().count() == 3
 
 
+def test_vacuum(spark, place):
+    dest, _ = place(SPEC)
+    assert dest.vacuum() == 0
+    dest.insert(classify(frame(spark, [*range(40), None]), SPEC), "r")
+    dest.delete(frame(spark, [7]), "d")
+    dest.write(classify(frame(spark, [99]), SPEC))
+    before = rows(dest)
+    assert dest.vacuum() == 2  # one rewritten bucket, one run never committed
+    assert rows(dest) == before and dest.rejects().count() == 1
+    assert dest.vacuum() == 0
+
+
 def test_only_live_directories_are_read(spark, place):
     dest, _ = place(SPEC)
     dest.load(frame(spark, range(40)))
