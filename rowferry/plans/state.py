@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowferry.operators.profile import stack
-from rowferry.sources.workdir import empty, rows_of, struct_type
+from rowferry.sources.workdir import empty, fold_files, rows_of, struct_type
 
 WATERMARK_KEY = ("job", "source_table", "dest_table", "pk")
 CHECKPOINT_KEY = ("job", "source_table", "dest_table", "mode")
@@ -39,6 +39,7 @@ BATCHES = (
     "job string, run_id string, batch_no long, rows_processed long, rows_inserted long, "
     "rows_rejected long, last_pk string, rows_done long, pct double, seq long"
 )
+KEYS = {"watermarks": WATERMARK_KEY, "checkpoints": CHECKPOINT_KEY, "deletes": DELETE_KEY}
 TABLES = {
     "watermarks": WATERMARKS,
     "checkpoints": CHECKPOINTS,
@@ -150,6 +151,10 @@ class StateStore:
     def append(self, table: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(f"{self.path}/{table}")
 
+    def compact(self, table: str) -> None:
+        """Fold a keyed table to its current entries, each run having left a file."""
+        fold_files(latest(self.history(table), KEYS[table]), f"{self.path}/{table}")
+
     def put(self, table: str, seq: int, **values) -> None:
         schema = struct_type(TABLES[table])
         row = [{**values, "seq": seq}.get(n) for n in schema.names]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowferry.functions.keys import bucket, normal_forms
-from rowferry.sources.workdir import empty, rows_of
+from rowferry.sources.workdir import empty, file_system, fold_files, rows_of
 from rowferry.spec import DestSpec
 
 REJECT_BUCKET = -1
@@ -42,7 +42,7 @@ class DestTable:
 
     def commits(self) -> DataFrame:
         try:
-            return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits")
+            return self.spark.read.schema(COMMITS).parquet(f"{self.path}/commits").distinct()
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -185,11 +185,12 @@ class DestTable:
         self.commit(next_seq(self._last_seq()), run_id, "truncate", range(self.spec.buckets))
 
     def compact(self, run_id: str) -> None:
-        """Merge the files of all runs into one set per bucket."""
+        """Merge the files of all runs into one set per bucket, and the commits."""
         files = self._files()
         if files is not None:
             seq = self.write(files.where(self._live()))
             self.commit(seq, run_id, "compact", range(self.spec.buckets))
+            fold_files(self.commits().coalesce(1), f"{self.path}/commits")
 
     def vacuum(self) -> int:
         """Delete directories that no reader of the current state can see.
@@ -200,8 +201,7 @@ class DestTable:
         if self._files() is None:
             return 0
         seqs, newest = self._pointers()
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows")
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, root = file_system(self.spark, f"{self.path}/rows")
 
         def children(path, prefix):
             found = [(s.getPath(), s.getPath().getName()) for s in fs.listStatus(path)]

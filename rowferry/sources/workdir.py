@@ -54,3 +54,22 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def fold_files(df: DataFrame, path: str) -> None:
+    """Write ``df``, which reads ``path``, back to it and delete what it read.
+
+    For tables whose readers do not mind a row that is there twice, which is
+    the case between the two steps. One writer at a time is assumed.
+    """
+    old = df.inputFiles()
+    df.write.mode("append").parquet(path)
+    for file in old:
+        fs, where = file_system(df.sparkSession, file)
+        fs.delete(where, False)

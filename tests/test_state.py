@@ -97,3 +97,14 @@ def test_run_summary(spark):
         "mode string, rows_processed long, status string, seconds double")
     got = {(r.mode, r.n_runs, r.rows_processed, r.n_failed) for r in S.run_summary(runs).collect()}
     assert got == {("full", 2, 12, 1), ("delta", 1, 0, 1)}
+
+
+def test_compact(store, spark):
+    for seq in range(1, 6):
+        put_mark(store, JOB, seq, str(seq))
+        put_mark(store, OTHER, seq, "x")
+    store.compact("watermarks")
+    assert store.watermark(JOB, "id") == ("5", "bigint") and store.history("watermarks").count() == 2
+    put_mark(store, JOB, 6, "6")
+    store.compact("watermarks")
+    assert store.watermark(JOB, "id") == ("6", "bigint") and store.watermark(OTHER, "id")[0] == "x"

@@ -67,6 +67,7 @@ def test_compact_and_truncate(spark, place):
     assert rows(dest) == before == [(0, "a"), (2, "a")]
     assert dest.read().select(F.input_file_name()).distinct().count() <= SPEC.buckets
     assert "seq" not in dest.read().columns and dest.rejects().count() == 3
+    assert dest.commits().count() == 5 and len(dest.commits().inputFiles()) == 1
     dest.truncate("t")
     assert dest.is_empty() and dest.rejects().count() == 3
 
