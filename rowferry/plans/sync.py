@@ -144,12 +144,14 @@ def detect_mode(
     return row["mode"], row["reason"]
 
 
-def _load(source: DataFrame, existing: DataFrame | None, dest: DestTable, run_id: str, result: RunResult):
+def _load(
+    job: JobSpec, source: DataFrame, existing: DataFrame | None, dest: DestTable, result: RunResult, key: str
+) -> tuple[DataFrame, str | None]:
     """Classify, write and commit; counters are read back from the files, as
     metrics of a running job may count a repeated task twice."""
-    seq = dest.insert(classify(source, dest.spec, existing), run_id)
-    rows = dest.run_rows(seq)
-    key = dest.spec.primary_key[0]
+    hot = None if job.split_hot_keys else []
+    seq = dest.insert(classify(source, dest.spec, existing, hot=hot), result.run_id)
+    rows = dest.run_rows(seq, key)
     done = rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("_reason").isNull()).alias("ok"),
@@ -204,7 +206,7 @@ def full_load(
     """Copy all rows; with several key ranges, each is committed on its own
     and a repeated load skips those a checkpoint covers.
 
-    ``stop_after`` ends the load early, leaving an open checkpoint.
+    ``stop_after`` leaves the remaining ranges to a later call.
     """
     source = extract(spark, job.query, job.source_table)
     pk = dest.spec.primary_key[0]
@@ -222,14 +224,16 @@ def full_load(
     where = {"job": job.name, "source_table": job.source_table, "dest_table": job.dest_table, "mode": "full"}
     fresh = dest.is_empty()
     for i, (lo, hi) in enumerate(bounds):
-        part = source
+        within = F.lit(True)
         if lo is not None:
-            part = part.where(F.col(pk) > F.lit(lo))
+            within = F.col(pk) > F.lit(lo)
         if hi is not None:
-            # NULL keys go with the first range.
-            part = part.where((F.col(pk) <= F.lit(hi)) | (F.col(pk).isNull() if lo is None else F.lit(False)))
+            within = within & (F.col(pk) <= F.lit(hi))
+        existing = None if fresh else dest.keys().where(within)
+        # NULL keys go with the first range.
+        part = source.where(within | F.col(pk).isNull() if lo is None else within)
         before = result.rows_processed
-        rows, last = _load(part, None if fresh else dest.keys(), dest, result.run_id, result)
+        rows, last = _load(job, part, existing, dest, result, pk)
         if job.batch_history:
             _save_batches(job, store, rows, dest, result, total or result.rows_processed, before, batches)
         batches += -(-(result.rows_processed - before) // job.batch_size)
@@ -247,8 +251,8 @@ def full_load(
             status=S.COMPLETED if finished else S.IN_PROGRESS,
         )
         done = (last, kind) if last is not None else done
-        if stop_after is not None and i + 1 >= stop_after and not finished:
-            raise SyncError("stopped")
+        if i + 1 == stop_after and not finished:
+            return
     if job.seed_watermark and done is not None:
         save_watermark(job, store, pk, *done)
 
@@ -275,7 +279,9 @@ def incremental_load(
         raise SyncError(f"Primary key column '{pk}' not found in query result")
     value, kind = store.watermark(job, pk) or (None, None)
     fresh = after_watermark(pk, value, kind)
-    rows, last = _load(source.where(fresh), dest.keys().where(fresh), dest, result.run_id, result)
+    # The key that is paged by need not be the destination's key.
+    existing = dest.keys().where(fresh) if pk in dest.spec.primary_key else dest.keys()
+    rows, last = _load(job, source.where(fresh), existing, dest, result, pk)
     if job.batch_history:
         _save_batches(job, store, rows, dest, result, result.rows_processed)
     if last is not None:

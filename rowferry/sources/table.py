@@ -72,9 +72,10 @@ class DestTable:
             .select("run_id", F.col("_reason").alias("reason"), F.col("_row").alias("row"))
         )
 
-    def run_rows(self, seq: int) -> DataFrame:
+    def run_rows(self, seq: int, *columns: str) -> DataFrame:
         """Keys and outcome of everything one run processed."""
-        return self._files().where(F.col("seq") == seq).select(*self.spec.primary_key, "_reason")
+        wanted = dict.fromkeys([*self.spec.primary_key, *columns, "_reason"])
+        return self._files().where(F.col("seq") == seq).select(*wanted)
 
     def _files(self) -> DataFrame | None:
         layout = (
@@ -159,14 +160,17 @@ class DestTable:
         return self.insert(rows.withColumns({"_reason": none, "_row": none}), run_id)
 
     def delete(self, keys: DataFrame, run_id: str) -> int:
-        """Remove rows by key, rewriting only buckets that hold one of them.
+        """Remove the rows that match ``keys`` on all of its columns, rewriting
+        only buckets that hold one of them.
 
         Returns the number of rows removed. A bucket left without rows is
         replaced by nothing, which plain partition overwrite would not do.
         """
-        gone = self._forms(keys).distinct()
-        names = gone.columns
-        held = self._with_forms(self.keys())
+        on = keys.columns
+        typed = keys.select(*[F.col(k).cast(self.spec.schema[k].dataType).alias(k) for k in on])
+        names = [f"_k{i}" for i in range(len(on))]
+        gone = self._with_forms(typed, on).select(*names).distinct()
+        held = self._with_forms(self._visible(*dict.fromkeys([*self.spec.primary_key, *on])), on)
         hits = (
             held.join(gone, names, "left_semi")
             .groupBy(self.bucket_of(held).alias("bucket"))
@@ -177,7 +181,7 @@ class DestTable:
             return 0
         buckets = [r["bucket"] for r in hits]
         files = self._files().where(self._live() & F.col("bucket").isin(buckets))
-        kept = self._with_forms(files).join(gone, names, "left_anti")
+        kept = self._with_forms(files, on).join(gone, names, "left_anti")
         self.commit(self.write(kept), run_id, "delete", buckets)
         return sum(r["n"] for r in hits)
 
@@ -220,14 +224,7 @@ class DestTable:
     def _last_seq(self) -> int:
         return self.commits().agg(F.max("seq")).first()[0] or 0
 
-    def _with_forms(self, df: DataFrame) -> DataFrame:
-        forms = normal_forms(df, self.spec.primary_key, self.spec.key_collation)
+    def _with_forms(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Adds the keys as they are compared."""
+        forms = normal_forms(df, keys, self.spec.key_collation)
         return df.withColumns({f"_k{i}": f for i, f in enumerate(forms)})
-
-    def _forms(self, keys: DataFrame) -> DataFrame:
-        """Keys in destination types, as they are compared."""
-        typed = keys.select(
-            *[F.col(k).cast(self.spec.schema[k].dataType).alias(k) for k in self.spec.primary_key]
-        )
-        forms = normal_forms(typed, self.spec.primary_key, self.spec.key_collation)
-        return typed.select(*[f.alias(f"_k{i}") for i, f in enumerate(forms)])

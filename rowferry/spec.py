@@ -45,7 +45,12 @@ class DestSpec:
 
 @dataclass(frozen=True)
 class JobSpec:
-    """One copy job. An empty or zero setting means its default."""
+    """One copy job. An empty or zero setting means its default.
+
+    ``split_hot_keys=False`` saves the scan of the key columns that looks for
+    heavily repeated keys; it suits queries that return each key a few times at
+    most, and never changes a result.
+    """
 
     name: str
     source_table: str
@@ -61,6 +66,7 @@ class JobSpec:
     deletes: str = "all"
     combined: bool = False
     batch_history: bool = False
+    split_hot_keys: bool = True
 
     def __post_init__(self):
         object.__setattr__(self, "primary_key", as_keys(self.primary_key or "id"))

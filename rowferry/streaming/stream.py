@@ -39,7 +39,8 @@ def insert_batch(job: JobSpec, dest: DestTable, store: S.StateStore, late: str):
             keep = after_watermark(pk, *(mark or (None, None))) if late == "drop" else F.lit(True)
             # A stream shows a row once, so rows without a key must reach the rejects now.
             rows = batch.where(keep | F.col(pk).isNull())
-            dest.insert(classify(rows, dest.spec, dest.keys().where(keep)), run_id)
+            hot = None if job.split_hot_keys else []
+            dest.insert(classify(rows, dest.spec, dest.keys().where(keep), hot=hot), run_id)
         seq = dest.commits().where(F.col("run_id") == run_id).first()["seq"]
         last = S.watermark_advance(dest.run_rows(seq), pk).first()["new_value"]
         if last is None:

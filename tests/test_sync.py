@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 from rowferry.plans import state as S
-from rowferry.plans.sync import RunResult, SyncError, full_load, sync
+from rowferry.plans.sync import RunResult, full_load, sync
 from rowferry.sources.table import DestTable
 from rowferry.spec import DestSpec, JobSpec
 
@@ -127,8 +127,7 @@ def test_resume(spark, place):
     source(spark, [(i, "v") for i in range(100)] + [(None, "n")])
     dest, store = place(SPEC)
     first = RunResult("a", "full")
-    with pytest.raises(SyncError):
-        full_load(spark, JOB, dest, store, first, ranges=4, stop_after=2)
+    full_load(spark, dataclasses.replace(JOB, split_hot_keys=False), dest, store, first, ranges=4, stop_after=2)
     point = store.checkpoint(JOB)
     assert point["rows_processed"] == first.rows_processed and 0 < dest.read().count() < 100
     again = RunResult("b", "full")
@@ -279,3 +278,21 @@ def test_schema_warnings_do_not_stop_a_run(spark, place):
         ("id", "warning", "nullable"), ("v", "warning", "type"), ("v", "warning", "nullable"),
         ("w", "warning", "extra_in_destination"),
     }
+
+
+def test_source_key_differs_from_the_configured_one(spark, place):
+    """The source's own key is paged by and stored; the destination's decides conflicts."""
+    spec = DestSpec(T.StructType().add("id", "long").add("n", "integer"), "id", buckets=4)
+    dest, store = place(spec)
+    job = JobSpec("j", "sync_src", "d", "id", query="SELECT id, n FROM {{table}}", source_keys=("n", "m"))
+    dest.load(spark.createDataFrame([(7, 1)], "id long, n int"))
+    source(spark, [(7, 1), (3, 2), (1, 3)], "id long, n int")
+    r = run(spark, job, dest, store, "incremental")
+    assert r.reason == "Primary key column 'n' found" and (r.rows_processed, r.rows_inserted) == (3, 2)
+    assert store.watermark(job, "n") == ("3", "int")
+    source(spark, [(7, 1), (3, 2), (1, 3), (0, 4), (3, 5)], "id long, n int")
+    r = run(spark, job, dest, store, "incremental")
+    assert (r.rows_processed, r.rows_inserted) == (2, 1) and ids(dest) == [0, 1, 3, 7]
+    source(spark, [(7, 1, 1), (9, 4, 1)], "id long, n int, is_deleted int")
+    r = run(spark, job, dest, store, "delta")
+    assert r.rows_removed == 2 and ids(dest) == [1, 3]
