@@ -68,7 +68,7 @@ def hot_keys(df: DataFrame, forms: Sequence[Column], rows: int = HOT_ROWS, share
     Reads the key columns only. The outcome of a load does not depend on this
     list; a key missing from it or listed without need only costs time.
     """
-    seen = df.select(F.xxhash64(*forms).alias("h")).sample(share, seed=7).groupBy("h").count()
+    seen = df.select(F.xxhash64(*forms).alias("h")).sample(fraction=share, seed=7).groupBy("h").count()
     hot = seen.where(F.col("count") > rows * share).orderBy(F.desc("count"), "h").limit(10_000)
     return [r["h"] for r in hot.collect()]
 
