@@ -270,6 +270,12 @@ ORACLES = {
         "COUNT(*) AS n_rows, CAST(SUM(l_partkey) AS BIGINT) AS sum_partkey FROM lik LEFT JOIN late "
         "ON late.l_orderkey = lik.l_orderkey AND late.l_linenumber = lik.l_linenumber GROUP BY 1"
     ),
+    "full_load_hot_keys": (
+        "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, CASE WHEN ROW_NUMBER() OVER ("
+        "PARTITION BY l_returnflag ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, "
+        "l_extendedprice, l_discount, l_tax, l_linestatus, l_shipdate) = 1 THEN 'accepted' ELSE 'duplicate_key' END "
+        "AS outcome FROM lineitem"
+    ),
     "batch_metrics": (
         f"{INCB} SELECT batch_no, COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE accepted) AS rows_inserted, "
         "COUNT(*) FILTER (WHERE NOT accepted) AS rows_rejected, MAX(o_orderkey) AS last_pk FROM incb GROUP BY batch_no"
@@ -351,9 +357,23 @@ ORACLES = {
         "AND o_orderkey NOT IN (SELECT o_orderkey FROM dst)"
     ),
     "sync_rejects": f"{BASE} SELECT o_orderkey, 'duplicate_key' AS reason FROM dst WHERE o_orderkey > {MID}",
+    "sync_batches": (
+        f"{INCB}, b AS (SELECT batch_no, COUNT(*) AS n, COUNT(*) FILTER (WHERE accepted) AS ok, "
+        "CAST(MAX(o_orderkey) AS VARCHAR) AS last_pk FROM incb GROUP BY batch_no) "
+        "SELECT batch_no, n AS rows_processed, ok AS rows_inserted, n - ok AS rows_rejected, last_pk, "
+        "CAST(SUM(n) OVER (ORDER BY batch_no) AS BIGINT) AS rows_done, "
+        "CAST(ROUND(SUM(n) OVER (ORDER BY batch_no) * 100.0 / SUM(n) OVER (), 2) AS DOUBLE) AS pct FROM b"
+    ),
+    "sync_history": (
+        f"{INCB} SELECT 'incremental' AS mode, 'Primary key column ''o_orderkey'' found' AS reason, "
+        "COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE accepted) AS rows_inserted, "
+        "COUNT(*) FILTER (WHERE NOT accepted) AS rows_rejected, 'completed' AS status, 'o_orderkey' AS pk, "
+        "CAST(MAX(o_orderkey) AS VARCHAR) AS value, 'bigint' AS value_type FROM incb"
+    ),
     "sync_delta": f"{BASE} SELECT * FROM dst WHERE o_orderstatus <> 'F'",
     "sync_sequence": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
     "stream_incremental": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_late_keys": f"SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_id > {MID_EVENT}",
+    "stream_late_fill": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_delete": "SELECT event_id, event_type FROM events WHERE event_type <> 'error'",
 }

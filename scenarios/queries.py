@@ -395,6 +395,16 @@ def classified_load(spark, sf):
     )
 
 
+def full_load_hot_keys(spark, sf):
+    """Three keys hold all rows: they are found by sample, split and ranked twice."""
+    line = table(spark, sf, "lineitem")
+    hot = C.hot_keys(line, [F.col("l_returnflag")], rows=1000, share=0.5)
+    outcome = C.classify(line, dest_spec(line, "l_returnflag"), hot=hot)
+    return outcome.select(
+        *LINE_KEY, "l_partkey", "l_suppkey", "l_returnflag", F.coalesce("_reason", F.lit("accepted")).alias("outcome")
+    )
+
+
 def _batch_rows(spark, sf) -> DataFrame:
     s, d, mid = src_dst(spark, sf)
     outcome = C.classify(s.where(fresh(mid)), dest_spec(s, "o_orderkey"), d.where(fresh(mid)))
@@ -646,28 +656,42 @@ def full_load_resumed(spark, sf):
     return dest.read().select(*LINE_KEY, "l_partkey")
 
 
-def _incremental(spark, sf, label: str) -> DestTable:
+def _incremental(spark, sf, label: str) -> tuple[DestTable, S.StateStore]:
     views(spark, sf, "orders")
     _, d, mid = src_dst(spark, sf)
     dest, store = workplace(spark, dest_spec(d, "o_orderkey"), label)
     dest.load(d)
-    job = orders_job(spark, sf, "orders")
+    job = orders_job(spark, sf, "orders", batch_history=label == "sync-batches")
     store.put(
         "watermarks", 1, job=job.name, source_table="orders", dest_table="dst",
         pk="o_orderkey", value=str(mid), value_type="bigint",
     )
     completed(sync(spark, job, dest, store), "incremental")
-    return dest
+    return dest, store
 
 
 def sync_incremental(spark, sf):
-    return _incremental(spark, sf, "sync-incremental").read()
+    return _incremental(spark, sf, "sync-incremental")[0].read()
+
+
+def sync_batches(spark, sf):
+    """The batch counters an incremental run leaves behind."""
+    _, store = _incremental(spark, sf, "sync-batches")
+    return store.history("batches").drop("job", "run_id", "seq")
+
+
+def sync_history(spark, sf):
+    """The run record and the watermark of an incremental run."""
+    _, store = _incremental(spark, sf, "sync-history")
+    mark = S.watermark_lookup(store.history("watermarks")).select("job", "pk", "value", "value_type")
+    counters = ("rows_processed", "rows_inserted", "rows_rejected")
+    return store.history("runs").select("job", "mode", "reason", *counters, "status").join(mark, "job").drop("job")
 
 
 def sync_rejects(spark, sf):
     """The dead letters an incremental run leaves behind."""
     key = F.get_json_object("row", "$.o_orderkey").cast("long")
-    return _incremental(spark, sf, "sync-rejects").rejects().select(key.alias("o_orderkey"), "reason")
+    return _incremental(spark, sf, "sync-rejects")[0].rejects().select(key.alias("o_orderkey"), "reason")
 
 
 def sync_delta(spark, sf):
@@ -721,17 +745,25 @@ def stream_incremental(spark, sf):
     return dest.read()
 
 
-def stream_late_keys(spark, sf):
-    events, dest, store, job, checkpoint = stream_place(spark, sf, "stream-late")
+def _late(spark, sf, late: str) -> DataFrame:
+    events, dest, store, job, checkpoint = stream_place(spark, sf, f"stream-late-{late}")
     store.put(
         "watermarks", 1, job=job.name, source_table="events", dest_table="ev",
         pk="event_id", value=str(middle(events, "event_id")), value_type="bigint",
     )
     stream = event_stream(spark, sf).select(*EVENT_COLUMNS)
-    stream_inserts(stream, job, dest, store, checkpoint, late="drop").awaitTermination()
+    stream_inserts(stream, job, dest, store, checkpoint, late=late).awaitTermination()
     return dest.read()
 
 
+def stream_late_keys(spark, sf):
+    return _late(spark, sf, "drop")
+
+
+def stream_late_fill(spark, sf):
+    return _late(spark, sf, "fill")
+
+
 def stream_delete(spark, sf):
     events, dest, store, job, checkpoint = stream_place(spark, sf, "stream-delete")
     dest.load(events)
@@ -752,12 +784,13 @@ QUERIES = {
         type_code_map, type_compat_matrix, schema_compat_report, schema_verdict, dest_pk_validation, pk_choice,
         column_mapping_insert, full_load_accepted, full_load_rejects, incremental_accepted,
         incremental_first_run, incremental_rejects, constraint_rejects, reject_table, classified_load,
+        full_load_hot_keys,
         batch_metrics, load_progress, delta_apply, delta_effect,
         watermark_lookup, watermark_upsert, watermark_advance, checkpoint_lookup, checkpoint_upsert,
         checkpoint_complete, state_clear, state_clear_count, delete_log_merge, delete_log_pending,
         delete_log_mark, run_summary, multi_job_state,
         mode_detect, mode_forced, fresh_start,
-        sync_full, full_load_resumed, sync_incremental, sync_rejects, sync_delta, sync_sequence,
-        stream_incremental, stream_late_keys, stream_delete,
+        sync_full, full_load_resumed, sync_incremental, sync_rejects, sync_batches, sync_history, sync_delta,
+        sync_sequence, stream_incremental, stream_late_keys, stream_late_fill, stream_delete,
     )
 }
