@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The modes and the texts of their reasons.
 MODES = ("full", "incremental", "delta")
 FORCED = "Manually forced"
+EMPTY_DESTINATION = "Destination table is empty"
+DELETED_FOUND = "Found %s deleted records in source"
+KEY_FOUND = "Primary key column '%s' found"
+NO_KEY = "No primary key found, defaulting to full load"
+INVALID_MODE = "Invalid mode: %s. Valid modes are: full, incremental, delta"
 
 
 def pk_choice(source_columns: DataFrame, configured: Column, by: str) -> DataFrame:
@@ -40,10 +46,10 @@ def mode_columns() -> tuple[Column, Column]:
     delta = F.col("has_flag") & (F.col("flagged") > 0)
     mode = F.when(empty, "full").when(delta, "delta").when(F.col("has_pk"), "incremental").otherwise("full")
     reason = (
-        F.when(empty, "Destination table is empty")
-        .when(delta, F.concat(F.lit("Found "), F.col("flagged"), F.lit(" deleted records in source")))
-        .when(F.col("has_pk"), F.concat(F.lit("Primary key column '"), F.col("pk"), F.lit("' found")))
-        .otherwise("No primary key found, defaulting to full load")
+        F.when(empty, EMPTY_DESTINATION)
+        .when(delta, F.format_string(DELETED_FOUND, F.col("flagged")))
+        .when(F.col("has_pk"), F.format_string(KEY_FOUND, F.col("pk")))
+        .otherwise(NO_KEY)
     )
     return mode, reason
 
@@ -56,8 +62,7 @@ def mode_detect(states: DataFrame) -> DataFrame:
 def mode_forced(states: DataFrame, forced: Column) -> DataFrame:
     """Forced modes: a known mode is taken as it is, any other is an error."""
     known = forced.isin(*MODES)
-    valid = ", ".join(MODES)
-    error = F.concat(F.lit("Invalid mode: "), forced, F.lit(f". Valid modes are: {valid}"))
+    error = F.format_string(INVALID_MODE, forced)
     return states.withColumns(
         {
             "mode": F.when(known, forced),

@@ -22,15 +22,26 @@ from rowferry.operators.loads import batch_metrics, load_progress
 from rowferry.operators.paging import key_cuts
 from rowferry.operators.profile import deleted_keys
 from rowferry.plans import state as S
-from rowferry.plans.modes import FORCED, MODES, mode_columns
+from rowferry.plans.modes import FORCED, INVALID_MODE, MODES, mode_columns
 from rowferry.sources.table import DestTable, next_seq
 from rowferry.sources.template import check_query, extract, render
 from rowferry.sources.workdir import rows_of, write_through
 from rowferry.spec import DestSpec, JobSpec
 
 
+# The texts of refused runs.
+NO_TABLE = "Source table '%s' does not exist"
+BAD_QUERY = "SQL query syntax error: %s"
+BAD_SCHEMA = "Schema validation failed: %s"
+NO_COLUMN = "Column '%s' exists in source but not in destination"
+NO_KEY_COLUMN = "Primary key column '%s' not found in destination table"
+NOT_PRIMARY = "Column '%s' is not a PRIMARY KEY in destination table"
+IDENTITY_KEY = "Destination primary key '%s' has AUTO_INCREMENT"
+KEY_NOT_IN_QUERY = "Primary key column '%s' not found in query result"
+
+
 class SyncError(RuntimeError):
-    pass
+    """A run that must not go on."""
 
 
 @dataclass
@@ -72,25 +83,21 @@ def job_schema_report(source: DataFrame, spec: DestSpec) -> DataFrame:
 
 def schema_errors(source: DataFrame, spec: DestSpec, pk: tuple[str, ...]) -> list[str]:
     """Reasons to refuse the run; type and NULL differences only warn."""
-    errors = [
-        f"Column '{c}' exists in source but not in destination"
-        for c in source.columns
-        if c not in spec.schema.names
-    ]
+    errors = [NO_COLUMN % c for c in source.columns if c not in spec.schema.names]
     for k in pk:
         if k not in spec.schema.names:
-            errors.append(f"Primary key column '{k}' not found in destination table")
+            errors.append(NO_KEY_COLUMN % k)
             continue
         if k not in spec.primary_key:
-            errors.append(f"Column '{k}' is not a PRIMARY KEY in destination table")
+            errors.append(NOT_PRIMARY % k)
         if k in spec.identity:
-            errors.append(f"Destination primary key '{k}' has AUTO_INCREMENT")
+            errors.append(IDENTITY_KEY % k)
     return errors
 
 
 def preflight(spark: SparkSession, job: JobSpec) -> None:
     if not spark.catalog.tableExists(job.source_table):
-        raise SyncError(f"Source table '{job.source_table}' does not exist")
+        raise SyncError(NO_TABLE % job.source_table)
 
 
 def choose_pk(job: JobSpec) -> tuple[str, ...]:
@@ -276,7 +283,7 @@ def incremental_load(
     """Insert rows whose key lies after the watermark and is not there yet."""
     source = extract(spark, job.query, job.source_table)
     if pk not in source.columns:
-        raise SyncError(f"Primary key column '{pk}' not found in query result")
+        raise SyncError(KEY_NOT_IN_QUERY % pk)
     value, kind = store.watermark(job, pk) or (None, None)
     fresh = after_watermark(pk, value, kind)
     # The key that is paged by need not be the destination's key.
@@ -356,10 +363,10 @@ def sync(
         start_fresh(job, store, empty)
         valid, error = check_query(spark, job.query, job.source_table)
         if not valid:
-            raise SyncError(f"SQL query syntax error: {error}: {render(job.query, job.source_table)}")
+            raise SyncError(BAD_QUERY % f"{error}: {render(job.query, job.source_table)}")
         errors = schema_errors(extract(spark, job.query, job.source_table), dest.spec, job.primary_key)
         if errors:
-            raise SyncError("Schema validation failed: " + ", ".join(errors))
+            raise SyncError(BAD_SCHEMA % ", ".join(errors))
         if job.truncate:
             dest.truncate(f"{result.run_id}-truncate")
             empty = True
@@ -368,7 +375,7 @@ def sync(
         elif force_mode in MODES:
             result.mode, result.reason = force_mode, FORCED
         else:
-            raise SyncError(f"Invalid mode: {force_mode}. Valid modes are: {', '.join(MODES)}")
+            raise SyncError(INVALID_MODE % force_mode)
         run_mode(spark, job, dest, store, result, ranges)
     except Exception as e:
         result.status, result.error = "failed", str(e)
