@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 DUPLICATE_KEY = "duplicate_key"
 NULL_KEY = "null_key"
+DELETED = "deleted"
 
 # The collations a string key may be compared under.
 KEY_COLLATIONS = ("UTF8_LCASE", "UTF8_BINARY_RTRIM", "UTF8_LCASE_RTRIM")

@@ -105,6 +105,9 @@ def classify_conformed(
 ) -> DataFrame:
     """Every row of ``conform`` with its final ``_reason``, NULL when accepted.
 
+    ``existing`` holds taken keys; rows that lose to one are duplicates, or get
+    the reason in its column ``_why`` where it has one.
+
     Source rows and destination keys meet in one shuffle by key; a destination
     key sorts ahead of the rows that compete for it. The rows of a hot key are
     spread by the task that read them, ranked there, and only the best of each
@@ -128,22 +131,25 @@ def classify_conformed(
             "_salt": F.when(F.col("_reason").isNotNull() | is_hot, F.spark_partition_id()).otherwise(-1),
         }
     )
+    why = ["_why"] if existing is not None and "_why" in existing.columns else []
     if existing is not None:
-        held = existing.select(*[F.col(k).cast(spec.schema[k].dataType).alias(k) for k in keys])
+        held = existing.select(*[F.col(k).cast(spec.schema[k].dataType).alias(k) for k in keys], *why)
         held = held.select(
             *[f.alias(n) for n, f in zip(forms, normal_forms(held, keys, spec.key_collation))],
             F.lit(DEST).alias("_origin"),
             F.lit(False).alias("_bad"),
             F.lit(-1).alias("_salt"),
+            *why,
         )
         meet = meet.unionByName(held, allowMissingColumns=True)
 
     def ranked(df, *by):
-        return df.withColumn("_rn", F.row_number().over(W.partitionBy(*by).orderBy("_origin", *order)))
+        window = W.partitionBy(*by).orderBy("_origin", *order)
+        return df.withColumns({"_rn": F.row_number().over(window), **{c: F.first(c).over(window) for c in why}})
 
     def settled(df):
         lost = ~F.col("_bad") & (F.col("_rn") > 1)
-        reason = F.when(lost, F.lit(DUPLICATE_KEY)).otherwise(F.col("_reason"))
+        reason = F.when(lost, F.coalesce(*why, F.lit(DUPLICATE_KEY))).otherwise(F.col("_reason"))
         return df.where(F.col("_origin") == SOURCE).withColumn("_reason", reason)
 
     first = ranked(meet, *forms, "_salt", "_bad")

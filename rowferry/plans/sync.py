@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import after, after_watermark, key_text, typed_value
+from rowferry.functions.keys import DELETED, DUPLICATE_KEY, after, after_watermark, key_text, typed_value
 from rowferry.functions.types import spark_type_name
 from rowferry.operators.classify import classify
 from rowferry.operators.compat import schema_report
@@ -278,9 +278,18 @@ def save_watermark(job: JobSpec, store: S.StateStore, pk: str, value: str, kind:
 
 
 def incremental_load(
-    spark: SparkSession, job: JobSpec, dest: DestTable, store: S.StateStore, result: RunResult, pk: str
+    spark: SparkSession,
+    job: JobSpec,
+    dest: DestTable,
+    store: S.StateStore,
+    result: RunResult,
+    pk: str,
+    flagged: DataFrame | None = None,
 ) -> None:
-    """Insert rows whose key lies after the watermark and is not there yet."""
+    """Insert rows whose key lies after the watermark and is not there yet.
+
+    Rows whose key is in ``flagged`` are refused as deleted.
+    """
     source = extract(spark, job.query, job.source_table)
     if pk not in source.columns:
         raise SyncError(KEY_NOT_IN_QUERY % pk)
@@ -288,6 +297,9 @@ def incremental_load(
     fresh = after_watermark(pk, value, kind)
     # The key that is paged by need not be the destination's key.
     existing = dest.keys().where(fresh) if pk in dest.spec.primary_key else dest.keys()
+    if flagged is not None:
+        gone = flagged.distinct().withColumn("_why", F.lit(DELETED))
+        existing = existing.withColumn("_why", F.lit(DUPLICATE_KEY)).unionByName(gone)
     rows, last = _load(job, source.where(fresh), existing, dest, result, pk)
     if job.batch_history:
         _save_batches(job, store, rows, dest, result, result.rows_processed)
@@ -343,7 +355,9 @@ def run_mode(
     else:
         delta_load(spark, job, dest, store, result, pk)
         if job.combined:
-            incremental_load(spark, job, dest, store, result, pk[0])
+            # Rows deleted just now must not come back with the inserts.
+            flagged = deleted_keys(spark.table(job.source_table), dest.spec.primary_key, job.deleted_flag)
+            incremental_load(spark, job, dest, store, result, pk[0], flagged)
 
 
 def sync(

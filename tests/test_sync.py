@@ -95,9 +95,10 @@ def test_combined_run(spark, place):
     job = dataclasses.replace(JOB, combined=True)
     dest.load(spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"))
     store.put("watermarks", 1, job="j", source_table="sync_src", dest_table="d", pk="id", value="2", value_type="bigint")
-    source(spark, [(1, "a", 0), (2, "b", 1), (4, "d", 0)], FLAGGED)
+    source(spark, [(1, "a", 0), (2, "b", 1), (4, "d", 0), (5, "e", 1)], FLAGGED)
     r = run(spark, job, dest, store, "delta")
-    assert ids(dest) == [1, 4] and (r.rows_removed, r.rows_inserted) == (1, 1)
+    assert ids(dest) == [1, 4] and (r.rows_removed, r.rows_inserted, r.rows_rejected) == (1, 1, 1)
+    assert [x.reason for x in dest.rejects().collect()] == ["deleted"]
 
 
 def test_no_declared_key_means_full(spark, place):
