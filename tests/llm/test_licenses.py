@@ -1,0 +1,57 @@
+import re
+
+from pyspark.sql import types as T
+
+from rowferry.llm.licenses import Template, scan_licenses
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+SCHEMA = "doc_id long, text string"
+
+
+def brute(text):
+    words = WORD.findall((text or "").translate(UPPER))
+    at = [(i, label) for p, label in PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+    starts = [i for i, _ in at]
+    return (len(words), len(at), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in at})))
+
+
+def base(df):
+    return sorted(((r.doc_id, (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)) for r in df.collect()), key=repr)
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = sorted(((r.doc_id, brute(r.text)) for r in docs.collect()), key=repr)
+    assert base(scan_licenses(docs)) == want
+    assert any(x[1][1] for x in want)
+
+
+def test_edges(spark):
+    filler = "wort " * 31
+    texts = [None, "", "...", "CC BY", "cc by cc by", "cc\nby", "ccby", "cc by by", filler + "all rights reserved", "wort " * 64 + "cc BY-nc",
+             "general public License general\tpublic license", "x " * 100_000 + "cc by " * 3, "CC BY", "É cc byé cc-by"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "cc by"), (3, "CC BY")], SCHEMA)
+    want = sorted([(i, brute(t)) for i, t in [*enumerate(texts), (None, "cc by"), (3, "CC BY")]], key=repr)
+    assert base(scan_licenses(docs)) == want
+
+
+def test_labels_and_threshold(spark):
+    docs = spark.createDataFrame(
+        [(0, "Released under the MIT License."), (1, "released under a license by mit"), (2, "Licensed under CC BY-NC 4.0."),
+         (3, "one two three four five six seven eight"), (4, "one two three four five six seven nine"), (5, "one two three")],
+        SCHEMA,
+    )
+    own = (Template("mit", "released under the mit license"), Template("cc-by", "cc by", phrase=True),
+           Template("count", "one two three four five six seven ten", 80))
+    got = {r.doc_id: (r.labels, round(r.score, 3)) for r in scan_licenses(docs, own).collect()}
+    assert got == {0: ("mit", 1.0), 1: ("", 0.0), 2: ("cc-by", 1.0), 3: ("count", 0.875), 4: ("count", 0.875), 5: ("", 0.0)}
+
+
+def test_empty_and_clashing(spark):
+    assert scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+    docs = spark.createDataFrame([(1, "cc by", "x", 5)], T.StructType.fromDDL("doc_id long, text string, labels string, n_words int"))
+    row = scan_licenses(docs).first()
+    assert (row.labels, row.n_words) == ("cc-by", 2)
