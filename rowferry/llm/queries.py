@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import write_through
+from .decontamination import find_overlaps
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .quality import features, rate_quality
@@ -20,6 +21,15 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = find_overlaps(docs, table(spark, sf_dir, "benchmark"), carry=False)
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = write_through(features(docs).drop("text"), "quality")
@@ -40,12 +50,39 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_licenses": op1_licenses,
+    "op2_decontamination": op2_decontamination,
     "op5_quality": op5_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLES = {
+    "op2_decontamination": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(10, len(w)) AS n FROM i WHERE len(w) > 0),
+known AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS p FROM sized)
+),
+lengths AS (SELECT DISTINCT n FROM known),
+runs AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS run
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, lengths)
+),
+hits AS (SELECT doc_id, p, n, item_id FROM runs JOIN known USING (n, run)),
+words AS (SELECT doc_id, count(DISTINCT p + j) AS n_hit FROM (SELECT doc_id, p, unnest(range(n)) AS j FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
     "op9_line_dedup": """
 WITH lines AS (
   SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
