@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import write_through
+from .common import work_path, write_through
 from .decontamination import find_overlaps
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
+from .packing import pack_documents
 from .quality import features, rate_quality
 from .sharding import shard
+from .tokens import read_tokens, write_tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    return read_tokens(spark, path)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     measured = write_through(features(docs).drop("text"), "quality")
@@ -51,6 +63,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_decontamination": op2_decontamination,
+    "op3_token_ids": op3_token_ids,
+    "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
