@@ -9,6 +9,7 @@ from .common import work_path, write_through
 from .decontamination import find_overlaps
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
+from .minhash import near_duplicates
 from .packing import pack_documents
 from .quality import features, rate_quality
 from .sharding import shard
@@ -50,6 +51,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -66,6 +72,7 @@ QUERIES = {
     "op3_token_ids": op3_token_ids,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
+    "op8_minhash": op8_minhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
