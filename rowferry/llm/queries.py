@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import work_path, write_through
 from .decontamination import find_overlaps
+from .html_text import extract_text
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .minhash import near_duplicates
@@ -51,6 +52,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_shingles", "component_id", "kept")
@@ -72,6 +77,7 @@ QUERIES = {
     "op3_token_ids": op3_token_ids,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
+    "op6_html": op6_html,
     "op8_minhash": op8_minhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
