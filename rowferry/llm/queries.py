@@ -10,6 +10,7 @@ from .decontamination import find_overlaps
 from .html_text import extract_text
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
+from .masked_lm import score, train
 from .minhash import near_duplicates
 from .packing import pack_documents
 from .quality import features, rate_quality
@@ -56,6 +57,11 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, train(docs))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_shingles", "component_id", "kept")
@@ -78,6 +84,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_html": op6_html,
+    "op7_masked_lm": op7_masked_lm,
     "op8_minhash": op8_minhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,

@@ -1,0 +1,100 @@
+"""Each stage on what the one before kept, against brute force; edge rows through the whole pipeline."""
+
+import re
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline as cp
+from test_minhash import brute as near_brute
+from test_quality import brute as measures
+from test_tokens import check_packing
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def line_brute(docs):
+    def key(x):
+        return x.strip(SPACE).translate(UPPER)
+
+    often = Counter(k for _, t in docs for k in {key(x) for x in (t or "").split("\n")} if k)
+    return {i: t and "\n".join(x for x in t.split("\n") if often[key(x)] < 10) for i, t in docs}
+
+
+def leak_brute(docs, items):
+    def words(t):
+        return WORD.findall((t or "").translate(UPPER))
+
+    runs = {tuple(w[i : i + 10]) for w in map(words, items) for i in range(max(1, len(w) - 9)) if w}
+    sizes = {len(r) for r in runs}
+    return {i for i, t in docs if any(tuple(w[k : k + n]) in runs for w in [words(t)] for n in sizes for k in range(len(w) - n + 1))}
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [("documents", docs, [tuple(r) for r in docs.select(*cp.COLUMNS).collect()])]
+    for name, stage in cp.STAGES:
+        docs = cp.write_through(stage(spark, docs, SF), name)
+        out.append((name, docs, docs.collect()))
+    return out
+
+
+def pairs(rows):
+    return [(r[0], r[1]) for r in rows]
+
+
+def test_order_and_columns(stages):
+    assert [s[0] for s in stages] == ["documents", "quality_rules", "line_dedup", "near_dedup", "decontamination", "packing"]
+    assert all(tuple(df.columns) == cp.COLUMNS for _, df, _ in stages[:-1])
+
+
+def test_quality(spark, stages):
+    kept = {i for i, _ in pairs(stages[1][2])}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    for i, text in pairs(stages[0][2]):
+        n, *_, repeats = measures(text)
+        failed = n < 10 or 100 * repeats > 20 * n
+        assert not (failed and i in kept)
+        if labels.get(i) == 1 and not failed:
+            assert i in kept
+    bad = [i for i, q in labels.items() if q == 0]
+    assert sum(i in kept for i in bad) <= 0.05 * len(bad)
+
+
+def test_lines(stages):
+    assert dict(pairs(stages[2][2])) == line_brute(pairs(stages[1][2]))
+
+
+def test_near(stages):
+    want = near_brute(pairs(stages[2][2]))
+    assert {i for i, _ in pairs(stages[3][2])} == {i for i, (_, _, kept) in want.items() if kept}
+
+
+def test_leaks(spark, stages):
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    before = pairs(stages[3][2])
+    leaks = leak_brute(before, items)
+    assert leaks and {i for i, _ in pairs(stages[4][2])} == {i for i, _ in before} - leaks
+
+
+def test_packing(stages):
+    bins, total = check_packing(pairs(stages[4][2]), stages[5][2], 2048)
+    assert bins <= 1.02 * total / 2048 + 1
+
+
+def test_edge_rows(spark, tmp_path):
+    """NULLs everywhere, empty and repeated texts, repeated ids, extra columns; and no rows at all."""
+    long = " ".join(f"word{i}" for i in range(3000)) + "."
+    rows = [(1, None, None, None, None, 1), (None, None, None, None, None, 2), (2, "", "en", "s", 0, 3), (2, long, None, "s", 5, 4),
+            (3, long, "en", None, 5, 5), (None, "another text of more than ten words that is only here once.", "en", "s", 9, 6)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept int"
+    for name, data in (("rows", rows), ("none", [])):
+        place = f"{tmp_path}/{name}"
+        spark.createDataFrame(data, schema).write.parquet(f"{place}/documents.parquet")
+        spark.createDataFrame([(1, None), (None, "some item of the benchmark")] if data else [], "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
+        got = sorted({str(r.doc_id) for r in cp.run(spark, place).collect()})
+        assert got == (["2", "None"] if data else [])
