@@ -87,7 +87,7 @@ def _print_filter(items: DataFrame) -> np.ndarray:
 
 def _passes(bitmap: np.ndarray, prints: np.ndarray) -> np.ndarray:
     # fingerprints count as signed numbers in Spark; modulo a power of two both agree
-    bit = prints & np.uint64(FILTER_BITS - 1)
+    bit = prints & np.uint64(8 * len(bitmap) - 1)
     return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 

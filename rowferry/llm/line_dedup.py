@@ -255,7 +255,7 @@ class LineIndex:
                 texts, n_lines, n_dropped, i = [], [], [], 0
                 for lines in split:
                     if lines is None:
-                        texts, n_lines, n_dropped = [*texts, None], [*n_lines, 1], [*n_dropped, 0]
+                        texts.append(None), n_lines.append(1), n_dropped.append(0)
                         continue
                     here = gone[i : i + len(lines)]
                     i += len(lines)
