@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,20 +21,44 @@ END_ID = 1
 BLOCK_IDS = 1 << 20
 
 
+#: Beyond these, lower-casing may depend on neighbours and letters may be composed.
+_EXOTIC = re.compile("[^\x00-\u024f]")
+#: A mark right after a letter or digit begins a token there; an apostrophe may not.
+_MARK = re.compile(r"[^\w\s'](?<=[^\W_].)")
+
+
+def _byte_characters() -> list[str]:
+    """Printable Latin-1 characters stand for themselves, the other bytes for those from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
+_BYTES = _byte_characters()
+
+
 class Encoder:
     """Encodes texts with a tokenizer whose tokens never reach over white space, keeping the ids of words it has seen.
 
     Such a tokenizer gives a text the ids of its pieces between white space, one after the other, so each distinct
     piece goes to the library once while it is remembered. Only space, tab, newline and return part pieces here; other
     white space stays inside a piece and is the library's business. ``limit`` bounds the memory, not the result.
+
+    A tokenizer that lower-cases gets texts without exotic characters in lower case, with marks set apart from the word
+    before where it would part them anyway; that makes distinct pieces fewer. Pieces of letters alone then
+    need no further normalisation or splitting and go straight to the library's merges, their bytes written as the
+    characters that byte-level tokenizers use for them.
     """
 
-    def __init__(self, name: str = TOKENIZER, limit: int = 300_000):
+    def __init__(self, name: str = TOKENIZER, limit: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        self.whole = Tokenizer.from_file(name if os.path.isabs(name) else public_tokenizers.path(name))
+        self.merges = self.whole.model
+        kinds = repr(self.whole.normalizer) + repr(self.whole.pre_tokenizer)
+        self.folds = "Lowercase" in kinds and "ByteLevel" in kinds and "{L}" in kinds
         self.limit = limit
         self._forget()
 
@@ -42,32 +67,49 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
 
-    def _learn(self, pieces: set[str]) -> None:
-        new = sorted(pieces.difference(self.known))
-        if len(self.known) + len(new) > self.limit and self.known:
-            self._forget()
-            new = sorted(pieces)
-        if not new:
-            return
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+    def _learn(self, pieces: list[str]) -> None:
+        plain = [p for p in pieces if self.folds and p.isalpha() and p == p.lower() and not _EXOTIC.search(p)]
+        rest = list(set(pieces).difference(plain))
+        merge = self.merges.tokenize
+        coded = [[t.id for t in merge(p if p.isascii() else "".join(map(_BYTES.__getitem__, p.encode())))] for p in plain]
+        for at in range(0, len(rest), 1000):
+            coded += [e.ids for e in self.whole.encode_batch_fast(rest[at : at + 1000], add_special_tokens=False)]
         sizes = np.fromiter(map(len, coded), np.int64, len(coded))
         flat = np.fromiter(chain.from_iterable(coded), np.uint32, int(sizes.sum()))
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.known.update(zip(chain(plain, rest), range(len(self.known), len(self.known) + len(coded))))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, flat])
 
+    def _find(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece, those not known yet learnt first."""
+        at = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        lacking = np.flatnonzero(at < 0).tolist()
+        if not lacking:
+            return at
+        new = set(map(pieces.__getitem__, lacking))
+        if self.known and len(self.known) + len(new) > self.limit:
+            self._forget()
+            new = set(pieces)
+            lacking = range(len(pieces))
+        self._learn(list(new))
+        at[lacking] = np.fromiter(map(self.known.__getitem__, map(pieces.__getitem__, lacking)), np.int64, len(lacking))
+        return at
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and the offsets of the texts in them."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        split = []
+        for text in texts:
+            if self.folds and "<|" not in text and (text.isascii() or not _EXOTIC.search(text)):
+                text = _MARK.sub(r" \g<0>", text.lower())
+            split.append(text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))
         pieces = list(chain.from_iterable(split))
-        self._learn(set(pieces))
-        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        at = self._find(pieces)
         first = self.starts[at]
         sizes = self.starts[at + 1] - first
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(s) for s in split])])].astype(np.int64)
         return ids, bounds
 
 
