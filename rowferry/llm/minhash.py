@@ -151,8 +151,8 @@ class NearDuplicates:
     """The steps of the operator over one written table of sketches."""
 
     def __init__(self, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", small_bucket: int = SMALL_BUCKET,
-                 broadcast_rows: int = 4_000_000):
-        self.small_bucket, self.broadcast_rows = small_bucket, broadcast_rows
+                 broadcast_rows: int = 4_000_000, stars: int = 2):
+        self.small_bucket, self.broadcast_rows, self.stars = small_bucket, broadcast_rows, stars
         self.text_col, self.id_col = text_col, id_col
         docs = without(docs, "n_shingles", "component_id", "kept", "_row", "_copy", "_bands", "_low")
         self.columns = docs.columns
@@ -216,21 +216,32 @@ class NearDuplicates:
         joined = a.join(b, (a["shingle"] == b["shingle"]) & fits)
         return joined.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
+    def unsettled(self, members: DataFrame, links: DataFrame) -> DataFrame:
+        """Members of the buckets in which the links leave more than one component, with their ``label``."""
+        named = members.select("key", "node", "size").join(components(links), "node", "left")
+        named = named.withColumn("label", F.coalesce("label", "node"))
+        open_keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        return write_through(named.join(open_keys.select("key"), "key", "left_semi"), "near-rest")
+
     def links(self) -> DataFrame:
         """Verified links between nodes, enough to connect every pair of similar nodes that meet in a bucket.
 
-        First each node is compared with the least node of its buckets. Buckets that this leaves with two or more
-        components are settled: small ones by comparing their nodes of different components, large ones by their
+        First each node is compared with the least node of its buckets, then, in buckets left with two or more
+        components, with one or two others. What is still open is settled: small buckets by comparing their nodes of different components, large ones by their
         rarest shingles. So a bucket of thousands of copies costs one comparison each, and one of thousands of unlike
         documents that share a passage costs no comparison of all pairs.
         """
         members = self.members()
         stars = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
         links = self.verified(stars)
-        labels = components(links)
-        named = members.join(labels, "node", "left").select("key", "node", "size", F.coalesce("label", "node").alias("label"))
-        open_keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        rest = write_through(named.join(open_keys.select("key"), "key", "left_semi"), "near-rest")
+        rest = self.unsettled(members, links)
+        # Other nodes of a bucket, another in each bucket, find most of what the least node is too unlike to.
+        for seed in range(self.stars):
+            chosen = F.min(F.struct(F.xxhash64("node", "key", F.lit(seed)).alias("order"), F.col("node"), F.col("label")))
+            pivots = rest.groupBy("key").agg(chosen.alias("pivot")).select("key", "pivot.node", "pivot.label").toDF("key", "b", "b_label")
+            stars = rest.join(pivots, "key").where("label <> b_label").select(F.col("node").alias("a"), "b").distinct()
+            links = links.unionByName(self.verified(stars))
+            rest = self.unsettled(rest, links)
         small = rest.where(F.col("size") <= self.small_bucket)
         a, b = small.select("key", "node", "label").toDF("key", "a", "a_label"), small.select("key", "node", "label").toDF("key", "b", "b_label")
         pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))).select("a", "b").distinct()
