@@ -41,21 +41,43 @@ def after(keys: str | Sequence[str], values: Sequence) -> Column:
 def typed_value(value: str, type_name: str) -> Column:
     """A stored watermark, cast back to the key's type.
 
-    Compared as text, '10' would sort before '9'.
+    Compared as text, '10' would sort before '9'. An instant is kept as
+    microseconds since 1970, since its local text depends on the session's zone.
     """
+    if type_name == "timestamp" and value is not None and value.lstrip("-").isdigit():
+        return F.timestamp_micros(F.lit(int(value)))
+    if type_name == "binary":
+        return F.unbase64(F.lit(value))
     return F.lit(value).cast(type_name)
 
 
-def after_watermark(key: str, value: str | None, type_name: str | None) -> Column:
+def typed_key(df: DataFrame, key: str, dtype: T.DataType | None) -> Column:
+    """A source's key as the destination's type, in which watermarks are kept and compared.
+
+    Text that is no such value becomes NULL, as it does when it is loaded. A
+    source that lacks the column has NULL keys.
+    """
+    if key not in df.columns:
+        return F.lit(None).cast(dtype)
+    col = F.col(f"`{key}`")
+    return col if dtype is None or df.schema[key].dataType == dtype else col.try_cast(dtype)
+
+
+def after_watermark(key: str | Column, value: str | None, type_name: str | None) -> Column:
     """The incremental predicate; without a watermark every row qualifies."""
     if value is None:
         return F.lit(True)
-    return F.col(key) > typed_value(value, type_name)
+    return (F.col(key) if isinstance(key, str) else key) > typed_value(value, type_name)
 
 
-def key_text(col: Column | str) -> Column:
-    """A key value as the text kept in the state tables."""
-    return (F.col(col) if isinstance(col, str) else col).cast("string")
+def key_text(col: Column | str, dtype: T.DataType | None = None) -> Column:
+    """A key value as the text kept in the state tables; see ``typed_value``."""
+    col = F.col(col) if isinstance(col, str) else col
+    if isinstance(dtype, T.TimestampType):
+        col = F.unix_micros(col)
+    elif isinstance(dtype, T.BinaryType):
+        col = F.base64(col)
+    return col.cast("string")
 
 
 def normal_form(name: str, dtype: T.DataType, collation: str | None) -> Column:

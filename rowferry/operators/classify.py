@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowferry.functions.keys import DUPLICATE_KEY, NULL_KEY, any_null, as_keys, normal_forms, total_order
 from rowferry.spec import DestSpec
@@ -20,13 +22,31 @@ from rowferry.spec import DestSpec
 SOURCE, DEST = 1, 0
 
 
+SOURCE_VALUE = "_source_"
+
+
+def converted(source: DataFrame, field: T.StructField) -> Column:
+    """A source column as the field's type, NULL where a value does not fit. Lengths are not checked here."""
+    raw = F.col(f"`{field.name}`")
+    kind = T.StringType() if isinstance(field.dataType, (T.VarcharType, T.CharType)) else field.dataType
+    try:
+        value = raw.try_cast(kind)
+        source.select(value)
+    except AnalysisException:
+        return F.lit(None).cast(kind)
+    return value
+
+
 def conform(source: DataFrame, spec: DestSpec) -> DataFrame:
     """Source rows as destination rows, with the first failing check.
 
     Columns are matched by name; columns only the destination has get their
-    default or NULL. Adds ``_reason`` and, for failing rows, the row as JSON.
+    default or NULL. Adds ``_reason``, for failing rows the row as JSON, and
+    under ``SOURCE_VALUE`` names what converted columns were in the source.
+    A conversion that Spark does not know fails for every value; a source
+    without a key column has NULL keys.
     """
-    values, nulls, casts, lengths = {}, [], [], []
+    values, raws, nulls, casts, lengths = {}, [], [], [], []
     for f in spec.schema.fields:
         if f.name not in source.columns:
             value = F.lit(spec.defaults.get(f.name)).cast(f.dataType)
@@ -36,41 +56,29 @@ def conform(source: DataFrame, spec: DestSpec) -> DataFrame:
             continue
         raw = F.col(f"`{f.name}`")
         same = source.schema[f.name].dataType == f.dataType
-        value = raw if same else raw.try_cast(f.dataType)
+        value = raw if same else converted(source, f)
+        if not same:
+            raws.append(raw.alias(SOURCE_VALUE + f.name))
         # An alias on an unchanged column would keep Spark from reusing the shuffle.
         values[f.name] = raw if same else value.alias(f.name)
         if not f.nullable and f.name not in spec.primary_key:
             nulls.append((raw.isNull(), f"not_null:{f.name}"))
         if not same:
             casts.append((raw.isNotNull() & value.isNull(), f"bad_cast:{f.name}"))
-        if f.name in spec.max_length:
-            too_long = F.char_length(value.cast("string")) > spec.max_length[f.name]
+        longest = spec.max_length.get(f.name, getattr(f.dataType, "length", None))
+        if longest is not None:
+            too_long = F.char_length(value.cast("string")) > longest
             lengths.append((too_long, f"too_long:{f.name}"))
-    missing = [k for k in spec.primary_key if k not in source.columns]
-    if missing:
-        raise ValueError(f"source lacks key columns {missing}")
     reason = F.lit(None).cast("string")
-    checks = [(any_null(spec.primary_key), NULL_KEY), *nulls, *casts, *lengths]
+    lacking = any(k not in source.columns and k not in spec.defaults for k in spec.primary_key)
+    given = [k for k in spec.primary_key if k in source.columns]
+    no_key = F.lit(True) if lacking else any_null(given) if given else F.lit(False)
+    checks = [(no_key, NULL_KEY), *nulls, *casts, *lengths]
     for failed, name in reversed(checks):
         reason = F.when(failed, F.lit(name)).otherwise(reason)
     checked = source.withColumn("_reason", reason)
     text = F.when(F.col("_reason").isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in source.columns])))
-    return checked.select(*values.values(), "_reason", text.alias("_row"))
-
-
-# A group of this many rows is more than one task should sort.
-HOT_ROWS = 5_000_000
-
-
-def hot_keys(df: DataFrame, forms: Sequence[Column], rows: int = HOT_ROWS, share: float = 0.01) -> list[int]:
-    """Hashes of the keys that hold more than ``rows`` rows, by a sample.
-
-    Reads the key columns only. The outcome of a load does not depend on this
-    list; a key missing from it or listed without need only costs time.
-    """
-    seen = df.select(F.xxhash64(*forms).alias("h")).sample(fraction=share, seed=7).groupBy("h").count()
-    hot = seen.where(F.col("count") > rows * share).orderBy(F.desc("count"), "h").limit(10_000)
-    return [r["h"] for r in hot.collect()]
+    return checked.select(*values.values(), *raws, "_reason", text.alias("_row"))
 
 
 def accepted(
@@ -101,34 +109,34 @@ def classify_conformed(
     spec: DestSpec,
     existing: DataFrame | None = None,
     order: Sequence[Column] | None = None,
-    hot: Sequence[int] | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """Every row of ``conform`` with its final ``_reason``, NULL when accepted.
 
     ``existing`` holds taken keys; rows that lose to one are duplicates, or get
     the reason in its column ``_why`` where it has one.
 
-    Source rows and destination keys meet in one shuffle by key; a destination
-    key sorts ahead of the rows that compete for it. The rows of a hot key are
-    spread by the task that read them, ranked there, and only the best of each
-    task is ranked again. Rows already rejected are spread the same way.
+    The rows of a key are spread by the task that read them and ranked there.
+    Only the best of each task then meets the destination's keys, which sort
+    ahead of the rows that compete for them. So no key's rows need to fit in
+    one task, and the source is read once. Rows already rejected are spread the
+    same way. ``split=False`` ranks all rows of a key at once, for sources
+    known to hold few rows per key; the outcome is the same.
     """
     keys = spec.primary_key
     # Keys that are equal under a collation may still differ, so they order too.
     same = keys if spec.key_collation is None else ()
-    order = list(order or total_order(rows.drop("_reason", "_row"), same))
+    names = spec.schema.names
+    order = list(order or total_order(rows.select(*[F.col(f"`{n}`") for n in names]), same))
     forms = list(keys)
     if spec.key_collation is not None:
         forms = [f"_k{i}" for i in range(len(keys))]
         rows = rows.withColumns(dict(zip(forms, normal_forms(rows, keys, spec.key_collation))))
-    if hot is None:
-        hot = hot_keys(rows, [F.col(f) for f in forms])
-    is_hot = F.xxhash64(*[F.col(f) for f in forms]).isin(list(hot)) if hot else F.lit(False)
     meet = rows.withColumns(
         {
             "_origin": F.lit(SOURCE),
             "_bad": F.col("_reason").isNotNull(),
-            "_salt": F.when(F.col("_reason").isNotNull() | is_hot, F.spark_partition_id()).otherwise(-1),
+            "_salt": F.spark_partition_id() if split else F.when(F.col("_reason").isNotNull(), F.spark_partition_id()).otherwise(-1),
         }
     )
     why = ["_why"] if existing is not None and "_why" in existing.columns else []
@@ -141,30 +149,35 @@ def classify_conformed(
             F.lit(-1).alias("_salt"),
             *why,
         )
-        meet = meet.unionByName(held, allowMissingColumns=True)
+
+    def met(df):
+        return df if existing is None else df.unionByName(held, allowMissingColumns=True)
 
     def ranked(df, *by):
-        window = W.partitionBy(*by).orderBy("_origin", *order)
-        return df.withColumns({"_rn": F.row_number().over(window), **{c: F.first(c).over(window) for c in why}})
+        window = W.partitionBy(*by).orderBy("_origin", *(F.col(c).asc_nulls_last() for c in why if c in df.columns), *order)
+        return df.withColumns({"_rn": F.row_number().over(window), **{c: F.first(c).over(window) for c in why if c in df.columns}})
 
     def settled(df):
         lost = ~F.col("_bad") & (F.col("_rn") > 1)
-        reason = F.when(lost, F.coalesce(*why, F.lit(DUPLICATE_KEY))).otherwise(F.col("_reason"))
+        reason = F.when(lost, F.coalesce(*(c for c in why if c in df.columns), F.lit(DUPLICATE_KEY))).otherwise(F.col("_reason"))
         return df.where(F.col("_origin") == SOURCE).withColumn("_reason", reason)
 
-    first = ranked(meet, *forms, "_salt", "_bad")
-    if not hot:
-        result = settled(first)
+    if not split:
+        result = settled(ranked(met(meet), *forms, "_salt", "_bad"))
     else:
-        # Stated over _rn so that both branches read the same shuffle.
-        best = F.when(is_hot & ~F.col("_bad"), F.lit(1)).otherwise(F.lit(0))
-        again = ranked(first.where(F.col("_rn") == best).drop("_rn"), *forms)
-        result = settled(first.where(F.col("_rn") != best)).unionByName(settled(again))
-    names = spec.schema.names
-    text = F.when(
-        F.col("_reason").isNotNull(),
-        F.coalesce(F.col("_row"), F.to_json(F.struct(*[F.col(f"`{n}`") for n in names]))),
-    )
+        # A difference, since a limit on _rn itself would move into one branch and part their shuffles.
+        first = ranked(meet, *forms, "_salt", "_bad")
+        behind = F.col("_rn") - F.when(~F.col("_bad"), F.lit(1)).otherwise(F.lit(0))
+        again = settled(ranked(met(first.where(behind == 0).drop("_rn")), *forms))
+        rest = first.where(behind != 0)
+        if why:
+            # What a held key's rows are refused for holds for all of them, whichever round they lost in.
+            held_why = held.groupBy(*forms).agg(F.min("_why").alias("_why"))
+            rest = rest.join(held_why, list(forms), "left")
+        result = again.unionByName(settled(rest).select(*again.columns))
+    # Dead letters show what the source held, not what it was converted to.
+    shown = [F.col(f"`{SOURCE_VALUE + n}`").alias(n) if SOURCE_VALUE + n in rows.columns else F.col(f"`{n}`") for n in names]
+    text = F.when(F.col("_reason").isNotNull(), F.coalesce(F.col("_row"), F.to_json(F.struct(*shown))))
     return result.withColumn("_row", text).select(*names, "_reason", "_row")
 
 
@@ -173,9 +186,9 @@ def classify(
     spec: DestSpec,
     existing: DataFrame | None = None,
     order: Sequence[Column] | None = None,
-    hot: Sequence[int] | None = None,
+    split: bool = True,
 ) -> DataFrame:
-    return classify_conformed(conform(source, spec), spec, existing, order, hot)
+    return classify_conformed(conform(source, spec), spec, existing, order, split)
 
 
 def rejected(classified: DataFrame) -> DataFrame:

@@ -12,14 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowferry.functions.keys import after, as_keys, total_order
 from rowferry.sources.workdir import write_through
 
-# Below this many skipped rows the top-n operator is cheaper than numbering.
-SHALLOW_OFFSET = 100_000
-
 
 def keyset_page(df: DataFrame, keys: str | Sequence[str], cursor: Sequence | None, size: int) -> DataFrame:
     """The next ``size`` rows after the cursor in key order, ties by the other columns."""
@@ -95,22 +91,26 @@ def keyset_resume(
     return with_batches(df.where(after(keys, last)), keys, size, batches_done).drop("row_no")
 
 
-def offset_page(df: DataFrame, offset: int, size: int) -> DataFrame:
+def offset_page(df: DataFrame, offset: int, size: int, numbered: bool = True) -> DataFrame:
     """A page by position, for queries that do not return the key.
 
-    The order is total over all columns. Deep pages are numbered instead of
-    sorted into one task.
+    The order is total over all columns. Rows are numbered by all tasks;
+    ``numbered=False`` has one task keep the first ``offset + size`` rows
+    instead, for callers who know that those are few.
     """
-    if offset + size <= SHALLOW_OFFSET:
+    if not numbered:
         return df.orderBy(*total_order(df)).offset(offset).limit(size)
     return number_rows(df).where(F.col("row_no").between(offset + 1, offset + size)).drop("row_no")
 
 
 def key_cuts(df: DataFrame, key: str, ranges: int) -> list:
-    """At most ``ranges - 1`` approximate quantiles; none for other key types
-    than numbers and times."""
-    if ranges < 2 or not isinstance(df.schema[key].dataType, (T.NumericType, T.DatetimeType)):
+    """At most ``ranges - 1`` key values that cut the rows into like shares, for any type that can be sorted.
+
+    They are the ends of Spark's range partitions, so a string key is cut like a number. Cuts only decide which
+    range a row is loaded with.
+    """
+    if ranges < 2:
         return []
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(key, shares, 10_000)).first()[0] or []
-    return sorted(set(cuts))
+    keys = df.select(F.col(f"`{key}`").alias("k")).where(F.col("k").isNotNull())
+    parts = keys.repartitionByRange(ranges, "k").groupBy(F.spark_partition_id()).agg(F.max("k").alias("k")).collect()
+    return sorted({r["k"] for r in parts})[:-1]

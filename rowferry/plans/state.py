@@ -14,7 +14,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowferry.functions.keys import key_text
 from rowferry.operators.profile import stack
+from rowferry.sources.table import next_seq
 from rowferry.sources.workdir import empty, fold_files, rows_of, struct_type
 
 WATERMARK_KEY = ("job", "source_table", "dest_table", "pk")
@@ -39,6 +41,7 @@ BATCHES = (
     "job string, run_id string, batch_no long, rows_processed long, rows_inserted long, "
     "rows_rejected long, last_pk string, rows_done long, pct double, seq long"
 )
+SCHEMA_ISSUES = "job string, run_id string, column_name string, level string, issue string, seq long"
 KEYS = {"watermarks": WATERMARK_KEY, "checkpoints": CHECKPOINT_KEY, "deletes": DELETE_KEY}
 TABLES = {
     "watermarks": WATERMARKS,
@@ -46,6 +49,7 @@ TABLES = {
     "deletes": DELETES,
     "runs": RUNS,
     "batches": BATCHES,
+    "schema_issues": SCHEMA_ISSUES,
 }
 
 
@@ -76,7 +80,7 @@ def watermark_advance(processed: DataFrame, key: str) -> DataFrame:
 
     Without rows the value is NULL and the old watermark stays.
     """
-    return processed.agg(F.max(key).cast("string").alias("new_value"))
+    return processed.agg(key_text(F.max(key), processed.schema[key].dataType).alias("new_value"))
 
 
 def checkpoint_lookup(history: DataFrame) -> DataFrame:
@@ -139,6 +143,7 @@ class StateStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._last: dict[str, int] = {}
 
     def history(self, table: str) -> DataFrame:
         try:
@@ -160,6 +165,13 @@ class StateStore:
         row = [{**values, "seq": seq}.get(n) for n in schema.names]
         self.append(table, rows_of(self.spark, [row], schema))
 
+    def seq(self, table: str) -> int:
+        """A number after all of the table's, whatever the clock says."""
+        if table not in self._last:
+            self._last[table] = self.history(table).agg(F.max("seq")).first()[0] or 0
+        self._last[table] = next_seq(self._last[table])
+        return self._last[table]
+
     def of_job(self, table: str, job) -> DataFrame:
         return self.history(table).where(
             (F.col("job") == job.name) & scope(job.source_table, job.dest_table)

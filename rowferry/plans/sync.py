@@ -14,16 +14,16 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import DELETED, DUPLICATE_KEY, after, after_watermark, key_text, typed_value
+from rowferry.functions.keys import DELETED, DUPLICATE_KEY, after_watermark, key_text, typed_key
 from rowferry.functions.types import spark_type_name
 from rowferry.operators.classify import classify
-from rowferry.operators.compat import schema_report
+from rowferry.operators.compat import ERROR, dest_pk_report, schema_report
 from rowferry.operators.loads import batch_metrics, load_progress
 from rowferry.operators.paging import key_cuts
 from rowferry.operators.profile import deleted_keys
 from rowferry.plans import state as S
 from rowferry.plans.modes import FORCED, INVALID_MODE, MODES, mode_columns
-from rowferry.sources.table import DestTable, next_seq
+from rowferry.sources.table import DestTable
 from rowferry.sources.template import check_query, extract, render
 from rowferry.sources.workdir import rows_of, write_through
 from rowferry.spec import DestSpec, JobSpec
@@ -81,20 +81,37 @@ def job_schema_report(source: DataFrame, spec: DestSpec) -> DataFrame:
     return schema_report(source_schema_rows(spark, "job", source), dest_schema_rows(spark, "job", spec))
 
 
-def schema_errors(source: DataFrame, spec: DestSpec, pk: tuple[str, ...]) -> list[str]:
-    """Reasons to refuse the run; type and NULL differences only warn."""
-    errors = [NO_COLUMN % c for c in source.columns if c not in spec.schema.names]
+def dest_key_rows(spark: SparkSession, spec: DestSpec) -> DataFrame:
+    rows = [
+        ("dest", n, "PRI" if n in spec.primary_key else "", "auto_increment" if n in spec.identity else "")
+        for n in spec.schema.names
+    ]
+    return rows_of(spark, rows, "table_name string, column_name string, column_key string, extra string")
+
+
+def schema_errors(source: DataFrame, spec: DestSpec, pk: tuple[str, ...], issues: list | None = None) -> list[str]:
+    """Reasons to refuse the run; type and NULL differences only warn.
+
+    ``issues`` may pass the rows of ``job_schema_report``, at most a few per column.
+    """
+    issues = job_schema_report(source, spec).collect() if issues is None else issues
+    missing = {r["column_name"] for r in issues if r["level"] == ERROR}
+    errors = [NO_COLUMN % c for c in source.columns if c in missing]
+    texts = {"not_found": NO_KEY_COLUMN, "not_primary": NOT_PRIMARY, "auto_increment": IDENTITY_KEY}
     for k in pk:
-        if k not in spec.schema.names:
-            errors.append(NO_KEY_COLUMN % k)
-            continue
-        if k not in spec.primary_key:
-            errors.append(NOT_PRIMARY % k)
-        if k in spec.identity:
-            errors.append(IDENTITY_KEY % k)
+        found = {r["error"] for r in dest_pk_report(dest_key_rows(source.sparkSession, spec), k).collect()}
+        errors += [text % k for error, text in texts.items() if error in found]
     return errors
 
 
+def save_issues(job: JobSpec, store: S.StateStore, run_id: str, issues: list) -> None:
+    """Keep what the run's schema check found, warnings included."""
+    seq = store.seq("schema_issues")
+    rows = [(job.name, run_id, r["column_name"], r["level"], r["issue"], seq) for r in issues]
+    if rows:
+        store.append("schema_issues", rows_of(store.spark, rows, S.SCHEMA_ISSUES))
+
+
 def preflight(spark: SparkSession, job: JobSpec) -> None:
     if not spark.catalog.tableExists(job.source_table):
         raise SyncError(NO_TABLE % job.source_table)
@@ -109,7 +126,7 @@ def choose_pk(job: JobSpec) -> tuple[str, ...]:
 
 def start_fresh(job: JobSpec, store: S.StateStore, empty: bool) -> bool:
     if job.force_full_refresh or (empty and store.checkpoint(job) is not None):
-        store.clear(job, next_seq())
+        store.clear(job, max(store.seq("watermarks"), store.seq("checkpoints")))
         return True
     return False
 
@@ -156,13 +173,12 @@ def _load(
 ) -> tuple[DataFrame, str | None]:
     """Classify, write and commit; counters are read back from the files, as
     metrics of a running job may count a repeated task twice."""
-    hot = None if job.split_hot_keys else []
-    seq = dest.insert(classify(source, dest.spec, existing, hot=hot), result.run_id)
+    seq = dest.insert(classify(source, dest.spec, existing, split=job.split_hot_keys), result.run_id)
     rows = dest.run_rows(seq, key)
     done = rows.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("_reason").isNull()).alias("ok"),
-        F.max(key).cast("string").alias("last"),
+        key_text(F.max(key), rows.schema[key].dataType).alias("last"),
     ).first()
     result.rows_processed += done["n"]
     result.rows_inserted += done["ok"]
@@ -196,7 +212,7 @@ def _save_batches(
         last.alias("last_pk"),
         "rows_done",
         "pct",
-        F.lit(next_seq()).alias("seq"),
+        F.lit(store.seq("batches")).alias("seq"),
     )
     store.append("batches", table)
 
@@ -217,28 +233,30 @@ def full_load(
     """
     source = extract(spark, job.query, job.source_table)
     pk = dest.spec.primary_key[0]
-    kind = source.schema[pk].dataType.simpleString()
+    dtype = dest.spec.schema[pk].dataType
+    kind, key = dtype.simpleString(), typed_key(source, pk, dtype)
     point = store.checkpoint(job)
     done, batches = None, 0
     if point is not None and point["last_pk"] is not None:
         done, batches = (point["last_pk"], point["pk_type"]), point["batch_no"]
         result.rows_processed, result.rows_inserted = point["rows_processed"], point["rows_inserted"]
-        source = source.where(after([pk], [typed_value(*done)]))
-    cuts = key_cuts(source, pk, ranges)
+        source = source.where(after_watermark(key, *done))
+    # Without the key every row is a reject, which one range finds out.
+    cuts = key_cuts(source.select(key.alias(pk)), pk, ranges) if pk in source.columns else []
     # With one range the rows processed are the total.
     total = result.rows_processed + source.count() if cuts and job.batch_history else None
     bounds = list(zip([None, *cuts], [*cuts, None]))
     where = {"job": job.name, "source_table": job.source_table, "dest_table": job.dest_table, "mode": "full"}
     fresh = dest.is_empty()
     for i, (lo, hi) in enumerate(bounds):
-        within = F.lit(True)
-        if lo is not None:
-            within = F.col(pk) > F.lit(lo)
-        if hi is not None:
-            within = within & (F.col(pk) <= F.lit(hi))
-        existing = None if fresh else dest.keys().where(within)
-        # NULL keys go with the first range.
-        part = source.where(within | F.col(pk).isNull() if lo is None else within)
+
+        def within(col):
+            above = F.lit(True) if lo is None else col > F.lit(lo)
+            return above if hi is None else above & (col <= F.lit(hi))
+
+        existing = None if fresh else held_keys(dest, within(F.col(f"`{pk}`")))
+        # NULL keys, and those that do not fit the type, go with the first range.
+        part = source.where(within(key) | key.isNull() if lo is None else within(key))
         before = result.rows_processed
         rows, last = _load(job, part, existing, dest, result, pk)
         if job.batch_history:
@@ -248,7 +266,7 @@ def full_load(
         finished = i == len(bounds) - 1
         store.put(
             "checkpoints",
-            next_seq(),
+            store.seq("checkpoints"),
             **where,
             last_pk=last,
             pk_type=kind,
@@ -264,10 +282,16 @@ def full_load(
         save_watermark(job, store, pk, *done)
 
 
+def held_keys(dest: DestTable, fresh: Column) -> DataFrame:
+    """The destination's keys that loaded ones may meet: those in the loaded range, or all of them under a collation,
+    where keys on either side of a bound can be equal."""
+    return dest.keys() if dest.spec.key_collation else dest.keys().where(fresh)
+
+
 def save_watermark(job: JobSpec, store: S.StateStore, pk: str, value: str, kind: str) -> None:
     store.put(
         "watermarks",
-        next_seq(),
+        store.seq("watermarks"),
         job=job.name,
         source_table=job.source_table,
         dest_table=job.dest_table,
@@ -294,9 +318,10 @@ def incremental_load(
     if pk not in source.columns:
         raise SyncError(KEY_NOT_IN_QUERY % pk)
     value, kind = store.watermark(job, pk) or (None, None)
-    fresh = after_watermark(pk, value, kind)
     # The key that is paged by need not be the destination's key.
-    existing = dest.keys().where(fresh) if pk in dest.spec.primary_key else dest.keys()
+    dtype = dest.spec.schema[pk].dataType if pk in dest.spec.schema.names else source.schema[pk].dataType
+    fresh = after_watermark(typed_key(source, pk, dtype), value, kind)
+    existing = held_keys(dest, after_watermark(pk, value, kind)) if pk in dest.spec.primary_key else dest.keys()
     if flagged is not None:
         gone = flagged.distinct().withColumn("_why", F.lit(DELETED))
         existing = existing.withColumn("_why", F.lit(DUPLICATE_KEY)).unionByName(gone)
@@ -304,7 +329,7 @@ def incremental_load(
     if job.batch_history:
         _save_batches(job, store, rows, dest, result, result.rows_processed)
     if last is not None:
-        save_watermark(job, store, pk, last, source.schema[pk].dataType.simpleString())
+        save_watermark(job, store, pk, last, dtype.simpleString())
 
 
 def delta_load(
@@ -329,7 +354,7 @@ def apply_deletes(
             F.lit(job.dest_table).alias("dest_table"),
             "record_id",
             F.lit(processed).alias("processed"),
-            F.lit(next_seq()).alias("seq"),
+            F.lit(store.seq("deletes")).alias("seq"),
         )
 
     # Pinned: every step below must see the same ids, and the source is read once.
@@ -378,7 +403,10 @@ def sync(
         valid, error = check_query(spark, job.query, job.source_table)
         if not valid:
             raise SyncError(BAD_QUERY % f"{error}: {render(job.query, job.source_table)}")
-        errors = schema_errors(extract(spark, job.query, job.source_table), dest.spec, job.primary_key)
+        source = extract(spark, job.query, job.source_table)
+        issues = job_schema_report(source, dest.spec).collect()
+        save_issues(job, store, result.run_id, issues)
+        errors = schema_errors(source, dest.spec, job.primary_key, issues)
         if errors:
             raise SyncError(BAD_SCHEMA % ", ".join(errors))
         if job.truncate:
@@ -396,7 +424,7 @@ def sync(
     ended = datetime.now(timezone.utc)
     store.put(
         "runs",
-        next_seq(),
+        store.seq("runs"),
         job=job.name,
         source_table=job.source_table,
         dest_table=job.dest_table,

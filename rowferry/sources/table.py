@@ -2,9 +2,11 @@
 
 Files lie under ``rows/seq=<commit>/bucket=<hash bucket of the key>``. A commit
 row names the ``seq`` it makes visible and, for rewrites, the buckets whose
-older files it replaces. Nothing is overwritten in place: a run that dies
-leaves files that no commit names. Rejected rows of a run are written by the
-same job into bucket -1. One writer at a time is assumed.
+older files it replaces. A delete writes the keys it removes, in the same
+buckets, under ``deletes/seq=<commit>``; readers leave out older rows with
+these keys until ``compact`` folds them in. Nothing is overwritten in place: a
+run that dies leaves files that no commit names. Rejected rows of a run are
+written by the same job into bucket -1. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -96,7 +98,34 @@ class DestTable:
         files = self._files()
         if files is None:
             return empty(self.spark, T.StructType([self.spec.schema[c] for c in columns]))
-        return files.where(self._live()).select(*columns)
+        return self._current(files).select(*columns)
+
+    def _current(self, files: DataFrame) -> DataFrame:
+        """The rows of live files that no later delete names."""
+        seqs, newest = self._pointers()
+        rows = files.where(self._live(seqs, newest))
+        floor = self._floor(newest)
+        dead = self.commits().where((F.col("kind") == "delete") & (F.col("seq") > floor)).select("seq").collect()
+        if not dead:
+            return rows
+        gone = self._deletes().where(F.col("seq").isin([r["seq"] for r in dead]))
+        names = self._key_forms()
+        gone = gone.groupBy("bucket", *names).agg(F.max("seq").alias("seq"))
+        gone = gone.select(*[F.col(c).alias(f"_d_{c}") for c in gone.columns])
+        rows = self._with_forms(rows, self.spec.primary_key)
+        match = (F.col("bucket") == F.col("_d_bucket")) & (F.col("seq") < F.col("_d_seq"))
+        for name in names:
+            match = match & (F.col(name) == F.col(f"_d_{name}"))
+        return rows.join(gone, match, "left_anti").drop(*names)
+
+    def _key_forms(self) -> list[str]:
+        return [f"_k{i}" for i in range(len(self.spec.primary_key))]
+
+    def _deletes(self) -> DataFrame:
+        keys = empty(self.spark, T.StructType([self.spec.schema[k] for k in self.spec.primary_key]))
+        forms = self._with_forms(keys, self.spec.primary_key).select(*self._key_forms()).schema
+        layout = T.StructType([*forms.fields, T.StructField("seq", T.LongType()), T.StructField("bucket", T.IntegerType())])
+        return self.spark.read.schema(layout).parquet(f"{self.path}/deletes")
 
     def _pointers(self) -> tuple[list[int], dict[int, int]]:
         """Committed runs, and the last rewrite of each rewritten bucket."""
@@ -111,10 +140,13 @@ class DestTable:
             )
         return [r["seq"] for r in runs], newest
 
-    def _live(self) -> Column:
+    def _floor(self, newest: dict[int, int]) -> int:
+        """The last commit after which every bucket has been rewritten."""
+        return min(newest.values()) if len(newest) == self.spec.buckets else 0
+
+    def _live(self, seqs: list[int], newest: dict[int, int]) -> Column:
         """A predicate on directories only, so dead ones are never opened."""
-        seqs, newest = self._pointers()
-        floor = min(newest.values()) if len(newest) == self.spec.buckets else 0
+        floor = self._floor(newest)
         live = (F.col("bucket") >= 0) & F.col("seq").isin([s for s in seqs if s >= floor])
         by_seq = defaultdict(list)
         for number, seq in newest.items():
@@ -160,30 +192,30 @@ class DestTable:
         return self.insert(rows.withColumns({"_reason": none, "_row": none}), run_id)
 
     def delete(self, keys: DataFrame, run_id: str) -> int:
-        """Remove the rows that match ``keys`` on all of its columns, rewriting
-        only buckets that hold one of them.
+        """Remove the rows that match ``keys`` on all of its columns.
 
-        Returns the number of rows removed. A bucket left without rows is
-        replaced by nothing, which plain partition overwrite would not do.
+        Writes the primary keys of these rows only, so the cost in bytes
+        follows the keys, not the table. Returns the number of rows removed.
         """
         on = keys.columns
-        typed = keys.select(*[F.col(k).cast(self.spec.schema[k].dataType).alias(k) for k in on])
+        # A key that is no value of the column's type is in no row.
+        typed = keys.select(*[F.col(k).try_cast(self.spec.schema[k].dataType).alias(k) for k in on]).na.drop()
         names = [f"_k{i}" for i in range(len(on))]
         gone = self._with_forms(typed, on).select(*names).distinct()
         held = self._with_forms(self._visible(*dict.fromkeys([*self.spec.primary_key, *on])), on)
-        hits = (
-            held.join(gone, names, "left_semi")
-            .groupBy(self.bucket_of(held).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()  # at most one row per bucket
+        hits = held.join(gone, names, "left_semi").select(*self.spec.primary_key)
+        forms = self._with_forms(hits, self.spec.primary_key).withColumn("bucket", self.bucket_of(hits))
+        seq = next_seq(self._last_seq())
+        (
+            forms.select(*self._key_forms(), "bucket")
+            .hint("rebalance", "bucket")
+            .write.partitionBy("bucket")
+            .parquet(f"{self.path}/deletes/seq={seq}")
         )
-        if not hits:
-            return 0
-        buckets = [r["bucket"] for r in hits]
-        files = self._files().where(self._live() & F.col("bucket").isin(buckets))
-        kept = self._with_forms(files, on).join(gone, names, "left_anti")
-        self.commit(self.write(kept), run_id, "delete", buckets)
-        return sum(r["n"] for r in hits)
+        removed = self._deletes().where(F.col("seq") == seq).count()
+        if removed:
+            self.commit(seq, run_id, "delete")
+        return removed
 
     def truncate(self, run_id: str) -> None:
         self.commit(next_seq(self._last_seq()), run_id, "truncate", range(self.spec.buckets))
@@ -192,7 +224,7 @@ class DestTable:
         """Merge the files of all runs into one set per bucket, and the commits."""
         files = self._files()
         if files is not None:
-            seq = self.write(files.where(self._live()))
+            seq = self.write(self._current(files))
             self.commit(seq, run_id, "compact", range(self.spec.buckets))
             fold_files(self.commits().coalesce(1), f"{self.path}/commits")
 
@@ -217,6 +249,10 @@ class DestTable:
                 dead.append(run)
                 continue
             dead += [p for p, b in children(run, "bucket=") if b >= 0 and seq < newest.get(b, 0)]
+        folded = self.path + "/deletes"
+        where = file_system(self.spark, folded)[1]
+        if fs.exists(where):
+            dead += [p for p, seq in children(where, "seq=") if seq not in seqs or seq <= self._floor(newest)]
         for path in dead:
             fs.delete(path, True)
         return len(dead)

@@ -34,13 +34,16 @@ def rows_of(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder that ``spark.checkpoint.dir`` names.
+    """A fresh path in the folder that ``spark.checkpoint.dir`` names, or that
+    the context was given.
 
-    A machine-local folder is only made where the session names none, which is
-    the case in local tests.
+    A machine-local folder is only made where there is none and the master is
+    local; executors on other machines would not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="rowferry-")
     return f"{root.rstrip('/')}/rowferry/{label}-{uuid.uuid4().hex}"
 

@@ -47,9 +47,9 @@ class DestSpec:
 class JobSpec:
     """One copy job. An empty or zero setting means its default.
 
-    ``split_hot_keys=False`` saves the scan of the key columns that looks for
-    heavily repeated keys; it suits queries that return each key a few times at
-    most, and never changes a result.
+    ``split_hot_keys=False`` ranks the rows of a key in one task instead of two
+    rounds; it suits queries that return each key a few times at most, and never
+    changes a result.
     """
 
     name: str

@@ -1,8 +1,9 @@
 """The same loads inside ``foreachBatch``.
 
 Spark may hand a micro-batch over twice after a failure. Each batch is one
-commit named after the stream and the batch id, so a repetition is recognised
-and has no second effect.
+commit named after the streaming query and the batch id, so a repetition is
+recognised and has no second effect. The query's id lives in its checkpoint: a
+stream with a new checkpoint counts batches from 0 again under another id.
 """
 
 from __future__ import annotations
@@ -11,17 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rowferry.functions.keys import after_watermark
+from rowferry.functions.keys import after_watermark, typed_key, typed_value
 from rowferry.operators.classify import classify
 from rowferry.operators.profile import is_flagged
 from rowferry.plans import state as S
-from rowferry.plans.sync import RunResult, save_watermark, apply_deletes, record_id
+from rowferry.plans.sync import RunResult, apply_deletes, held_keys, record_id, save_watermark
 from rowferry.sources.table import DestTable
 from rowferry.spec import JobSpec
 
 LATE = ("drop", "fill")
 
 
+def batch_token(job: JobSpec, batch: DataFrame, batch_id: int) -> str:
+    """Names a micro-batch; stable over restarts from one checkpoint."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{job.name}-{query}-{batch_id}" if query else f"{job.name}-{batch_id}"
+
+
 def insert_batch(job: JobSpec, dest: DestTable, store: S.StateStore, late: str):
     """Insert one micro-batch.
 
@@ -33,21 +40,22 @@ def insert_batch(job: JobSpec, dest: DestTable, store: S.StateStore, late: str):
     pk = dest.spec.primary_key[0]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{job.name}-insert-{batch_id}"
+        run_id = f"{batch_token(job, batch, batch_id)}-insert"
         mark = store.watermark(job, pk)
         if not dest.has_run(run_id):
-            keep = after_watermark(pk, *(mark or (None, None))) if late == "drop" else F.lit(True)
+            key = typed_key(batch, pk, dest.spec.schema[pk].dataType)
+            mark_of = mark or (None, None)
             # A stream shows a row once, so rows without a key must reach the rejects now.
-            rows = batch.where(keep | F.col(pk).isNull())
-            hot = None if job.split_hot_keys else []
-            dest.insert(classify(rows, dest.spec, dest.keys().where(keep), hot=hot), run_id)
+            rows = batch if late == "fill" else batch.where(after_watermark(key, *mark_of) | key.isNull())
+            held = dest.keys() if late == "fill" else held_keys(dest, after_watermark(pk, *mark_of))
+            dest.insert(classify(rows, dest.spec, held, split=job.split_hot_keys), run_id)
         seq = dest.commits().where(F.col("run_id") == run_id).first()["seq"]
         last = S.watermark_advance(dest.run_rows(seq), pk).first()["new_value"]
         if last is None:
             return
         kind = dest.spec.schema[pk].dataType.simpleString()
         ahead = batch.sparkSession.range(1).where(
-            F.lit(mark is None) | (F.lit(last).cast(kind) > F.lit(mark and mark[0]).cast(kind))
+            F.lit(True) if mark is None else typed_value(last, kind) > typed_value(*mark)
         )
         if not ahead.isEmpty():
             save_watermark(job, store, pk, last, kind)
@@ -60,7 +68,7 @@ def delete_batch(job: JobSpec, dest: DestTable, store: S.StateStore):
     pk = dest.spec.primary_key
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{job.name}-{batch_id}"
+        run_id = batch_token(job, batch, batch_id)
         flagged = batch.where(is_flagged(job.deleted_flag)).select(*pk).withColumn("record_id", record_id(pk))
         apply_deletes(job, dest, store, flagged, RunResult(run_id=run_id), pk)
 

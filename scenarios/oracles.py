@@ -75,6 +75,9 @@ INCB = (
 )
 
 
+ALLB = INCB.replace(f"WHERE s.o_orderkey > {MID}", "")
+
+
 def _code(number: str) -> str:
     return f"CASE WHEN {number} % 29 <= 16 THEN {number} % 29 ELSE {number} % 29 + 228 END"
 
@@ -167,7 +170,7 @@ ORACLES = {
     "batch_manifest": (
         "SELECT batch_no, MIN(o_orderkey) AS first_pk, MAX(o_orderkey) AS last_pk, COUNT(*) AS n_rows FROM ("
         "SELECT o_orderkey, CAST((ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1) // 1000 + 1 AS BIGINT) AS batch_no "
-        "FROM orders WHERE o_orderstatus = 'F') GROUP BY batch_no"
+        "FROM orders) GROUP BY batch_no"
     ),
     "batch_manifest_composite": (
         "WITH n AS (SELECT l_orderkey, l_linenumber, ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber) AS i "
@@ -277,11 +280,11 @@ ORACLES = {
         "AS outcome FROM lineitem"
     ),
     "batch_metrics": (
-        f"{INCB} SELECT batch_no, COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE accepted) AS rows_inserted, "
+        f"{ALLB} SELECT batch_no, COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE accepted) AS rows_inserted, "
         "COUNT(*) FILTER (WHERE NOT accepted) AS rows_rejected, MAX(o_orderkey) AS last_pk FROM incb GROUP BY batch_no"
     ),
     "load_progress": (
-        f"{INCB} SELECT batch_no, CAST(SUM(n) OVER (ORDER BY batch_no) AS BIGINT) AS rows_done, "
+        f"{ALLB} SELECT batch_no, CAST(SUM(n) OVER (ORDER BY batch_no) AS BIGINT) AS rows_done, "
         "CAST(ROUND(SUM(n) OVER (ORDER BY batch_no) * 100.0 / SUM(n) OVER (), 2) AS DOUBLE) AS pct "
         "FROM (SELECT batch_no, COUNT(*) AS n FROM incb GROUP BY batch_no)"
     ),
@@ -376,4 +379,25 @@ ORACLES = {
     "stream_late_keys": f"SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_id > {MID_EVENT}",
     "stream_late_fill": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_delete": "SELECT event_id, event_type FROM events WHERE event_type <> 'error'",
+    "stream_new_checkpoint": "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "stream_delete_new_checkpoint": "SELECT event_id, event_type FROM events WHERE event_type NOT IN ('error', 'click')",
+    "sync_without_key": "SELECT 'null_key' AS reason, c_name FROM customer",
+    "sync_schema_warnings": (
+        "SELECT column_name, 'warning' AS level, issue, (SELECT COUNT(*) FROM customer) AS n_rows FROM (VALUES "
+        "('c_custkey', 'nullable'), ('c_name', 'nullable'), ('c_acctbal', 'type'), ('note', 'extra_in_destination')) "
+        "t(column_name, issue)"
+    ),
+    "sync_text_key": "SELECT o_orderkey, o_custkey FROM orders",
+    "sync_collated_key": (
+        "SELECT c_custkey, CASE WHEN c_custkey <= (SELECT (MIN(c_custkey) + MAX(c_custkey)) // 2 FROM customer) "
+        "THEN UPPER(c_name) ELSE LOWER(c_name) END AS c_name FROM customer"
+    ),
+    "sync_zone_watermark": "SELECT 1700000000000000 + event_id * 3600000000 AS micros, event_id FROM events",
+    "sync_delta_bad_key": f"{BASE} SELECT * FROM dst WHERE o_orderstatus <> 'F' OR o_orderkey % 7 = 0",
+    "offset_page_deep": (
+        "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem ORDER BY l_orderkey, l_partkey, l_suppkey, "
+        "l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate "
+        "LIMIT 1000 OFFSET (SELECT COUNT(*) // 2 FROM lineitem)"
+    ),
+    "full_load_resumed_text": "SELECT c_name, c_custkey, c_acctbal FROM customer",
 }

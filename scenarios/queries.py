@@ -125,8 +125,7 @@ def keyset_page_composite(spark, sf):
 
 
 def batch_manifest(spark, sf):
-    flagged = src(spark, sf).where(profile.is_flagged("is_deleted"))
-    return paging.batch_manifest(flagged, "o_orderkey", BATCH)
+    return paging.batch_manifest(orders(spark, sf), "o_orderkey", BATCH)
 
 
 def batch_manifest_composite(spark, sf):
@@ -396,18 +395,17 @@ def classified_load(spark, sf):
 
 
 def full_load_hot_keys(spark, sf):
-    """Three keys hold all rows: they are found by sample, split and ranked twice."""
+    """Three keys hold all rows, which are ranked by the reading task and then once more."""
     line = table(spark, sf, "lineitem")
-    hot = C.hot_keys(line, [F.col("l_returnflag")], rows=1000, share=0.5)
-    outcome = C.classify(line, dest_spec(line, "l_returnflag"), hot=hot)
+    outcome = C.classify(line, dest_spec(line, "l_returnflag"))
     return outcome.select(
         *LINE_KEY, "l_partkey", "l_suppkey", "l_returnflag", F.coalesce("_reason", F.lit("accepted")).alias("outcome")
     )
 
 
 def _batch_rows(spark, sf) -> DataFrame:
-    s, d, mid = src_dst(spark, sf)
-    outcome = C.classify(s.where(fresh(mid)), dest_spec(s, "o_orderkey"), d.where(fresh(mid)))
+    s, d, _ = src_dst(spark, sf)
+    outcome = C.classify(s, dest_spec(s, "o_orderkey"), d)
     return outcome.select("o_orderkey", F.col("_reason").isNull().alias("accepted"))
 
 
@@ -416,8 +414,7 @@ def batch_metrics(spark, sf):
 
 
 def load_progress(spark, sf):
-    s = src(spark, sf)
-    rows = s.where(fresh(middle(s, "o_orderkey")))
+    rows = src(spark, sf)
     metrics = loads.batch_metrics(rows.withColumn("accepted", F.lit(True)), "o_orderkey", "accepted", BATCH)
     return loads.load_progress(metrics, rows.count()).select("batch_no", "rows_done", "pct")
 
@@ -720,6 +717,91 @@ def sync_sequence(spark, sf):
     return dest.read()
 
 
+def sync_text_key(spark, sf):
+    """The source's key is text, the destination's a number; three runs copy each order once."""
+    spec = dest_spec(orders(spark, sf).select("o_orderkey", "o_custkey"), "o_orderkey")
+    dest, store = workplace(spark, spec, "sync-text-key")
+    job = JobSpec(
+        "text-key", "orders_text", "dst", "o_orderkey", query="SELECT o_orderkey, o_custkey FROM {{table}}",
+        source_keys=("o_orderkey",), seed_watermark=True,
+    )
+    text = orders(spark, sf).withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    mid = middle(orders(spark, sf), "o_orderkey")
+    for mode, now in (("full", text.where(F.col("o_orderkey").cast("long") <= mid)), ("incremental", text), ("incremental", text)):
+        now.createOrReplaceTempView("orders_text")
+        completed(sync(spark, job, dest, store), mode)
+    return dest.read()
+
+
+def sync_collated_key(spark, sf):
+    """Names that differ in case only are one key, on either side of the watermark."""
+    names = table(spark, sf, "customer").select("c_custkey", "c_name")
+    mid = middle(names, "c_custkey")
+    spec = DestSpec(names.schema, ("c_name",), key_collation="UTF8_LCASE")
+    dest, store = workplace(spark, spec, "sync-collated-key")
+    dest.load(names.where(F.col("c_custkey") <= mid).withColumn("c_name", F.upper("c_name")))
+    names.withColumn("c_name", F.lower("c_name")).createOrReplaceTempView("customer_lower")
+    job = JobSpec("collated", "customer_lower", "dst", "c_name", source_keys=("c_name",))
+    last = dest.keys().agg(F.max("c_name")).first()[0]
+    store.put(
+        "watermarks", 1, job=job.name, source_table="customer_lower", dest_table="dst",
+        pk="c_name", value=last, value_type="string",
+    )
+    completed(sync(spark, job, dest, store), "incremental")
+    return dest.read()
+
+
+def sync_zone_watermark(spark, sf):
+    """Instants as keys, an hour apart and so across clock changes; the runs' sessions are in two zones."""
+    instant = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("event_id") * F.lit(3_600_000_000))
+    rows = table(spark, sf, "events").select(instant.alias("at"), "event_id")
+    dest, store = workplace(spark, dest_spec(rows, "at"), "sync-zone")
+    job = JobSpec("zones", "events_at", "dst", "at", source_keys=("at",), seed_watermark=True)
+    mid, zone = middle(rows, "event_id"), spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for mode, now, where in (("full", rows.where(F.col("event_id") <= mid), "UTC"), ("incremental", rows, "America/New_York")):
+            spark.conf.set("spark.sql.session.timeZone", where)
+            now.createOrReplaceTempView("events_at")
+            completed(sync(spark, job, dest, store), mode)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return dest.read().select(F.unix_micros("at").alias("micros"), "event_id")
+
+
+def sync_delta_bad_key(spark, sf):
+    """Some flagged keys are no numbers; the others are deleted all the same."""
+    s, d, _ = src_dst(spark, sf)
+    key = F.concat(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 7 == 0, "x").otherwise(""))
+    s.withColumn("o_orderkey", key).createOrReplaceTempView("orders_bad_key")
+    dest, store = workplace(spark, dest_spec(d, "o_orderkey"), "sync-bad-key")
+    dest.load(d)
+    completed(sync(spark, orders_job(spark, sf, "orders_bad_key"), dest, store), "delta")
+    return dest.read()
+
+
+def sync_without_key(spark, sf):
+    """The query does not return the key: the run completes, and every row is a reject."""
+    views(spark, sf, "customer")
+    spec = dest_spec(table(spark, sf, "customer").select("c_custkey", "c_name"), "c_custkey")
+    dest, store = workplace(spark, spec, "sync-no-key")
+    job = JobSpec("no-key", "customer", "dst", "c_custkey", query="SELECT c_name FROM {{table}}")
+    completed(sync(spark, job, dest, store), "full")
+    if not dest.is_empty():
+        raise SyncError("rows without a key were inserted")
+    return dest.rejects().select("reason", F.get_json_object("row", "$.c_name").alias("c_name"))
+
+
+def sync_schema_warnings(spark, sf):
+    """What a run's schema check leaves behind, and the rows that were loaded all the same."""
+    views(spark, sf, "customer")
+    schema = T.StructType.fromDDL("c_custkey long, c_name string not null, c_acctbal string, note string")
+    dest, store = workplace(spark, DestSpec(schema, "c_custkey"), "sync-warnings")
+    job = JobSpec("warnings", "customer", "dst", "c_custkey", query="SELECT c_custkey, c_name, c_acctbal FROM {{table}}")
+    completed(sync(spark, job, dest, store), "full")
+    n_rows = dest.read().agg(F.count(F.lit(1)).alias("n_rows"))
+    return store.history("schema_issues").select("column_name", "level", "issue").join(n_rows)
+
+
 # -- streams -----------------------------------------------------------------
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
@@ -773,6 +855,46 @@ def stream_delete(spark, sf):
     return dest.read().select("event_id", "event_type")
 
 
+def stream_new_checkpoint(spark, sf):
+    """Half the events by one checkpoint, then all of them by a new one, whose batches are numbered from 0 again."""
+    events, dest, store, job, checkpoint = stream_place(spark, sf, "stream-again")
+    mid = middle(events, "event_id")
+    for where, place in ((F.col("event_id") <= mid, checkpoint), (F.lit(True), f"{checkpoint}-second")):
+        stream = event_stream(spark, sf).select(*EVENT_COLUMNS).where(where)
+        stream_inserts(stream, job, dest, store, place).awaitTermination()
+    return dest.read()
+
+
+def stream_delete_new_checkpoint(spark, sf):
+    """Errors are deleted by one checkpoint, clicks by a new one."""
+    events, dest, store, job, checkpoint = stream_place(spark, sf, "stream-delete-again")
+    dest.load(events)
+    for kind, place in (("error", checkpoint), ("click", f"{checkpoint}-second")):
+        flag = F.when(F.col("event_type") == kind, 1).otherwise(0)
+        stream_deletes(event_stream(spark, sf).withColumn("is_deleted", flag), job, dest, store, place).awaitTermination()
+    left = store.delete_log(job).where("processed = 0").count()
+    if left:
+        raise SyncError(f"{left} ids are still pending")
+    return dest.read().select("event_id", "event_type")
+
+
+def offset_page_deep(spark, sf):
+    """A page far into the longest table."""
+    line = table(spark, sf, "lineitem")
+    return paging.offset_page(line, line.count() // 2, BATCH).select(*LINE_KEY, "l_partkey", "l_suppkey")
+
+
+def full_load_resumed_text(spark, sf):
+    """As ``full_load_resumed``, in four ranges of a key that is text."""
+    names = table(spark, sf, "customer").select("c_name", "c_custkey", "c_acctbal")
+    names.createOrReplaceTempView("customer_names")
+    dest, store = workplace(spark, dest_spec(names, "c_name"), "resume-text")
+    job = JobSpec("names", "customer_names", "names", "c_name")
+    full_load(spark, job, dest, store, RunResult("first", "full"), ranges=4, stop_after=2)
+    full_load(spark, job, dest, store, RunResult("second", "full"), ranges=4)
+    return dest.read()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -792,5 +914,7 @@ QUERIES = {
         mode_detect, mode_forced, fresh_start,
         sync_full, full_load_resumed, sync_incremental, sync_rejects, sync_batches, sync_history, sync_delta,
         sync_sequence, stream_incremental, stream_late_keys, stream_late_fill, stream_delete,
+        sync_without_key, sync_schema_warnings, sync_text_key, sync_collated_key, sync_zone_watermark, sync_delta_bad_key,
+        stream_new_checkpoint, stream_delete_new_checkpoint, offset_page_deep, full_load_resumed_text,
     )
 }

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowferry.operators.classify import accepted, classify, hot_keys, reject_table
+from rowferry.operators.classify import accepted, classify, reject_table
 from rowferry.spec import DestSpec
 
 
@@ -85,7 +85,7 @@ def test_empty_and_all_null(spark):
 def test_reject_json(spark):
     df = spark.createDataFrame([("x", "a"), ("1", "b"), ("1", "c")], "id string, v string")
     got = {(r.reason, r.row) for r in reject_table(classify(df, spec()), "r").collect()}
-    assert got == {("bad_cast:id", '{"id":"x","v":"a"}'), ("duplicate_key", '{"id":1,"v":"c"}')}
+    assert got == {("bad_cast:id", '{"id":"x","v":"a"}'), ("duplicate_key", '{"id":"1","v":"c"}')}
 
 
 def test_columns_without_an_order(spark):
@@ -94,24 +94,19 @@ def test_columns_without_an_order(spark):
     assert sorted(str(r._reason) for r in got) == ["None", "duplicate_key"]
 
 
-def test_hot_key_is_found_and_split(spark):
+def hot(spark):
     """One key holds a third of the rows; most of them are copies of one row."""
-    df = (
-        spark.range(0, 30_000, 1, 8)
-        .select(
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("id"),
-            F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.concat(F.lit("v"), F.col("id"))).alias("v"),
-        )
+    return spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.concat(F.lit("v"), F.col("id"))).alias("v"),
     )
-    h = df.where("id = 7").select(F.xxhash64("id")).first()[0]
-    assert hot_keys(df, [F.col("id")], 5_000, 0.1) == [h]
-    assert hot_keys(df, [F.col("id")]) == []
-    split = classify(df, spec(), hot=[h])
-    plain = classify(df, spec(), hot=[])
-    assert split.groupBy("_reason").count().collect() == plain.groupBy("_reason").count().collect()
+
+
+def test_hot_key_is_split(spark):
+    df = hot(spark)
+    split, plain = classify(df, spec()), classify(df, spec(), split=False)
     assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
-    held = spark.createDataFrame([(7,)], "id long")
-    taken = classify(df, spec(), held, hot=[h])
+    taken = classify(df, spec(), spark.createDataFrame([(7,)], "id long"))
     assert taken.where("id = 7 and _reason is null").isEmpty()
     assert taken.count() == 30_000
     # Both branches read one shuffle of the source.
@@ -120,12 +115,20 @@ def test_hot_key_is_found_and_split(spark):
         assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("split", [True, False])
+def test_reason_of_a_held_key_holds_for_all_its_rows(spark, split):
+    held = spark.createDataFrame([(7, "deleted"), (7, "duplicate_key"), (8, "duplicate_key")], "id long, _why string")
+    got = classify(hot(spark), spec(), held, split=split)
+    assert {r._reason: r["count"] for r in got.where("id = 7").groupBy("_reason").count().collect()} == {"deleted": 10_001}
+    assert got.where("id = 8").first()._reason == "duplicate_key"
+
+
 def test_rejected_rows_are_spread(spark):
     """A third of the rows has a NULL key; they are not sent to one task."""
     df = spark.range(0, 30_000, 1, 8).select(
         F.when(F.col("id") % 3 != 0, F.col("id")).alias("id"), F.lit("v").alias("v")
     )
-    plan = classify(df, spec(), hot=[])
+    plan = classify(df, spec(), split=False)
     sizes = plan.where("_reason = 'null_key'").groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in sizes) == 10_000
 
@@ -138,13 +141,12 @@ ROWS = st.lists(
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(ROWS, st.sets(st.integers(0, 6)), st.booleans())
-def test_nothing_is_lost(spark, rows, held, hot):
+def test_nothing_is_lost(spark, rows, held, split):
     """accepted + rejected = source; keys unique; same as a loop over the rows."""
     s = spec("id long, v string not null", max_length={"v": 2})
     df = spark.createDataFrame(rows, "id long, v string").repartition(3)
     existing = spark.createDataFrame([(k,) for k in held], "id long")
-    hashes = [r[0] for r in df.select(F.xxhash64("id")).distinct().collect()] if hot else []
-    got = Counter((r.id, r.v, r._reason) for r in classify(df, s, existing, hot=hashes).collect())
+    got = Counter((r.id, r.v, r._reason) for r in classify(df, s, existing, split=split).collect())
     want, taken = Counter(), set(held)
     for k, v in sorted(rows, key=lambda r: (r[1] is not None, r[1] or "")):
         if k is None:

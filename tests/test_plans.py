@@ -25,7 +25,7 @@ def test_no_cross_join_and_no_python(spark, name):
 def test_classify_is_one_shuffle(spark):
     line = spark.read.parquet(f"{SF}/lineitem.parquet")
     held = spark.read.parquet(f"{SF}/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"))
-    text = plan(classify(line, DestSpec(line.schema, "l_orderkey"), held, hot=[]))
+    text = plan(classify(line, DestSpec(line.schema, "l_orderkey"), held, split=False))
     assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
     # Of the destination only the key is read.
     assert "ReadSchema: struct<o_orderkey:bigint>" in text

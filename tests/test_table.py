@@ -45,12 +45,12 @@ def test_delete_empties_buckets(spark, place):
     assert rows(dest) == [(1, "again")]
 
 
-def test_delete_one_bucket_only(spark, place):
+def test_delete_one_bucket_only(spark, place, tmp_path):
     dest, _ = place(SPEC)
     dest.load(frame(spark, range(40)))
     assert dest.delete(frame(spark, [7, 7, 99]), "d") == 1
     assert rows(dest) == [(i, "a") for i in range(40) if i != 7]
-    assert len(dest.commits().where("run_id = 'd'").first()["buckets"]) == 1
+    assert len(list((tmp_path / "t" / "dest" / "deletes").glob("seq=*/bucket=*"))) == 1
     assert dest.delete(frame(spark, [99]), "d2") == 0 and not dest.has_run("d2")
     # A key deleted before may come back.
     dest.insert(classify(frame(spark, [7, 8], "b"), SPEC, dest.keys()), "r")
@@ -79,11 +79,29 @@ def test_vacuum(spark, place):
     dest.delete(frame(spark, [7]), "d")
     dest.write(classify(frame(spark, [99]), SPEC))
     before = rows(dest)
-    assert dest.vacuum() == 2  # one rewritten bucket, one run never committed
+    assert dest.vacuum() == 1  # the run never committed
+    dest.compact("c")
+    assert dest.vacuum() == 1 + len({r[0] for r in dest.read().select(F.pmod(F.xxhash64("id"), F.lit(4))).collect()})
     assert rows(dest) == before and dest.rejects().count() == 1
     assert dest.vacuum() == 0
 
 
+def test_delete_writes_keys_only(spark, place, tmp_path):
+    """What a delete writes follows its keys, not the table; older rows go, later ones with the key stay."""
+    dest, _ = place(SPEC)
+    wide = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("v"))
+    dest.load(wide)
+    table = sum(f.stat().st_size for f in (tmp_path / "t" / "dest" / "rows").rglob("*.parquet"))
+    assert dest.delete(spark.range(0, 20_000, 2_000), "d") == 10
+    written = sum(f.stat().st_size for f in (tmp_path / "t" / "dest" / "deletes").rglob("*.parquet"))
+    assert written * 100 < table and dest.read().count() == 19_990
+    dest.load(frame(spark, [2_000], "back"), "r")
+    assert dest.delete(spark.range(4_000, 4_001), "d2") == 0
+    assert dest.read().where("id = 2000").first().v == "back"
+    dest.compact("c")
+    assert dest.read().count() == 19_991 and dest.delete(spark.range(2_000, 2_001), "d3") == 1
+
+
 def test_only_live_directories_are_read(spark, place):
     dest, _ = place(SPEC)
     dest.load(frame(spark, range(40)))
