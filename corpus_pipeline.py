@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.llm.common import write_through
+from rowferry.llm.common import shipped, write_through
 from rowferry.llm.decontamination import find_overlaps
 from rowferry.llm.line_dedup import dedup_lines
 from rowferry.llm.minhash import near_duplicates
@@ -19,27 +19,32 @@ from rowferry.llm.quality import rate_quality
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+@shipped
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or are more likely bad than good go."""
     return rate_quality(docs).where("kept").select(*COLUMNS)
 
 
+@shipped
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go from all of them; ``n_chars`` follows. Documents all stay."""
     return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@shipped
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     return near_duplicates(docs).where("kept").select(*COLUMNS)
 
 
+@shipped
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share ten words in a row with a benchmark item, or hold a shorter one, go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return find_overlaps(docs, items).where("not contaminated").select(*COLUMNS)
 
 
+@shipped
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, placed in sequences of 2048 tokens."""
     return pack_documents(docs)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,31 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, in case it is not on their path."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        package = os.path.basename(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        place = os.path.join(tempfile.mkdtemp(prefix="llm-"), package)
+        context.addPyFile(shutil.make_archive(place, "zip", root, package))
+        _shipped.add(context.applicationId)
+
+
+def shipped(query: Callable) -> Callable:
+    """A query or stage, of the session and more, that ships the package first."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        ship(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the folder named by ``spark.checkpoint.dir``.
 

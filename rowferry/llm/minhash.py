@@ -197,24 +197,35 @@ class NearDuplicates:
     def rare_pairs(self, nodes: DataFrame) -> DataFrame:
         """An exact way for nodes of large buckets: pairs that share one of their rarest shingles.
 
-        Sets of n shingles at the threshold share one of the n - ceil(0.75 n) + 1 first ones in any common order; here
-        the order is by rising frequency among these nodes. A label must differ and the sizes must allow the threshold.
+        A set of n shingles shares with any larger one at the threshold one of its n - ceil(6/7 n) + 1 first ones in any
+        common order, and that is among the larger one's m - ceil(0.75 m) + 1 first; here the order is by rising
+        frequency among these nodes. Labels must differ and places and sizes must allow the threshold.
         """
         sets = self.sets(nodes.select("node"))
         each = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
         often = each.groupBy("shingle").agg(F.count("*").alias("often"))
         ranked = each.join(often, "shingle").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
-        length = (F.col("n") - F.ceil(F.col("n") * F.lit(PERCENT / 100)) + 1).cast("int")
-        prefix = ranked.select("node", "n", F.posexplode(F.slice("order", F.lit(1), length)).alias("at", "one"))
-        prefix = prefix.where("one.often > 1").select("node", "n", "at", F.col("one.shingle").alias("shingle"))
-        prefix = write_through(prefix.join(nodes, "node"), "near-prefixes")
-        a = prefix.select("shingle", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "at", "label")])
-        b = prefix.select("shingle", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "at", "label")])
+        # What is seen only once cannot be shared, but counts as a place.
+        order = F.transform("order", lambda one: one["shingle"])
+        probe = (F.col("n") - F.ceil(F.col("n") * F.lit(PERCENT / 100)) + 1).cast("int")
+        index = (F.col("n") - F.ceil(F.col("n") * F.lit(2 * PERCENT / (100 + PERCENT) - 1e-9)) + 1).cast("int")
+        ranked = ranked.join(nodes, "node").select("node", "n", "label", order.alias("order"))
+        ranked = write_through(ranked.select("node", "n", "label", F.slice("order", F.lit(1), probe).alias("prefix")), "near-prefixes")
+
+        def side(name: str, prefix: Column) -> DataFrame:
+            rows = ranked.select(*[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "label")], prefix.alias(f"{name}_prefix"))
+            return rows.select("*", F.posexplode(f"{name}_prefix").alias(f"{name}_at", "shingle"))
+
+        a, b = side("a", F.slice("prefix", F.lit(1), index)), side("b", F.col("prefix"))
+        smaller = (F.col("a_n") < F.col("b_n")) | (F.col("a_n") == F.col("b_n")) & (F.col("a_node") < F.col("b_node"))
+        sizes = 100 * F.col("a_n") >= PERCENT * F.col("b_n")
         reach = F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
         need = F.lit(PERCENT) * (F.col("a_n") + F.col("b_n")) / F.lit(100 + PERCENT)
-        fits = (F.col("a_node") < F.col("b_node")) & (F.col("a_label") != F.col("b_label")) & (reach >= need - F.lit(1e-9))
+        # A pair is taken at the first shingle that its prefixes share, so once.
+        once = F.get(F.array_intersect("a_prefix", "b_prefix"), F.lit(0)) == a["shingle"]
+        fits = smaller & sizes & (F.col("a_label") != F.col("b_label")) & (reach >= need - F.lit(1e-9)) & once
         joined = a.join(b, (a["shingle"] == b["shingle"]) & fits)
-        return joined.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+        return joined.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
     def unsettled(self, members: DataFrame, links: DataFrame) -> DataFrame:
         """Members of the buckets in which the links leave more than one component, with their ``label``."""

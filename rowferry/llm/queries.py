@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import work_path, write_through
+from .common import shipped, work_path, write_through
 from .decontamination import find_overlaps
 from .html_text import extract_text
 from .licenses import scan_licenses
@@ -78,16 +78,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_licenses": op1_licenses,
-    "op2_decontamination": op2_decontamination,
-    "op3_token_ids": op3_token_ids,
-    "op4_packing": op4_packing,
-    "op5_quality": op5_quality,
-    "op6_html": op6_html,
-    "op7_masked_lm": op7_masked_lm,
-    "op8_minhash": op8_minhash,
-    "op9_line_dedup": op9_line_dedup,
-    "op10_sharding": op10_sharding,
+    f.__name__: shipped(f)
+    for f in (
+        op1_licenses, op2_decontamination, op3_token_ids, op4_packing, op5_quality,
+        op6_html, op7_masked_lm, op8_minhash, op9_line_dedup, op10_sharding,
+    )
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
