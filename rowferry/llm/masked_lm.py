@@ -20,7 +20,8 @@ KNOWN = (CLASSES - 1) * MEMBERS
 PAD = CLASSES * MEMBERS
 SIDE = 2
 WIDTH, HIDDEN = 16, 32
-BATCH = 8192
+#: Words of an Adam step, and words scored at once.
+BATCH, SCORED = 8192, 32768
 ROUNDS = 2
 BLOCK = 4096
 
@@ -76,9 +77,20 @@ def contexts(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([line[at + d] for d in (*range(-SIDE, 0), *range(1, SIDE + 1))], 1)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    return x
+
+
+def _chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log-softmax of one column per row. Changes ``x``."""
+    x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(at)), at]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(1))
 
 
 def _by_class(targets: np.ndarray):
@@ -92,10 +104,9 @@ def log_probs(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray)
     """The log-probability of each word given those around it: that of its class, and of it within the class."""
     inputs = w["embed"][around].reshape(len(around), 2 * SIDE * WIDTH)
     hidden = np.tanh(inputs @ w["mix"] + w["mix_bias"])
-    out = _log_softmax(hidden @ w["classes"] + w["class_bias"])[np.arange(len(targets)), targets // MEMBERS]
+    out = _chosen(hidden @ w["classes"] + w["class_bias"], targets // MEMBERS)
     for kind, rows in _by_class(targets):
-        logs = _log_softmax(hidden[rows] @ w["words"][kind] + w["word_bias"][kind])
-        out[rows] += logs[np.arange(len(rows)), targets[rows] % MEMBERS]
+        out[rows] += _chosen(hidden[rows] @ w["words"][kind] + w["word_bias"][kind], targets[rows] % MEMBERS)
     return out
 
 
@@ -105,14 +116,14 @@ def gradients(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray)
     inputs = w["embed"][around].reshape(n, 2 * SIDE * WIDTH)
     hidden = np.tanh(inputs @ w["mix"] + w["mix_bias"])
     g = {k: np.zeros_like(v) for k, v in w.items()}
-    error = np.exp(_log_softmax(hidden @ w["classes"] + w["class_bias"]))
+    error = _softmax(hidden @ w["classes"] + w["class_bias"])
     error[np.arange(n), targets // MEMBERS] -= 1
     error /= n
     g["classes"], g["class_bias"] = hidden.T @ error, error.sum(0)
     back = error @ w["classes"].T
     for kind, rows in _by_class(targets):
         own = hidden[rows]
-        error = np.exp(_log_softmax(own @ w["words"][kind] + w["word_bias"][kind]))
+        error = _softmax(own @ w["words"][kind] + w["word_bias"][kind])
         error[np.arange(len(rows)), targets[rows] % MEMBERS] -= 1
         error /= n
         g["words"][kind], g["word_bias"][kind] = own.T @ error, error.sum(0)
@@ -244,8 +255,8 @@ def score(docs: DataFrame, model: MaskedModel, text_col: str = "text") -> DataFr
                 ids = shared.value.ids(hashes, sizes)
                 around = contexts(ids, first)
                 logs = np.zeros(len(ids) + 1)
-                for k in range(0, len(ids), BATCH):
-                    logs[k + 1 : k + 1 + BATCH] = log_probs(shared.value.weights, around[k : k + BATCH], ids[k : k + BATCH])[: len(ids) - k]
+                for k in range(0, len(ids), SCORED):
+                    logs[k + 1 : k + 1 + SCORED] = log_probs(shared.value.weights, around[k : k + SCORED], ids[k : k + SCORED])
                 total = np.cumsum(logs)
                 n_tokens[i:j] = np.diff(first)
                 sums[i:j] = total[first[1:]] - total[first[:-1]]
