@@ -1,4 +1,8 @@
-"""Operator 7: documents scored by masked pseudo-likelihood under a bidirectional window network trained in numpy."""
+"""Operator 7: documents scored by masked pseudo-likelihood under a bidirectional window network trained in numpy.
+
+The network tells frequent words apart and gives all others a probability by length; a distributed table of the counts
+of all words completes that to the probability of the word itself.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +12,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import NOT_SPACE, chunks, utf8, without, word_hashes, word_spans, write_through
 
-#: Target words are numbered class * MEMBERS + member; the last class holds all other words by their length.
+#: Target words are numbered class * MEMBERS + member; the last class holds all other words by their length, within
+#: which ``word_counts`` tell them apart.
 CLASSES = MEMBERS = 64
 KNOWN = (CLASSES - 1) * MEMBERS
 PAD = CLASSES * MEMBERS
@@ -24,6 +29,8 @@ WIDTH, HIDDEN = 16, 32
 BATCH, SCORED = 8192, 32768
 ROUNDS = 2
 BLOCK = 4096
+#: Byte values that a word may hold: no white space, and A-Z are a-z.
+LETTERS = int(np.sum(NOT_SPACE)) - 26
 
 SHAPES = {
     "embed": (PAD + 1, WIDTH), "mix": (2 * SIDE * WIDTH, HIDDEN), "mix_bias": (HIDDEN,), "classes": (HIDDEN, CLASSES),
@@ -59,7 +66,7 @@ class MaskedModel:
     weights: dict[str, np.ndarray]
 
     def ids(self, hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Word numbers; a word that is not in the vocabulary is known by its length in bytes only."""
+        """Word numbers of the network; a word that is not in the vocabulary has that of its length in bytes."""
         out = KNOWN + np.minimum(sizes, MEMBERS - 1)
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
@@ -164,20 +171,54 @@ def _words(column: pa.Array):
 
 def _count(batches):
     for batch in batches:
-        for _, _, hashes, _, _ in _words(batch.column("text")):
-            words, counts = np.unique(hashes.view(np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["word", "n"])
+        for _, _, hashes, sizes, _ in _words(batch.column("text")):
+            words, at, counts = np.unique(hashes.view(np.int64), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words), pa.array(sizes[at].astype(np.int32)), pa.array(counts.astype(np.int64))], names=["word", "size", "n"]
+            )
 
 
-def vocabulary(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Every word of the whole table by its hash, with its length in bytes and its count: a table that grows with the
+    input and stays distributed. Written once."""
+    texts = docs.select(F.col(f"`{text_col}`").alias("text")).where(F.col("text").isNotNull())
+    counted = texts.mapInArrow(_count, "word long, size int, n long")
+    return write_through(counted.groupBy("word").agg(F.max("size").alias("size"), F.sum("n").alias("n")), "lm-words")
+
+
+def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and numbers of the KNOWN most frequent words of the whole table, ties by hash."""
-    counted = texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = [r.word for r in counted.orderBy(F.desc("n"), "word").limit(KNOWN).collect()]
+    top = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(KNOWN).select("word").collect()]
     hashes = np.array(top, np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], order.astype(np.int64)
 
 
+def class_totals(counts: DataFrame, model: MaskedModel) -> tuple[np.ndarray, np.ndarray]:
+    """Per length class: occurrences of the words outside the vocabulary, and how many of these words occur once, plus
+    one. The latter is what a word that was never counted may claim."""
+    spark = counts.sparkSession
+    known = spark.createDataFrame(pd.DataFrame({"word": model.hashes.view(np.int64)}), "word long")
+    others = counts.join(known, "word", "left_anti").groupBy(F.least("size", F.lit(MEMBERS - 1)).alias("kind"))
+    seen, new = np.zeros(MEMBERS), np.ones(MEMBERS)
+    for r in others.agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once")).collect():
+        seen[r.kind], new[r.kind] = r.n, 1 + r.once
+    return seen, new
+
+
+def log_share(n: Column, size: Column, totals: tuple[np.ndarray, np.ndarray]) -> Column:
+    """The log-probability of a word outside the vocabulary within its length class: its share of the class by count.
+
+    A word without a count shares what the class keeps for new words evenly with all strings of its length; in the last
+    class every byte beyond the first length halves it. The shares of a class sum to one at most.
+    """
+    seen, new = totals
+    kind = F.least(size, F.lit(MEMBERS - 1)) + 1
+    by_class = [F.array(*(F.lit(float(x)) for x in per)) for per in (np.log(seen + new), np.log(new))]
+    spelt = size * float(np.log(LETTERS)) + F.greatest(F.lit(0), size - (MEMBERS - 2)) * float(np.log(2))
+    return F.coalesce(F.log(n.cast("double")), F.element_at(by_class[1], kind) - spelt) - F.element_at(by_class[0], kind)
+
+
 def _train(shared):
     """One pass over a task's texts from the shared weights; emits the weights times the number of words, in blocks."""
 
@@ -210,17 +251,17 @@ def _sum_block(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": [head["block"]], "salt": [head["salt"]], "n": [frame["n"].sum()], "weights": [total.tobytes()]})
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: int = 11) -> MaskedModel:
-    """A model of all words of ``docs``.
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: int = 11, counts: DataFrame | None = None) -> MaskedModel:
+    """A network of all words of ``docs``.
 
-    The vocabulary comes from the word counts of the whole table. Then every text is learnt from once: a hash of the
+    The vocabulary comes from the word counts of the whole table, ``word_counts(docs)`` if not given. Then every text is learnt from once: a hash of the
     text deals it to one of ``rounds`` rounds, in which each task makes one pass of Adam steps over its texts of the
     round, starting from common weights; the weights of all tasks are averaged by their number of words, block by
     block and in two levels, and are the next round's start. The driver holds one model, whose size is fixed. Tables
     without words leave the weights as they start.
     """
     texts = docs.select(F.col(f"`{text_col}`").alias("text")).where(F.col("text").isNotNull())
-    hashes, numbers = vocabulary(texts)
+    hashes, numbers = vocabulary(word_counts(docs, text_col) if counts is None else counts)
     weights = start_weights(seed)
     schema = "block int, salt int, n long, weights binary"
     for number in range(rounds):
@@ -235,22 +276,32 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: i
     return MaskedModel(hashes, numbers, weights)
 
 
-def score(docs: DataFrame, model: MaskedModel, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: MaskedModel, text_col: str = "text", counts: DataFrame | None = None) -> DataFrame:
     """``docs`` less the text, with ``n_tokens``, ``log_prob`` (sum over its words of the log-probability given the two
     words on either side), ``mean_log_prob`` and ``perplexity``.
 
+    With ``counts``, the ``word_counts`` of the texts learnt from, every word is scored itself: the words that the
+    network knows by length only are joined with their counts (see ``log_share``). Without, these get the network's
+    probability of their length, not of the word.
+
     NULL, empty and word-less texts have no tokens, a sum of 0 and NULL means. Repeated rows and NULL ids are rows like
     any other; columns named like added ones are replaced. An empty table gives no rows.
     """
-    docs = without(docs, "n_tokens", "log_prob", "mean_log_prob", "perplexity")
+    docs = without(docs, "n_tokens", "log_prob", "mean_log_prob", "perplexity", "_lm_row", "_lm_rest")
     at = docs.columns.index(text_col)
     kept = [i for i in range(len(docs.columns)) if i != at]
-    schema = T.StructType([*(docs.schema.fields[i] for i in kept), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())])
+    fields = [*(docs.schema.fields[i] for i in kept), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())]
+    if counts is not None:
+        word = T.StructType([T.StructField("word", T.LongType()), T.StructField("size", T.IntegerType())])
+        fields += [T.StructField("_lm_row", T.LongType()), T.StructField("_lm_rest", T.ArrayType(word))]
+    schema, complete = T.StructType(fields), counts is not None
     names, shared = schema.names, docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             n_tokens, sums = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            rest, ends, n_rest = [], np.zeros(batch.num_rows + 1, np.int32), 0
             for i, j, hashes, sizes, first in _words(batch.column(at)):
                 ids = shared.value.ids(hashes, sizes)
                 around = contexts(ids, first)
@@ -260,7 +311,26 @@ def score(docs: DataFrame, model: MaskedModel, text_col: str = "text") -> DataFr
                 total = np.cumsum(logs)
                 n_tokens[i:j] = np.diff(first)
                 sums[i:j] = total[first[1:]] - total[first[:-1]]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(n_tokens), pa.array(sums)], names=names)
-
+                if complete:
+                    other = np.flatnonzero(ids >= KNOWN)
+                    rest.append((hashes[other].view(np.int64), sizes[other].astype(np.int32)))
+                    ends[i + 1 : j + 1] = n_rest + np.searchsorted(other, first[1:])
+                    n_rest += len(other)
+            made = [*(batch.column(c) for c in kept), pa.array(n_tokens), pa.array(sums)]
+            if complete:
+                columns = [np.concatenate(c) for c in zip(*rest)] if rest else [np.zeros(0, np.int64), np.zeros(0, np.int32)]
+                words = pa.StructArray.from_arrays([pa.array(c) for c in columns], ["word", "size"])
+                made += [pa.array(np.arange(row, row + batch.num_rows)), pa.ListArray.from_arrays(pa.array(ends), words)]
+                row += batch.num_rows
+            yield pa.RecordBatch.from_arrays(made, names=names)
+
+    scored = docs.mapInArrow(run, schema)
+    if complete:
+        scored = write_through(scored, "lm-scores")
+        words = scored.select("_lm_row", F.inline("_lm_rest")).join(counts.select("word", "n"), "word", "left")
+        shares = words.select("_lm_row", log_share(F.col("n"), F.col("size"), class_totals(counts, model)).alias("_lm_rest"))
+        sums = shares.groupBy("_lm_row").agg(F.sum("_lm_rest").alias("_lm_rest"))
+        scored = scored.drop("_lm_rest").join(sums, "_lm_row", "left")
+        scored = scored.withColumn("log_prob", F.col("log_prob") + F.coalesce("_lm_rest", F.lit(0.0))).drop("_lm_row", "_lm_rest")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
-    return docs.mapInArrow(run, schema).withColumn("mean_log_prob", mean).withColumn("perplexity", F.exp(-F.col("mean_log_prob")))
+    return scored.withColumn("mean_log_prob", mean).withColumn("perplexity", F.exp(-F.col("mean_log_prob")))

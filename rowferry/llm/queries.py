@@ -10,7 +10,7 @@ from .decontamination import find_overlaps
 from .html_text import extract_text
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
-from .masked_lm import score, train
+from .masked_lm import score, train, word_counts
 from .minhash import near_duplicates
 from .packing import pack_documents
 from .quality import features, rate_quality
@@ -59,7 +59,8 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(docs))
+    counts = word_counts(docs)
+    return score(docs, train(docs, counts=counts), counts=counts)
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
