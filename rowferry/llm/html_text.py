@@ -32,6 +32,7 @@ CLOSES = {
 CLOSES_P = BLOCKS - {"body", "html", "option", "caption", "tbody", "td", "tfoot", "th", "thead", "tr"}
 #: Blocks that are parts of a text, never one by themselves.
 PARTS = frozenset("p ul ol li dl dt dd table tbody thead tfoot tr td th h1 h2 h3 h4 h5 h6 blockquote pre".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEEP_WHOLE = frozenset(("html", "body", "article", "main"))
 _NAMES = (
     "ads?|advert\\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|disclaimer|footer|masthead|menu|modal|nav|navbar|navigation|newsletter|"
@@ -168,9 +169,9 @@ def densities(page: Page) -> tuple[list[float], list[float], list[int]]:
 
 def main_node(page: Page) -> int:
     """The subtree of the largest density sum among those that no node on the path from the body is sparser than the
-    body; then up to the article it lies in, or while the parent is clearly denser than the body."""
+    body; then up to the article it lies in, or to a block that can be a text by itself."""
     density, sums, _ = densities(page)
-    body = next((i for i, t in enumerate(page.tags) if t == "body"), 0)
+    body = body_node(page)
     floor = density[body] * 0.999
     passes = [False] * len(page.tags)
     passes[body] = True
@@ -184,15 +185,76 @@ def main_node(page: Page) -> int:
         if page.tags[inside] in ("article", "main"):
             return inside
         inside = page.parents[inside]
-    while best > body and page.parents[best] > body and density[page.parents[best]] > 1.2 * density[body]:
-        best = page.parents[best]
     while best > body and (page.tags[best] not in BLOCKS or page.tags[best] in PARTS):
         best = page.parents[best]
     return best
 
 
+def body_node(page: Page) -> int:
+    return next((i for i, t in enumerate(page.tags) if t == "body"), 0)
+
+
+def main_pieces(page: Page) -> list[bool]:
+    """Which text pieces belong to the main text: those of the main subtree and, unless it is an article, of the parts
+    beside it and beside its parents.
+
+    Composite density grows with the length of a part, so parts are compared by characters outside links per tag: a
+    quarter of the least on the path from the body is enough, if links do not have most of the part. Short parts between
+    such parts go with them, as do headings before the first; parts that are mostly links do not.
+    """
+    n, root, body = len(page.tags), main_node(page), body_node(page)
+    plain, linked, tags = [0] * n, [0] * n, [1] * n
+    first = [len(page.texts)] * n
+    sizes = [len(_SPACE.sub(" ", text).strip()) for _, text in page.texts]
+    children: list[list[int]] = [[] for _ in range(n)]
+    for at, (node, _) in enumerate(page.texts):
+        (linked if page.links[node] else plain)[node] += sizes[at]
+        first[node] = min(first[node], at)
+    for node in range(n - 1, 0, -1):
+        up = page.parents[node]
+        plain[up] += plain[node]
+        linked[up] += linked[node]
+        tags[up] += tags[node]
+        first[up] = min(first[up], first[node])
+        children[up].append(node)
+    kept, own = [False] * n, [False] * len(page.texts)
+    kept[root] = True
+    path = [root]
+    if page.tags[root] not in ("article", "main"):
+        while path[-1] > body:
+            path.append(page.parents[path[-1]])
+    least = min(plain[node] / tags[node] for node in path) / 4
+    direct: dict[int, list[int]] = {node: [] for node in path[1:]}
+    for at, (node, _) in enumerate(page.texts):
+        if node in direct:
+            direct[node].append(at)
+    for below, node in zip(path, path[1:]):
+        # the text pieces of the node itself count as parts too; parts in page order
+        parts = [(first[c], c, -1) for c in children[node] if first[c] < len(page.texts)] + [(at, -1, at) for at in direct[node]]
+        parts.sort()
+        inline = sum(linked[c] for c in children[node] if page.tags[c] not in BLOCKS)
+        prose = sum(sizes[at] for at in direct[node]) > inline
+
+        def is_text(c: int) -> bool:
+            return c < 0 or plain[c] >= linked[c] or page.tags[c] not in BLOCKS and prose
+
+        strong = [k for k, (_, c, at) in enumerate(parts)
+                  if c == below or (sizes[at] if c < 0 else plain[c] / tags[c]) >= max(least, 1) and is_text(c)]
+        start, end = strong[0], strong[-1]
+        while start and (parts[start - 1][1] < 0 and not sizes[parts[start - 1][2]] or page.tags[parts[start - 1][1]] in HEADINGS and parts[start - 1][1] > 0):
+            start -= 1
+        for _, c, at in parts[start : end + 1]:
+            if c < 0:
+                own[at] = True
+            elif c != below:
+                kept[c] = is_text(c)
+    for node in range(1, n):
+        kept[node] = kept[node] or kept[page.parents[node]]
+    return [own[at] or kept[node] for at, (node, _) in enumerate(page.texts)]
+
+
 def main_text(html: str | None) -> str:
-    """The blocks of the main subtree, white space made single spaces, joined by newlines."""
+    """The blocks of the main text, white space made single spaces, joined by newlines."""
     if not html:
         return ""
     if html.rfind("<!--") > html.rfind("-->"):
@@ -200,19 +262,16 @@ def main_text(html: str | None) -> str:
     page = Page()
     page.feed(_CUT_TAG.sub("", html))
     page.close()
-    root = main_node(page)
+    kept = main_pieces(page)
     n = len(page.tags)
-    block, kept = [0] * n, [False] * n
-    kept[root] = True
+    block = [0] * n
     for node in range(1, n):
-        up = page.parents[node]
-        kept[node] = kept[node] or kept[up]
-        block[node] = node if page.tags[node] in BLOCKS else block[up]
+        block[node] = node if page.tags[node] in BLOCKS else block[page.parents[node]]
     lines: list[str] = []
     run: list[str] = []
     last = None
-    for node, text in page.texts:
-        if not kept[node]:
+    for (node, text), own in zip(page.texts, kept):
+        if not own:
             continue
         if block[node] != last:
             lines.append("".join(run))
