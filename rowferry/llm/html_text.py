@@ -23,6 +23,8 @@ DROPPED = frozenset(
     "head script style noscript template svg math canvas object embed iframe audio video nav footer aside form button select "
     "textarea input dialog menu".split()
 )
+#: Start tags that leave an open head open.
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 #: What a start tag closes, up to the nearest element of the third set.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -75,9 +77,13 @@ class Page(HTMLParser):
         #: Open elements: node numbers, or -1, -2, ... for elements that are left out, whose names are in ``left_out``.
         self.stack, self.noise, self.articles = [0], 0, 0
         self.left_out: list[str] = []
+        #: Where the open head is in the stack, or 0.
+        self.head = 0
 
     def _pop(self) -> None:
         node = self.stack.pop()
+        if len(self.stack) <= self.head:
+            self.head = 0
         if node < 0:
             self.noise -= 1
         elif self.tags[node] in ("article", "main"):
@@ -97,7 +103,15 @@ class Page(HTMLParser):
             if name in until:
                 return
 
+    def _close_head(self) -> None:
+        """Its end tag may be left out: content of the body closes it, with all that is open in it but a template."""
+        if self.head and all(self._name(i) != "template" for i in range(self.head, len(self.stack))):
+            while self.head:
+                self._pop()
+
     def handle_starttag(self, tag, attrs):
+        if tag not in IN_HEAD:
+            self._close_head()
         if tag in CLOSES_P:
             self._close(("p",), ("td", "th", "li", "div", "article", "section", "button", "body", "table", "blockquote", "form", "nav", "aside", "footer", "header"))
         if tag in CLOSES:
@@ -106,6 +120,8 @@ class Page(HTMLParser):
             return
         if self.noise or is_noise(tag, attrs, self.articles > 0):
             if tag not in VOID:
+                if tag == "head" and not self.noise:
+                    self.head = len(self.stack)
                 self.left_out.append(tag)
                 self.stack.append(-len(self.left_out))
                 self.noise += 1
@@ -132,6 +148,8 @@ class Page(HTMLParser):
         self._close((tag,), () if tag in BLOCKS else BLOCKS)
 
     def handle_data(self, data):
+        if self.head == len(self.stack) - 1 and self.head and not data.isspace():
+            self._close_head()
         if not self.noise:
             self.texts.append((self.stack[-1], data))
 

@@ -23,3 +23,17 @@ def test_sections_of_different_length(one, two, size):
     assert main_text(page).split("\n") == ["Title", *first, "Next", *second]
     page = f"<body><div>{a}<div><ul>{links}</ul></div>{b}</div><div>(c) us</div></body>"
     assert main_text(page).split("\n") == first + second
+
+
+def test_head_without_end_tag():
+    head = "<!doctype html><html><head><meta charset=utf-8><title>t</title><style>p{}</style><script>x='<p>'</script>"
+    article = f"<article><h1>Title</h1><p>{PLAIN}</p></article>"
+    text = f"Title\n{PLAIN.strip()}"
+    assert main_text(f"{head}<body>{article}</body></html>") == text
+    assert main_text(f"{head}<body class=page><nav><a href=a>Home</a></nav>{article}<footer>f</footer>") == text
+    assert main_text(f"{head}{article}") == text
+    assert main_text(f"{head}\n<noscript><link rel=stylesheet href=a></noscript>\n<body>{article}") == text
+    assert main_text(f"{head}<noscript><img src=a></noscript><body>{article}") == text
+    assert main_text(f"{head}<template><p>no</p></template><body>{article}") == text
+    assert main_text(f"{head}</head><body>{article}") == text
+    assert main_text(f"<head><title>t</title>{PLAIN}") == PLAIN.strip()
