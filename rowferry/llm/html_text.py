@@ -19,10 +19,9 @@ BLOCKS = frozenset(
     "tr ul".split()
 )
 #: Elements that are never part of an article.
-DROPPED = frozenset(
-    "head script style noscript template svg math canvas object embed iframe audio video nav footer aside form button select "
-    "textarea input dialog menu".split()
-)
+DROPPED = frozenset("head script style noscript template svg math canvas object embed iframe audio video button select textarea input".split())
+#: Elements beside an article, unless they hold it.
+BESIDE = frozenset("nav footer aside dialog menu".split())
 #: Start tags that leave an open head open.
 IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 #: What a start tag closes, up to the nearest element of the third set.
@@ -40,6 +39,8 @@ _NAMES = (
     "ads?|advert\\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|disclaimer|footer|masthead|menu|modal|nav|navbar|navigation|newsletter|"
     "notices?|popup|promo\\w*|related|replies|share|sharing|sidebar|social|sponsor\\w*|subscribe|toolbar"
 )
+#: Names of what follows an article and may be longer than it, but not of a state such as comments-open.
+_AFTER = re.compile(r"(?:[a-z0-9]+[-_])*(?:comments?|disqus|related|replies)(?:[-_](?!open|closed|on|off|enabled|disabled|page)[a-z0-9_-]*)?$", re.I)
 _NOISE = re.compile(rf"(?:(?!has|with|no)[a-z0-9]+[-_])*(?:{_NAMES})(?:[-_][a-z0-9_-]*)?$", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 #: A tag that the end of the page cuts off.
@@ -47,24 +48,32 @@ _CUT_TAG = re.compile(r"<[/?a-zA-Z][^<>]*\Z")
 _SPACE = re.compile(r"\s+")
 
 
-def is_noise(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
-    """Whether an element is one of the parts that surround an article, by its name, role, class or id."""
-    if tag in DROPPED:
-        return True
-    if tag == "header":
-        return not in_article
-    if tag in KEEP_WHOLE or not attrs:
-        return False
+#: How surely an element is no part of an article: by a name that wrappers have too, by a name of what follows an article,
+#: by its kind.
+NAMED, AFTER, KIND = 1, 2, 3
+
+
+def noise(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
+    """Whether an element looks like one of the parts that surround an article, by its name, role, class or id, or 0."""
+    if tag in BESIDE or tag == "header" and not in_article:
+        return KIND
+    if tag == "form":
+        return NAMED
+    if tag == "header" or tag in KEEP_WHOLE or not attrs:
+        return 0
+    found = 0
     for name, value in attrs:
         if name == "hidden":
-            return True
+            return KIND
         if not value:
             continue
         if name == "role" and value.lower() in _ROLES:
-            return True
-        if name in ("class", "id") and any(_NOISE.match(word) for word in value.split()):
-            return True
-    return False
+            return KIND
+        if name in ("class", "id"):
+            for word in value.split():
+                if _NOISE.match(word):
+                    found = max(found, AFTER if _AFTER.match(word) else NAMED)
+    return found
 
 
 class Page(HTMLParser):
@@ -77,6 +86,9 @@ class Page(HTMLParser):
         #: Open elements: node numbers, or -1, -2, ... for elements that are left out, whose names are in ``left_out``.
         self.stack, self.noise, self.articles = [0], 0, 0
         self.left_out: list[str] = []
+        #: Elements that look like noise, and how surely; what they hold is read, since it may be the article.
+        self.doubtful: dict[int, int] = {}
+        self.forms = 0
         #: Where the open head is in the stack, or 0.
         self.head = 0
 
@@ -88,6 +100,8 @@ class Page(HTMLParser):
             self.noise -= 1
         elif self.tags[node] in ("article", "main"):
             self.articles -= 1
+        elif self.tags[node] == "form":
+            self.forms -= 1
 
     def _name(self, i: int) -> str:
         node = self.stack[i]
@@ -118,7 +132,7 @@ class Page(HTMLParser):
             self._close(*CLOSES[tag])
         if tag == "html" or tag == "body" and "body" in map(self._name, range(1, len(self.stack))):
             return
-        if self.noise or is_noise(tag, attrs, self.articles > 0):
+        if self.noise or tag in DROPPED or tag == "label" and self.forms:
             if tag not in VOID:
                 if tag == "head" and not self.noise:
                     self.head = len(self.stack)
@@ -134,18 +148,23 @@ class Page(HTMLParser):
             if tag in ("br", "hr", "wbr"):
                 self.texts.append((node, " " if tag != "wbr" else ""))
             return
+        doubt = noise(tag, attrs, self.articles > 0)
+        if doubt:
+            self.doubtful[node] = doubt
         self.articles += tag in ("article", "main")
+        self.forms += tag == "form"
         self.stack.append(node)
 
     def handle_startendtag(self, tag, attrs):
+        n = len(self.tags)
         self.handle_starttag(tag, attrs)
-        if self.noise and tag not in VOID:
+        if (self.noise or n in self.doubtful) and tag not in VOID:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
         if tag in VOID or tag == "html":
             return
-        self._close((tag,), () if tag in BLOCKS else BLOCKS)
+        self._close((tag,), () if tag in BLOCKS or tag in DROPPED else BLOCKS)
 
     def handle_data(self, data):
         if self.head == len(self.stack) - 1 and self.head and not data.isspace():
@@ -154,6 +173,63 @@ class Page(HTMLParser):
             self.texts.append((self.stack[-1], data))
 
 
+def without_noise(page: Page) -> Page:
+    """The page less the elements that look like noise and do not hold its article.
+
+    A page with an article or main outside all of them shows its article, so that they all go, but for named wrappers
+    with a headed text or an article that have most of the characters outside links. Else a wrapper stays that has an
+    article, a headed text or most of the characters; what follows an article also needs that no h1 stands outside, and
+    an element is kept against its kind only for an article or main. Nothing is kept below what goes.
+    """
+    if not page.doubtful:
+        return page
+    n = len(page.tags)
+    plain, heads, h1, articles, clean = [0] * n, [0] * n, [False] * n, [False] * n, [True] * n
+    for node, text in page.texts:
+        if not page.links[node]:
+            plain[node] += len(_SPACE.sub(" ", text).strip())
+    for node in range(1, n):
+        clean[node] = clean[page.parents[node]] and node not in page.doubtful
+    shown = headed = False
+    for node in range(n - 1, 0, -1):
+        tag, up = page.tags[node], page.parents[node]
+        if tag in HEADINGS:
+            heads[node] = plain[node]
+            h1[node] = tag == "h1"
+            headed |= h1[node] and clean[node]
+        if tag in ("article", "main") and plain[node]:
+            articles[node] = True
+            shown |= clean[node]
+        plain[up] += plain[node]
+        heads[up] += heads[node]
+        h1[up] |= h1[node]
+        articles[up] |= articles[node]
+    number, kept = [0] * n, [True] + [False] * (n - 1)
+    out = Page()
+    for node in range(1, n):
+        if not kept[page.parents[node]]:
+            continue
+        doubt = page.doubtful.get(node, 0)
+        if doubt:
+            holds = articles[node] or h1[node] and plain[node] > 2 * heads[node]
+            most = 2 * plain[node] > plain[0]
+            if doubt == KIND:
+                stays = articles[node] and not shown
+            elif doubt == AFTER:
+                stays = (holds or most) and not shown and not headed
+            else:
+                stays = holds and most if shown else holds or most
+            if not stays:
+                continue
+        kept[node] = True
+        number[node] = len(out.tags)
+        out.tags.append(page.tags[node])
+        out.parents.append(number[page.parents[node]])
+        out.links.append(page.links[node])
+    out.texts = [(number[node], text) for node, text in page.texts if kept[node]]
+    return out
+
+
 def densities(page: Page) -> tuple[list[float], list[float], list[int]]:
     """Per node: its link-adjusted characters per tag, the sum of that over its children, and its characters."""
     n = len(page.tags)
@@ -280,6 +356,7 @@ def main_text(html: str | None) -> str:
     page = Page()
     page.feed(_CUT_TAG.sub("", html))
     page.close()
+    page = without_noise(page)
     kept = main_pieces(page)
     n = len(page.tags)
     block = [0] * n

@@ -37,3 +37,34 @@ def test_head_without_end_tag():
     assert main_text(f"{head}<template><p>no</p></template><body>{article}") == text
     assert main_text(f"{head}</head><body>{article}") == text
     assert main_text(f"<head><title>t</title>{PLAIN}") == PLAIN.strip()
+
+
+ARTICLE, TEXTS = section(6)
+TEXT = "\n".join(TEXTS)
+WRAPPERS = [
+    "<form action=x>", "<div class='site right-sidebar'>", "<div class='sidebar-left'>", "<div class='menu-open'>",
+    "<div class='post comments-open'>", "<div class='promo-page'>", "<div id=modal>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_wrappers_with_noisy_names_keep_the_article(wrapper):
+    end = f"</{wrapper[1:5].strip('> ')}>".replace("</div ", "</div")
+    around = "<nav><a href=a>Home</a></nav>", f"<div class=comments><p>{PLAIN}</p></div><footer>(c) {PLAIN}</footer>"
+    for inner, text in ((f"<article>{ARTICLE}</article>", TEXT), (f"<main>{ARTICLE}</main>", TEXT), (ARTICLE, TEXT), (f"<h1>Title</h1>{ARTICLE}", f"Title\n{TEXT}")):
+        assert main_text(f"<body>{wrapper}{around[0]}<div>{inner}</div>{around[1]}{end}</body>") == text
+        assert main_text(f"<body><div>{wrapper}{inner}{end}</div>{around[1]}</body>") == text
+
+
+def test_controls_of_a_form_go():
+    page = f"<body><form><label>Search</label><input name=q><select><option>one</select><button>Go</button><article>{ARTICLE}</article></form></body>"
+    assert main_text(page) == TEXT
+
+
+def test_noise_beside_an_article_goes_whatever_its_length():
+    many = f"<p>{PLAIN}</p>" * 200
+    for noise in (f"<section class=comments>{many}</section>", f"<section id=comments><article>{many}</article></section>", f"<div class=cookie-consent>{many}</div>",
+                  f"<form>{many}</form>", f"<footer>{many}</footer>", f"<aside>{many}</aside>", f"<div hidden>{many}</div>"):
+        assert main_text(f"<body><article>{ARTICLE}</article>{noise}</body>") == TEXT
+    page = f"<body><div><h1>Title</h1>{ARTICLE}</div><section class=comment-list><article>{many}</article></section><footer>{many}</footer></body>"
+    assert main_text(page) == f"Title\n{TEXT}"
