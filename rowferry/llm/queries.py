@@ -16,6 +16,7 @@ from .packing import pack_documents
 from .quality import features, rate_quality
 from .sharding import shard
 from .tokens import read_tokens, write_tokens
+from .trie import prefix_trie, rebuilt, turn_lists
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,11 +79,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(turn_lists(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     f.__name__: shipped(f)
     for f in (
         op1_licenses, op2_decontamination, op3_token_ids, op4_packing, op5_quality,
         op6_html, op7_masked_lm, op8_minhash, op9_line_dedup, op10_sharding,
+        op11_prefix_trie,
     )
 }
 

@@ -1,0 +1,92 @@
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from rowferry.llm import queries
+from rowferry.llm.trie import prefix_trie, rebuilt, turn_lists
+
+SF = "/root/testdata/sf0.01"
+COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def rebuild(rows):
+    turns = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            turns[conv_id].append((turn is not None, turn, role or "", text or ""))
+    turns = {c: [t[2:] for t in sorted(ts, key=lambda t: (t[0], t[1] or 0))] for c, ts in turns.items()}
+    out = {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = turns.get(c - c % 5, [])[:h] + own[h:]
+    return out
+
+
+def brute(convs):
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    out = []
+    for node, ids in members.items():
+        under = [m for m in members if m[: len(node)] == node]
+        leaves = [m for m in under if not any(len(x) == len(m) + 1 and x[: len(m)] == m for x in under)]
+        saved = sum((len(members[m]) - 1) * len(m[-1][1].encode()) for m in under if m)
+        ends = ",".join(str(c) for c in sorted(ids) if len(convs[c]) == len(node))
+        out.append((min(ids), len(node), min(members[node[:-1]]) if node else None, len(ids),
+                    sum(len(m) == len(node) + 1 for m in under), len(leaves), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in df.select(*COLUMNS).collect()), key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+
+
+def test_whole_table(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    want = brute(rebuild(rows))
+    assert got(queries.QUERIES["op11_prefix_trie"](spark, SF)) == want
+    assert max(n for _, d, _, n, *_ in want if d) > 2
+
+
+@pytest.mark.parametrize("light", [1, 4, 10_000])
+def test_branches_copies_and_logs(spark, light):
+    """Random branching, many copies, one conversation logged after each of its turns, and a very long one."""
+    rng = random.Random(5)
+    convs = {}
+    for c in range(60):
+        convs[c] = [(rng.choice("ua"), rng.choice(["x", "yy", "é"])) for _ in range(rng.randint(0, 5))]
+    for c in range(100, 140):
+        convs[c] = [("u", "same"), ("a", "words")]
+    convs |= {200 + k: [("u", f"t{i}") for i in range(k)] for k in range(1, 15)}
+    convs[5000] = [("u", f"t{i}") for i in range(70)]
+    rows = [(c, i, *t) for c, ts in convs.items() for i, t in enumerate(ts)]
+    convs = {c: ts for c, ts in convs.items() if ts}
+    assert got(prefix_trie(turn_lists(frame(spark, rows)), light=light)) == brute(convs)
+
+
+def test_copies_over_many_runs_of_ids(spark):
+    """The digest of a node's ids is made of runs joined in numeric order."""
+    rows = [(c * 3001, 0, "u", "hot") for c in range(400)]
+    root, hot = sorted(prefix_trie(turn_lists(frame(spark, rows))).collect(), key=lambda r: r.depth)
+    ids = ",".join(str(c * 3001) for c in range(400))
+    assert hot.ends_sha256 == hashlib.sha256(ids.encode()).hexdigest() and hot.n_convs == 400
+    assert root.ends_sha256 == hashlib.sha256().hexdigest() and hot.saved_tokens == 399 * 3 == root.saved_tokens
+
+
+def test_edges(spark):
+    """NULLs in every column, repeated rows, a missing relative, conversations without turns, extra columns."""
+    rows = [(None, 1, "u", "a"), (0, None, None, "first"), (0, 2, "u", None), (0, 1, None, None), (0, 1, None, None),
+            (3, 1, "a", "x"), (21, 5, "u", "y"), (24, 1, "u", ""), (24, 2, "u", "z" * 200_000)]
+    wide = frame(spark, rows).selectExpr("*", "'k' AS keys", "1 AS depth", "2 AS n", "3 AS `a.b`")
+    assert got(prefix_trie(rebuilt(turn_lists(wide)))) == brute(rebuild(rows))
+    assert prefix_trie(turn_lists(frame(spark, rows[:1]))).count() == 0
+    lone = prefix_trie(rebuilt(turn_lists(frame(spark, [(21, 5, "u", "y")])))).collect()
+    assert [(r.depth, r.conv_id, r.n_convs, r.n_children, r.n_leaves) for r in lone][:1] == [(0, 21, 1, len(lone) - 1, 1)]
