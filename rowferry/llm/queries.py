@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import shipped, work_path, write_through
 from .decontamination import find_overlaps
 from .html_text import extract_text
+from .lattice import near_duplicate_vectors
 from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .masked_lm import score, train, word_counts
@@ -83,12 +84,16 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(rebuilt(turn_lists(table(spark, sf_dir, "conversations"))))
 
 
+def op13_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: shipped(f)
     for f in (
         op1_licenses, op2_decontamination, op3_token_ids, op4_packing, op5_quality,
         op6_html, op7_masked_lm, op8_minhash, op9_line_dedup, op10_sharding,
-        op11_prefix_trie,
+        op11_prefix_trie, op13_lattice,
     )
 }
 
