@@ -204,7 +204,9 @@ def prefix_trie(lists: DataFrame, light: int = LIGHT) -> DataFrame:
 
     each = merged.select("end", "keys", F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("at"))
     each = each.select("end", "at", key_at(F.col("at")).alias("node"))
+    # Written, so that Spark knows its size: broadcast if small, else a join of which it can split hot nodes.
     heavy = each.groupBy("node").agg(F.count("*").alias("below")).where(F.col("below") > light).select("node")
+    heavy = write_through(heavy, "trie-heavy-nodes")
     reach = each.join(heavy, "node").groupBy("end").agg((F.max("at") + 1).alias("top"))
     placed = merged.join(reach, "end", "left").withColumn("top", F.coalesce("top", F.lit(0)))
     placed = write_through(placed, "trie-placed")
