@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import shipped, work_path, write_through
 from .decontamination import find_overlaps
+from .hard_negatives import hard_negatives
 from .html_text import extract_text
 from .lattice import near_duplicate_vectors
 from .licenses import scan_licenses
@@ -84,6 +85,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(rebuilt(turn_lists(table(spark, sf_dir, "conversations"))))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -93,7 +100,7 @@ QUERIES = {
     for f in (
         op1_licenses, op2_decontamination, op3_token_ids, op4_packing, op5_quality,
         op6_html, op7_masked_lm, op8_minhash, op9_line_dedup, op10_sharding,
-        op11_prefix_trie, op13_lattice,
+        op11_prefix_trie, op12_hard_negatives, op13_lattice,
     )
 }
 
