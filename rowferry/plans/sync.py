@@ -8,6 +8,7 @@ rows that are already there come back as duplicates and change nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -23,12 +24,15 @@ from rowferry.operators.paging import key_cuts
 from rowferry.operators.profile import deleted_keys
 from rowferry.plans import state as S
 from rowferry.plans.modes import FORCED, INVALID_MODE, MODES, mode_columns
-from rowferry.sources.table import DestTable
+from rowferry.sources.table import ConflictError, DestTable
 from rowferry.sources.template import check_query, extract, render
 from rowferry.sources.workdir import rows_of, write_through
 from rowferry.spec import DestSpec, JobSpec
 
 
+#: Attempts at a load whose ground other writers take away.
+RETRIES = 5
+
 # The texts of refused runs.
 NO_TABLE = "Source table '%s' does not exist"
 BAD_QUERY = "SQL query syntax error: %s"
@@ -169,21 +173,29 @@ def detect_mode(
 
 
 def _load(
-    job: JobSpec, source: DataFrame, existing: DataFrame | None, dest: DestTable, result: RunResult, key: str
+    job: JobSpec, source: DataFrame, existing: Callable[[], DataFrame | None], dest: DestTable, result: RunResult, key: str
 ) -> tuple[DataFrame, str | None]:
     """Classify, write and commit; counters are read back from the files, as
-    metrics of a running job may count a repeated task twice."""
-    seq = dest.insert(classify(source, dest.spec, existing, split=job.split_hot_keys), result.run_id)
-    rows = dest.run_rows(seq, key)
-    done = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("_reason").isNull()).alias("ok"),
-        key_text(F.max(key), rows.schema[key].dataType).alias("last"),
-    ).first()
-    result.rows_processed += done["n"]
-    result.rows_inserted += done["ok"]
-    result.rows_rejected += done["n"] - done["ok"]
-    return rows, done["last"]
+    metrics of a running job may count a repeated task twice.
+
+    Where another writer's commit took away what the rows were classified
+    against, all of it is done again.
+    """
+    for attempt in range(RETRIES):
+        base = dest.snapshot()
+        try:
+            done = dest.insert(classify(source, dest.spec, existing(), split=job.split_hot_keys), result.run_id, base)
+            break
+        except ConflictError:
+            if attempt == RETRIES - 1:
+                raise
+    result.rows_processed += done.accepted + done.rejected
+    result.rows_inserted += done.accepted
+    result.rows_rejected += done.rejected
+    rows = dest.run_rows(done, key)
+    if not done.accepted + done.rejected:
+        return rows, None
+    return rows, rows.agg(key_text(F.max(key), rows.schema[key].dataType).alias("last")).first()["last"]
 
 
 def _save_batches(
@@ -254,7 +266,11 @@ def full_load(
             above = F.lit(True) if lo is None else col > F.lit(lo)
             return above if hi is None else above & (col <= F.lit(hi))
 
-        existing = None if fresh else held_keys(dest, within(F.col(f"`{pk}`")))
+        def existing(low=lo, wanted=within(F.col(f"`{pk}`"))):
+            if fresh:
+                return None
+            return held_keys(dest, wanted, None if low is None else F.col("high") > F.lit(low))
+
         # NULL keys, and those that do not fit the type, go with the first range.
         part = source.where(within(key) | key.isNull() if lo is None else within(key))
         before = result.rows_processed
@@ -282,10 +298,10 @@ def full_load(
         save_watermark(job, store, pk, *done)
 
 
-def held_keys(dest: DestTable, fresh: Column) -> DataFrame:
-    """The destination's keys that loaded ones may meet: those in the loaded range, or all of them under a collation,
-    where keys on either side of a bound can be equal."""
-    return dest.keys() if dest.spec.key_collation else dest.keys().where(fresh)
+def held_keys(dest: DestTable, fresh: Column, files: Column | None = None) -> DataFrame:
+    """The destination's keys that loaded ones may meet: those in the loaded range, from the files whose upper bound
+    ``files`` lets through. Under a collation all of them, as keys on either side of a bound can be equal."""
+    return dest.keys() if dest.spec.key_collation else dest.keys(after=files).where(fresh)
 
 
 def save_watermark(job: JobSpec, store: S.StateStore, pk: str, value: str, kind: str) -> None:
@@ -321,10 +337,18 @@ def incremental_load(
     # The key that is paged by need not be the destination's key.
     dtype = dest.spec.schema[pk].dataType if pk in dest.spec.schema.names else source.schema[pk].dataType
     fresh = after_watermark(typed_key(source, pk, dtype), value, kind)
-    existing = held_keys(dest, after_watermark(pk, value, kind)) if pk in dest.spec.primary_key else dest.keys()
-    if flagged is not None:
+    first = pk == dest.spec.primary_key[0] and value is not None
+
+    def existing():
+        if pk not in dest.spec.primary_key:
+            held = dest.keys()
+        else:
+            held = held_keys(dest, after_watermark(pk, value, kind), after_watermark("high", value, kind) if first else None)
+        if flagged is None:
+            return held
         gone = flagged.distinct().withColumn("_why", F.lit(DELETED))
-        existing = existing.withColumn("_why", F.lit(DUPLICATE_KEY)).unionByName(gone)
+        return held.withColumn("_why", F.lit(DUPLICATE_KEY)).unionByName(gone)
+
     rows, last = _load(job, source.where(fresh), existing, dest, result, pk)
     if job.batch_history:
         _save_batches(job, store, rows, dest, result, result.rows_processed)

@@ -24,6 +24,8 @@ class DestSpec:
     max_length: dict = field(default_factory=dict)
     key_collation: str | None = None
     buckets: int = 16
+    #: Parts of a file's key filter, each of two bitmaps of 32,768 bits; about 8,000 keys a part are told apart well.
+    filter_chunks: int = 1
 
     def __post_init__(self):
         object.__setattr__(self, "primary_key", as_keys(self.primary_key))
@@ -32,6 +34,8 @@ class DestSpec:
             raise ValueError(f"primary key columns not in the schema: {missing}")
         if self.buckets < 1:
             raise ValueError("buckets must be at least 1")
+        if self.filter_chunks < 1:
+            raise ValueError("filter_chunks must be at least 1")
 
     @property
     def required(self) -> list[str]:

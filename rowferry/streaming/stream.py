@@ -42,15 +42,17 @@ def insert_batch(job: JobSpec, dest: DestTable, store: S.StateStore, late: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{batch_token(job, batch, batch_id)}-insert"
         mark = store.watermark(job, pk)
-        if not dest.has_run(run_id):
+        done = dest.log.run(run_id)
+        if done is None:
+            base = dest.snapshot()
             key = typed_key(batch, pk, dest.spec.schema[pk].dataType)
             mark_of = mark or (None, None)
             # A stream shows a row once, so rows without a key must reach the rejects now.
             rows = batch if late == "fill" else batch.where(after_watermark(key, *mark_of) | key.isNull())
-            held = dest.keys() if late == "fill" else held_keys(dest, after_watermark(pk, *mark_of))
-            dest.insert(classify(rows, dest.spec, held, split=job.split_hot_keys), run_id)
-        seq = dest.commits().where(F.col("run_id") == run_id).first()["seq"]
-        last = S.watermark_advance(dest.run_rows(seq), pk).first()["new_value"]
+            files = None if mark is None else after_watermark("high", *mark_of)
+            held = dest.keys() if late == "fill" else held_keys(dest, after_watermark(pk, *mark_of), files)
+            done = dest.insert(classify(rows, dest.spec, held, split=job.split_hot_keys), run_id, base)
+        last = S.watermark_advance(dest.run_rows(done), pk).first()["new_value"]
         if last is None:
             return
         kind = dest.spec.schema[pk].dataType.simpleString()
