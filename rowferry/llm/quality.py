@@ -115,7 +115,8 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_ends": _count(F.col("_text"), ".!?"),
         "n_distinct": F.size(F.array_distinct("_words")),
     }
-    return rows.select(*own, *[c.cast("long").alias(n) for n, c in measures.items()])
+    # Through a generator, so that a filter on a measure is not moved below it, which would compute all of them again.
+    return rows.select(*own, F.inline(F.array(F.struct(*[c.cast("long").alias(n) for n, c in measures.items()]))))
 
 
 @dataclass(frozen=True)
