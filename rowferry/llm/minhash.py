@@ -18,6 +18,8 @@ PERCENT = 75
 BANDS, ROWS = 40, 4
 #: Values that the permutations rearrange; shingles are dealt to them by hash.
 DOMAIN = 1 << 20
+#: Cells of each of the two rows of the sketch of shingles' frequencies: 4 MB together.
+CELLS = 1 << 19
 #: A bucket of more classes than this is not compared pair by pair.
 SMALL_BUCKET = 32
 
@@ -112,6 +114,44 @@ def _sets(batches):
         )
 
 
+def _sketch_cells(shingles: np.ndarray) -> np.ndarray:
+    """The two cells of the count-min sketch that count a shingle."""
+    bits = mix(shingles.view(np.uint64))
+    return np.stack([bits & np.uint64(CELLS - 1), (bits >> np.uint64(32) & np.uint64(CELLS - 1)) + np.uint64(CELLS)]).astype(np.int64)
+
+
+def _count_shingles(batches):
+    """How many of the task's shingles fall into each cell of the sketch."""
+    counts = np.zeros(2 * CELLS, np.int64)
+    for batch in batches:
+        flat = np.asarray(batch.column("shingles").flatten())
+        if len(flat):
+            counts += np.bincount(_sketch_cells(flat).ravel(), minlength=2 * CELLS)
+    used = np.flatnonzero(counts)
+    for i in range(0, len(used), 1 << 16):
+        some = used[i : i + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(counts[some])], names=["cell", "n"])
+
+
+def _rarest_first(shared):
+    """The sizes of sets and their rarest shingles, as many as can be the first that two similar sets share."""
+
+    def cut(batches):
+        sketch = shared.value
+        for batch in batches:
+            sizes, prefixes = [], []
+            for shingles in batch.column("shingles"):
+                values = np.asarray(shingles.values)
+                n = len(values)
+                seen = sketch[_sketch_cells(values)].min(0) if n else values
+                sizes.append(n)
+                prefixes.append(values[np.lexsort((values, seen))][: n + (-PERCENT * n // 100) + 1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["node", "n", "prefix"])
+
+    return cut
+
+
 def _alike(batches):
     """Pairs whose signatures agree in half of the coordinates; at the threshold three quarters do, within a few hundredths."""
     for batch in batches:
@@ -199,18 +239,20 @@ class NearDuplicates:
 
         A set of n shingles shares with any larger one at the threshold one of its n - ceil(6/7 n) + 1 first ones in any
         common order, and that is among the larger one's m - ceil(0.75 m) + 1 first; here the order is by rising
-        frequency among these nodes. Labels must differ and places and sizes must allow the threshold.
+        frequency among these nodes. Any order is right, so frequencies need not be exact: they are kept in a count-min
+        sketch of fixed size, which is sent to every task. Labels must differ and places and sizes must allow the
+        threshold.
         """
         sets = self.sets(nodes.select("node"))
-        each = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-        often = each.groupBy("shingle").agg(F.count("*").alias("often"))
-        ranked = each.join(often, "shingle").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order"))
-        # What is seen only once cannot be shared, but counts as a place.
-        order = F.transform("order", lambda one: one["shingle"])
-        probe = (F.col("n") - F.ceil(F.col("n") * F.lit(PERCENT / 100)) + 1).cast("int")
+        cells = sets.mapInArrow(_count_shingles, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        # At most 2 * CELLS rows.
+        counted = cells.toArrow()
+        sketch = np.zeros(2 * CELLS, np.int32)
+        sketch[np.asarray(counted["cell"])] = np.minimum(np.asarray(counted["n"]), 2**31 - 1)
+        shared = self.rows.sparkSession.sparkContext.broadcast(sketch)
+        ranked = sets.mapInArrow(_rarest_first(shared), "node long, n int, prefix array<long>").join(nodes, "node")
+        ranked = write_through(ranked.select("node", "n", "label", "prefix"), "near-prefixes")
         index = (F.col("n") - F.ceil(F.col("n") * F.lit(2 * PERCENT / (100 + PERCENT) - 1e-9)) + 1).cast("int")
-        ranked = ranked.join(nodes, "node").select("node", "n", "label", order.alias("order"))
-        ranked = write_through(ranked.select("node", "n", "label", F.slice("order", F.lit(1), probe).alias("prefix")), "near-prefixes")
 
         def side(name: str, prefix: Column) -> DataFrame:
             rows = ranked.select(*[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "label")], prefix.alias(f"{name}_prefix"))
