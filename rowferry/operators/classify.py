@@ -20,6 +20,8 @@ from rowferry.functions.keys import DUPLICATE_KEY, NULL_KEY, any_null, as_keys,
 from rowferry.spec import DestSpec
 
 SOURCE, DEST = 1, 0
+#: Rows of one key, from one task, that are ranked together: a million.
+RUN_BITS = 20
 
 
 SOURCE_VALUE = "_source_"
@@ -116,13 +118,16 @@ def classify_conformed(
     ``existing`` holds taken keys; rows that lose to one are duplicates, or get
     the reason in its column ``_why`` where it has one.
 
-    The rows of a key are spread by the task that read them and ranked there.
-    Only the best of each task then meets the destination's keys, which sort
-    ahead of the rows that compete for them. So no key's rows need to fit in
-    one task, and the source is read once. Rows already rejected are spread the
-    same way. ``split=False`` ranks all rows of a key at once, for sources
-    known to hold few rows per key; the outcome is the same.
+    The rows of a key are spread by the task that made them and their place in
+    it, ``2 ** RUN_BITS`` rows at a time, and ranked there. Only the best of each run then
+    meets the destination's keys, which sort ahead of the rows that compete for
+    them. So no key's rows need to fit in one task, also where the query ends in
+    a shuffle by that key, and the source is read once. Rows already rejected
+    are spread the same way. ``split=False`` ranks all rows of a key at once,
+    for sources known to hold few rows per key; the outcome is the same.
     """
+    # The id counts the rows of a task from a start of its own.
+    run = F.shiftright(F.monotonically_increasing_id(), RUN_BITS)
     keys = spec.primary_key
     # Keys that are equal under a collation may still differ, so they order too.
     same = keys if spec.key_collation is None else ()
@@ -136,7 +141,7 @@ def classify_conformed(
         {
             "_origin": F.lit(SOURCE),
             "_bad": F.col("_reason").isNotNull(),
-            "_salt": F.spark_partition_id() if split else F.when(F.col("_reason").isNotNull(), F.spark_partition_id()).otherwise(-1),
+            "_salt": run if split else F.when(F.col("_reason").isNotNull(), run).otherwise(-1),
         }
     )
     why = ["_why"] if existing is not None and "_why" in existing.columns else []
@@ -146,7 +151,7 @@ def classify_conformed(
             *[f.alias(n) for n, f in zip(forms, normal_forms(held, keys, spec.key_collation))],
             F.lit(DEST).alias("_origin"),
             F.lit(False).alias("_bad"),
-            F.lit(-1).alias("_salt"),
+            F.lit(-1).cast("long").alias("_salt"),
             *why,
         )
 
@@ -166,7 +171,8 @@ def classify_conformed(
         result = settled(ranked(met(meet), *forms, "_salt", "_bad"))
     else:
         # A difference, since a limit on _rn itself would move into one branch and part their shuffles.
-        first = ranked(meet, *forms, "_salt", "_bad")
+        # Asked for, since a query that ends in a shuffle by key would be taken as it is, its hot key in one task.
+        first = ranked(meet.repartition(*forms, "_salt", "_bad"), *forms, "_salt", "_bad")
         behind = F.col("_rn") - F.when(~F.col("_bad"), F.lit(1)).otherwise(F.lit(0))
         again = settled(ranked(met(first.where(behind == 0).drop("_rn")), *forms))
         rest = first.where(behind != 0)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from rowferry.functions.keys import DELETED, DUPLICATE_KEY, after_watermark, key_text, typed_key
 from rowferry.functions.types import spark_type_name
 from rowferry.operators.classify import classify
+from rowferry.operators.constraints import classify_constrained, has_constraints, key_columns
 from rowferry.operators.compat import ERROR, dest_pk_report, schema_report
 from rowferry.operators.loads import batch_metrics, load_progress
 from rowferry.operators.paging import key_cuts
@@ -157,8 +158,9 @@ def detect_mode(
     if has_flag and not empty:
         flagged = flagged_rows(job, table, store, pk).count()
     mode, reason = mode_columns()
+    # Literals over a local relation are worked out while planning, without a job.
     row = (
-        spark.range(1)
+        spark.sql("SELECT * FROM VALUES (0)")
         .select(
             F.lit(0 if empty else 1).alias("dest_rows"),
             F.lit(has_flag).alias("has_flag"),
@@ -173,7 +175,13 @@ def detect_mode(
 
 
 def _load(
-    job: JobSpec, source: DataFrame, existing: Callable[[], DataFrame | None], dest: DestTable, result: RunResult, key: str
+    job: JobSpec,
+    source: DataFrame,
+    existing: Callable[[], DataFrame | None],
+    dest: DestTable,
+    result: RunResult,
+    key: str,
+    deleted: DataFrame | None = None,
 ) -> tuple[DataFrame, str | None]:
     """Classify, write and commit; counters are read back from the files, as
     metrics of a running job may count a repeated task twice.
@@ -184,7 +192,12 @@ def _load(
     for attempt in range(RETRIES):
         base = dest.snapshot()
         try:
-            done = dest.insert(classify(source, dest.spec, existing(), split=job.split_hot_keys), result.run_id, base)
+            if has_constraints(dest.spec):
+                # Any visible row may hold one of the unique keys, wherever the load begins.
+                outcome = classify_constrained(source, dest.spec, dest.read().select(*key_columns(dest.spec)), deleted)
+            else:
+                outcome = classify(source, dest.spec, existing(), split=job.split_hot_keys)
+            done = dest.insert(outcome, result.run_id, base)
             break
         except ConflictError:
             if attempt == RETRIES - 1:
@@ -349,7 +362,7 @@ def incremental_load(
         gone = flagged.distinct().withColumn("_why", F.lit(DELETED))
         return held.withColumn("_why", F.lit(DUPLICATE_KEY)).unionByName(gone)
 
-    rows, last = _load(job, source.where(fresh), existing, dest, result, pk)
+    rows, last = _load(job, source.where(fresh), existing, dest, result, pk, flagged)
     if job.batch_history:
         _save_batches(job, store, rows, dest, result, result.rows_processed)
     if last is not None:

@@ -235,6 +235,9 @@ class DestTable:
 
     def _describe(self, seq: int) -> None:
         """List a folder's files with the bounds and filters of their keys, from what was written."""
+        fs, where = file_system(self.spark, f"{self.path}/rows/seq={seq}")
+        if not any(s.isDirectory() for s in fs.listStatus(where)):
+            return
         keys = self._with_probe(self._with_forms(self._scan([seq]).select(*self.spec.primary_key, "_bucket", "_file"), self.spec.primary_key))
         keys.groupBy(F.col("_bucket").alias("bucket"), "_file", "chunk").agg(
             F.count("*").alias("n"), F.min("_k0").alias("low"), F.max("_k0").alias("high"),
@@ -251,7 +254,10 @@ class DestTable:
         })
 
     def _counts(self, seq: int) -> tuple[int, int]:
-        files = self.spark.read.schema("bucket int, n long").parquet(f"{self.path}/files/seq={seq}")
+        if not self._exists(f"files/seq={seq}"):
+            return 0, 0
+        # A few rows per file, so one task will do.
+        files = self.spark.read.schema("bucket int, n long").parquet(f"{self.path}/files/seq={seq}").coalesce(1)
         row = files.agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)) for c in (F.col("bucket") >= 0, F.col("bucket") < 0)]).first()
         return row[0], row[1]
 
@@ -280,6 +286,8 @@ class DestTable:
             if deleted and rejected and self._refused_deleted(seq, deleted):
                 raise ConflictError("keys that rows were refused for have been deleted")
             new = [s for o in others if o.kind == "insert" and o.accepted for s in o.folders[:1]]
+            if new and accepted and self.spec.unique:
+                raise ConflictError("another unique key may be taken by rows inserted meanwhile")
             if new and accepted:
                 masked, n = self._mask(seq, now, new, folders[1] if len(folders) > 1 else None)
                 if masked is not None:

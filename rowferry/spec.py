@@ -23,6 +23,11 @@ class DestSpec:
     defaults: dict = field(default_factory=dict)
     max_length: dict = field(default_factory=dict)
     key_collation: str | None = None
+    #: Unique keys beside the primary one, by name; conditions that every row must meet; and, by name, columns that must
+    #: be found in columns of another table.
+    unique: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    checks: dict[str, str] = field(default_factory=dict)
+    foreign_keys: dict[str, tuple[tuple[str, ...], str, tuple[str, ...]]] = field(default_factory=dict)
     buckets: int = 16
     #: Parts of a file's key filter, each of two bitmaps of 32,768 bits; about 8,000 keys a part are told apart well.
     filter_chunks: int = 1
@@ -32,6 +37,11 @@ class DestSpec:
         missing = [k for k in self.primary_key if k not in self.schema.names]
         if missing:
             raise ValueError(f"primary key columns not in the schema: {missing}")
+        object.__setattr__(self, "unique", {n: as_keys(c) for n, c in self.unique.items()})
+        own = {**self.unique, **{n: columns for n, (columns, _, _) in self.foreign_keys.items()}}
+        lacking = {n: c for n, columns in own.items() for c in columns if c not in self.schema.names}
+        if lacking:
+            raise ValueError(f"columns of constraints not in the schema: {lacking}")
         if self.buckets < 1:
             raise ValueError("buckets must be at least 1")
         if self.filter_chunks < 1:

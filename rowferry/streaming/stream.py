@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowferry.functions.keys import after_watermark, typed_key, typed_value
 from rowferry.operators.classify import classify
+from rowferry.operators.constraints import classify_constrained, has_constraints, key_columns
 from rowferry.operators.profile import is_flagged
 from rowferry.plans import state as S
 from rowferry.plans.sync import RunResult, apply_deletes, held_keys, record_id, save_watermark
@@ -51,7 +52,11 @@ def insert_batch(job: JobSpec, dest: DestTable, store: S.StateStore, late: str):
             rows = batch if late == "fill" else batch.where(after_watermark(key, *mark_of) | key.isNull())
             files = None if mark is None else after_watermark("high", *mark_of)
             held = dest.keys() if late == "fill" else held_keys(dest, after_watermark(pk, *mark_of), files)
-            done = dest.insert(classify(rows, dest.spec, held, split=job.split_hot_keys), run_id, base)
+            if has_constraints(dest.spec):
+                outcome = classify_constrained(rows, dest.spec, dest.read().select(*key_columns(dest.spec)))
+            else:
+                outcome = classify(rows, dest.spec, held, split=job.split_hot_keys)
+            done = dest.insert(outcome, run_id, base)
         last = S.watermark_advance(dest.run_rows(done), pk).first()["new_value"]
         if last is None:
             return

@@ -41,6 +41,33 @@ LAYOUT = {
 }
 
 
+# A fold over the rows in order: the keys taken so far, and what became of each row.
+_PART_ROWS = """
+parts AS (
+  SELECT CAST(round(p_retailprice * 10) AS BIGINT) AS id, p_partkey, p_name, p_brand, p_type, p_size, CAST(p_partkey % 27 AS INTEGER) AS origin,
+    CASE WHEN p_size > 45 THEN 'check:size' WHEN p_partkey % 27 NOT IN (SELECT n_nationkey FROM nation) THEN 'foreign_key:origin' END AS broken,
+    'i' || CAST(round(p_retailprice * 10) AS BIGINT) AS k0, 'n' || p_name || '|' || p_brand AS k1, 'k' || p_brand || '|' || p_type || '|' || p_size AS k2
+  FROM part
+)"""
+
+
+def _fold(name: str, rows: str, taken: str = "CAST([] AS VARCHAR[])") -> str:
+    """``name``: p_partkey and the outcome of ``rows`` (which names parts) in order, after the keys in ``taken``."""
+    return f"""
+{name}_list AS (
+  SELECT list({{'p': p_partkey, 'k0': k0, 'k1': k1, 'k2': k2}} ORDER BY id, p_partkey) AS l FROM {rows} WHERE broken IS NULL
+), {name}_end AS (
+  SELECT list_reduce(
+    list_concat([{{'taken': {taken}, 'out': CAST([] AS STRUCT(p BIGINT, r VARCHAR)[]), 'x': CAST(NULL AS STRUCT(p BIGINT, k0 VARCHAR, k1 VARCHAR, k2 VARCHAR))}}],
+      list_transform(l, lambda x: {{'taken': CAST([] AS VARCHAR[]), 'out': CAST([] AS STRUCT(p BIGINT, r VARCHAR)[]), 'x': x}})),
+    lambda a, b: {{
+      'taken': CASE WHEN list_has_any(a.taken, [b.x.k0, b.x.k1, b.x.k2]) THEN a.taken ELSE list_concat(a.taken, [b.x.k0, b.x.k1, b.x.k2]) END,
+      'out': list_append(a.out, {{'p': b.x.p, 'r': CASE WHEN list_contains(a.taken, b.x.k0) THEN 'duplicate_key'
+        WHEN list_contains(a.taken, b.x.k1) THEN 'duplicate_key:name' WHEN list_contains(a.taken, b.x.k2) THEN 'duplicate_key:kind' END}}),
+      'x': b.x }}) AS s FROM {name}_list
+), {name} AS (SELECT o.p AS p_partkey, o.r AS reason FROM (SELECT unnest(s.out) AS o FROM {name}_end))"""
+
+
 def _schema(table: str, layout: str, source: str) -> list[str]:
     columns = [c.split(" ") for c in layout.split(", ")]
     return [
@@ -279,6 +306,21 @@ ORACLES = {
         "l_extendedprice, l_discount, l_tax, l_linestatus, l_shipdate) = 1 THEN 'accepted' ELSE 'duplicate_key' END "
         "AS outcome FROM lineitem"
     ),
+    "full_load_joined_hot_keys": (
+        "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, COUNT(*) OVER (PARTITION BY l_returnflag) AS n_flag, "
+        "CASE WHEN ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) = 1 "
+        "THEN 'accepted' ELSE 'duplicate_key' END AS outcome FROM lineitem"
+    ),
+    "multi_unique_rejects": (
+        f"WITH {_PART_ROWS}, {_fold('done', 'parts')} SELECT id, p_partkey, coalesce(broken, reason) AS reason "
+        "FROM parts LEFT JOIN done USING (p_partkey) WHERE coalesce(broken, reason) IS NOT NULL"
+    ),
+    "sync_constraints": (
+        f"WITH {_PART_ROWS}, third AS (SELECT * FROM parts WHERE origin % 3 = 0), {_fold('held', 'third')}, "
+        f"{_fold('done', 'parts', '(SELECT s.taken FROM held_end)')} "
+        "SELECT id, p_partkey, p_name, p_brand, p_type, p_size, origin FROM parts WHERE p_partkey IN "
+        "(SELECT p_partkey FROM held WHERE reason IS NULL UNION ALL SELECT p_partkey FROM done WHERE reason IS NULL)"
+    ),
     "batch_metrics": (
         f"{ALLB} SELECT batch_no, COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE accepted) AS rows_inserted, "
         "COUNT(*) FILTER (WHERE NOT accepted) AS rows_rejected, MAX(o_orderkey) AS last_pk FROM incb GROUP BY batch_no"
@@ -374,6 +416,23 @@ ORACLES = {
         "CAST(MAX(o_orderkey) AS VARCHAR) AS value, 'bigint' AS value_type FROM incb"
     ),
     "sync_delta": f"{BASE} SELECT * FROM dst WHERE o_orderstatus <> 'F'",
+    "delete_bitmaps": (
+        f"{BASE} SELECT * FROM dst WHERE o_orderstatus <> 'F' UNION ALL "
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, 'back' AS o_orderpriority "
+        f"FROM dst WHERE o_orderkey <= {MID} AND o_orderstatus = 'F' AND o_custkey % 10 = 0"
+    ),
+    "manifest_pruned_load": (
+        f"{BASE} SELECT * FROM src s WHERE o_orderkey > {MID} "
+        "AND NOT EXISTS (SELECT 1 FROM dst d WHERE d.o_orderkey = s.o_orderkey)"
+    ),
+    "concurrent_commits": (
+        "WITH e AS (SELECT MIN(o_orderkey) AS low, MAX(o_orderkey) AS high FROM orders), "
+        "c AS (SELECT low + (high - low) // 3 AS a, low + (high - low) * 2 // 3 AS b FROM e) "
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+        "CASE WHEN o_orderkey <= b THEN o_orderpriority ELSE 'second' END AS o_orderpriority, "
+        "(SELECT COUNT(*) FROM orders, c WHERE o_orderkey > a AND o_orderkey <= b) AS n_refused "
+        "FROM orders, c WHERE NOT (o_orderstatus IN ('F', 'O') AND o_custkey % 4 = 0)"
+    ),
     "sync_sequence": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
     "stream_incremental": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_late_keys": f"SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_id > {MID_EVENT}",

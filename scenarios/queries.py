@@ -16,13 +16,14 @@ from rowferry.functions.keys import after, after_watermark
 from rowferry.functions.types import type_name, types_compatible
 from rowferry.operators import classify as C
 from rowferry.operators import compat, loads, paging, profile
+from rowferry.operators.constraints import classify_constrained
 from rowferry.plans import modes
 from rowferry.plans import state as S
 from rowferry.plans.sync import RunResult, SyncError, full_load, sync
 from rowferry.sources import template
 from rowferry.sources.jdbc import stripe_predicates
 from rowferry.sources.table import DestTable
-from rowferry.sources.workdir import work_path
+from rowferry.sources.workdir import work_path, write_through
 from rowferry.spec import DestSpec, JobSpec
 from rowferry.streaming.stream import stream_deletes, stream_inserts
 
@@ -403,6 +404,49 @@ def full_load_hot_keys(spark, sf):
     )
 
 
+def full_load_joined_hot_keys(spark, sf):
+    """As ``full_load_hot_keys``, of a query that ends in a join on the hot key: all its rows come from one task."""
+    line = table(spark, sf, "lineitem")
+    names = line.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_flag")).hint("merge")
+    joined = line.join(names, "l_returnflag").select(*LINE_KEY, "l_partkey", "l_suppkey", "l_returnflag", "n_flag")
+    outcome = C.classify(joined, dest_spec(joined, "l_returnflag"))
+    return outcome.select(
+        *LINE_KEY, "l_partkey", "l_suppkey", "l_returnflag", "n_flag", F.coalesce("_reason", F.lit("accepted")).alias("outcome")
+    )
+
+
+def part_rules(spark, sf) -> tuple[DataFrame, DestSpec]:
+    """Parts whose price names them, with two more unique keys, a check and a parent table."""
+    table(spark, sf, "nation").createOrReplaceTempView("origins")
+    rows = table(spark, sf, "part").select(
+        F.round(F.col("p_retailprice") * 10).cast("long").alias("id"), "p_partkey", "p_name", "p_brand", "p_type", "p_size",
+        (F.col("p_partkey") % 27).cast("int").alias("origin"),
+    )
+    spec = dest_spec(
+        rows, "id", unique={"name": ("p_name", "p_brand"), "kind": ("p_brand", "p_type", "p_size")},
+        checks={"size": "p_size <= 45"}, foreign_keys={"origin": (("origin",), "origins", ("n_nationkey",))},
+    )
+    return rows, spec
+
+
+def multi_unique_rejects(spark, sf):
+    """What a destination with three unique keys, a check and a foreign key refuses of a full load."""
+    rows, spec = part_rules(spark, sf)
+    return C.rejected(classify_constrained(rows, spec)).select("id", "p_partkey", F.col("_reason").alias("reason"))
+
+
+def sync_constraints(spark, sf):
+    """A run into such a destination, which holds the parts of every third origin already."""
+    rows, spec = part_rules(spark, sf)
+    rows.createOrReplaceTempView("priced_parts")
+    dest, store = workplace(spark, spec, "sync-constraints")
+    held = classify_constrained(rows.where(F.col("origin") % 3 == 0), spec)
+    dest.load(held.where("_reason is null").select(*rows.columns))
+    job = JobSpec("parts", "priced_parts", "parts", "id", source_keys=("id",))
+    completed(sync(spark, job, dest, store), "incremental")
+    return dest.read()
+
+
 def _batch_rows(spark, sf) -> DataFrame:
     s, d, _ = src_dst(spark, sf)
     outcome = C.classify(s, dest_spec(s, "o_orderkey"), d)
@@ -895,6 +939,57 @@ def full_load_resumed_text(spark, sf):
     return dest.read()
 
 
+# -- destinations of many commits ------------------------------------------------
+
+
+def delete_bitmaps(spark, sf):
+    """Two loads, two deletes that meet rows of both, a key that comes back, and a compaction of the worn buckets."""
+    s, d, mid = src_dst(spark, sf)
+    dest, _ = workplace(spark, dest_spec(d, "o_orderkey"), "bitmaps")
+    dest.load(d.where(F.col("o_orderkey") <= mid), "low")
+    flagged = s.where(F.col("is_deleted") == 1)
+    dest.delete(flagged.where(F.col("o_orderkey") <= mid).select("o_orderkey"), "first")
+    dest.load(d.where(F.col("o_orderkey") > mid), "high")
+    back = d.where((F.col("o_orderkey") <= mid) & (F.col("o_orderstatus") == "F") & (F.col("o_custkey") % 10 == 0))
+    dest.load(back.withColumn("o_orderpriority", F.lit("back")), "back")
+    dest.delete(flagged.where(F.col("o_orderkey") > mid).select("o_orderkey"), "second")
+    dest.compact("worn", min_deleted=0.3)
+    return dest.read()
+
+
+def manifest_pruned_load(spark, sf):
+    """The incremental load against a destination of several commits, of which only files that can hold an incoming key
+    are opened."""
+    s, d, mid = src_dst(spark, sf)
+    dest, _ = workplace(spark, dest_spec(d, "o_orderkey"), "pruned")
+    top = orders(spark, sf).agg(F.max("o_orderkey")).first()[0]
+    edges = [None, mid // 2, mid, (mid + top) // 2, None]
+    for low, high in zip(edges, edges[1:]):
+        part = d if low is None else d.where(F.col("o_orderkey") > low)
+        dest.load(part if high is None else part.where(F.col("o_orderkey") <= high), f"upto-{high}")
+    new = write_through(s.where(fresh(mid)), "pruned-source")
+    return C.accepted(new, "o_orderkey", dest.keys(after=F.col("high") > mid, matching=new.select("o_orderkey")))
+
+
+def concurrent_commits(spark, sf):
+    """Two writers load overlapping thirds at once; the second to commit finds the first's keys, and both deletes count."""
+    rows = orders(spark, sf)
+    low, high = rows.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    cut = [low + (high - low) * i // 3 for i in (1, 2)]
+    dest, _ = workplace(spark, dest_spec(rows, "o_orderkey"), "writers")
+    other = DestTable(spark, dest.path, dest.spec)
+    parts = (rows.where(F.col("o_orderkey") <= cut[1]), rows.where(F.col("o_orderkey") > cut[0]).withColumn("o_orderpriority", F.lit("second")))
+    base = dest.snapshot()
+    written = [writer.write(C.classify(part, dest.spec)) for writer, part in zip((dest, other), parts)]
+    done = [writer.commit(seq, run, base) for writer, seq, run in zip((dest, other), written, ("one", "two"))]
+    for writer, status in ((dest, "F"), (other, "O")):
+        writer.delete(rows.where((F.col("o_orderstatus") == status) & (F.col("o_custkey") % 4 == 0)).select("o_orderkey"), f"delete-{status}")
+    refused = dest.rejects().where("run_id = 'two'").count()
+    if [d.version for d in done] != [1, 2]:
+        raise SyncError(f"expected two commits in turn, got {done}")
+    return dest.read().withColumn("n_refused", F.lit(refused).cast("long"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -906,7 +1001,7 @@ QUERIES = {
         type_code_map, type_compat_matrix, schema_compat_report, schema_verdict, dest_pk_validation, pk_choice,
         column_mapping_insert, full_load_accepted, full_load_rejects, incremental_accepted,
         incremental_first_run, incremental_rejects, constraint_rejects, reject_table, classified_load,
-        full_load_hot_keys,
+        full_load_hot_keys, full_load_joined_hot_keys, multi_unique_rejects, sync_constraints,
         batch_metrics, load_progress, delta_apply, delta_effect,
         watermark_lookup, watermark_upsert, watermark_advance, checkpoint_lookup, checkpoint_upsert,
         checkpoint_complete, state_clear, state_clear_count, delete_log_merge, delete_log_pending,
@@ -916,5 +1011,6 @@ QUERIES = {
         sync_sequence, stream_incremental, stream_late_keys, stream_late_fill, stream_delete,
         sync_without_key, sync_schema_warnings, sync_text_key, sync_collated_key, sync_zone_watermark, sync_delta_bad_key,
         stream_new_checkpoint, stream_delete_new_checkpoint, offset_page_deep, full_load_resumed_text,
+        delete_bitmaps, manifest_pruned_load, concurrent_commits,
     )
 }

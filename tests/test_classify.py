@@ -115,6 +115,27 @@ def test_hot_key_is_split(spark):
         assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_key_is_split_behind_a_join_on_it(spark, monkeypatch):
+    """All rows of the hot key come out of one task of the query; runs of them are ranked apart."""
+    monkeypatch.setattr("rowferry.operators.classify.RUN_BITS", 6)
+    names = spark.createDataFrame([(7, "seven")], "id long, name string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = hot(spark).join(names.hint("merge"), "id", "left").select("id", "v")
+        most = df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most > 10_000
+        lost = classify(df, spec()).where("_reason is not null").groupBy(F.spark_partition_id()).count()
+        sizes = sorted(r["count"] for r in lost.collect())
+        assert sum(sizes) == 10_000 and len(sizes) >= 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    plain = classify(df, spec(), split=False)
+    assert classify(df, spec()).exceptAll(plain).isEmpty()
+
+
 @pytest.mark.parametrize("split", [True, False])
 def test_reason_of_a_held_key_holds_for_all_its_rows(spark, split):
     held = spark.createDataFrame([(7, "deleted"), (7, "duplicate_key"), (8, "duplicate_key")], "id long, _why string")
