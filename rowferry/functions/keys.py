@@ -17,6 +17,15 @@ DELETED = "deleted"
 KEY_COLLATIONS = ("UTF8_LCASE", "UTF8_BINARY_RTRIM", "UTF8_LCASE_RTRIM")
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads names, so that dots are part of it."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def column(name: str) -> Column:
+    return F.col(quoted(name))
+
+
 def as_keys(keys: str | Iterable[str]) -> tuple[str, ...]:
     return (keys,) if isinstance(keys, str) else tuple(keys)
 
@@ -33,8 +42,8 @@ def after(keys: str | Sequence[str], values: Sequence) -> Column:
     lits = [v if isinstance(v, Column) else F.lit(v) for v in values]
     arms = []
     for i, (k, v) in enumerate(zip(keys, lits)):
-        same = [F.col(p) == q for p, q in zip(keys[:i], lits[:i])]
-        arms.append(reduce(lambda a, b: a & b, [*same, F.col(k) > v]))
+        same = [column(p) == q for p, q in zip(keys[:i], lits[:i])]
+        arms.append(reduce(lambda a, b: a & b, [*same, column(k) > v]))
     return reduce(lambda a, b: a | b, arms)
 
 
@@ -59,20 +68,25 @@ def typed_key(df: DataFrame, key: str, dtype: T.DataType | None) -> Column:
     """
     if key not in df.columns:
         return F.lit(None).cast(dtype)
-    col = F.col(f"`{key}`")
+    col = column(key)
     return col if dtype is None or df.schema[key].dataType == dtype else col.try_cast(dtype)
 
 
-def after_watermark(key: str | Column, value: str | None, type_name: str | None) -> Column:
-    """The incremental predicate; without a watermark every row qualifies."""
+def after_watermark(key: str | Column, value: str | None, type_name: str | None, collation: str | None = None) -> Column:
+    """The incremental predicate; without a watermark every row qualifies.
+
+    Under a collation text is compared in the collation's order, in which equal
+    keys lie on one side of any watermark.
+    """
     if value is None:
         return F.lit(True)
-    return (F.col(key) if isinstance(key, str) else key) > typed_value(value, type_name)
+    col, mark = column(key) if isinstance(key, str) else key, typed_value(value, type_name)
+    return col > mark if type_name != "string" else folded(col, collation) > folded(mark, collation)
 
 
 def key_text(col: Column | str, dtype: T.DataType | None = None) -> Column:
     """A key value as the text kept in the state tables; see ``typed_value``."""
-    col = F.col(col) if isinstance(col, str) else col
+    col = column(col) if isinstance(col, str) else col
     if isinstance(dtype, T.TimestampType):
         col = F.unix_micros(col)
     elif isinstance(dtype, T.BinaryType):
@@ -86,8 +100,12 @@ def normal_form(name: str, dtype: T.DataType, collation: str | None) -> Column:
     Window partitioning does not honour collations, so a collated key is
     brought into a plain string that is equal exactly when the keys are.
     """
-    col = F.col(name)
-    if collation is None or not isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
+    return folded(column(name), collation if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)) else None)
+
+
+def folded(col: Column, collation: str | None) -> Column:
+    """Text as a plain string with the equality and order of a collation."""
+    if collation is None:
         return col
     if collation not in KEY_COLLATIONS:
         raise ValueError(f"unsupported key collation {collation}")
@@ -101,13 +119,13 @@ def normal_forms(df: DataFrame, keys: Sequence[str], collation: str | None) -> l
 
 
 def any_null(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return reduce(lambda a, b: a | b, [column(k).isNull() for k in keys])
 
 
 def _sortable(field: T.StructField) -> Column:
     if _orderable(field.dataType):
-        return F.col(field.name)
-    return F.to_json(F.struct(F.col(field.name)))
+        return column(field.name)
+    return F.to_json(F.struct(column(field.name)))
 
 
 def _orderable(dtype: T.DataType) -> bool:

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowferry.functions.keys import DUPLICATE_KEY, NULL_KEY, any_null, as_keys, normal_forms, total_order
+from rowferry.functions.keys import DUPLICATE_KEY, NULL_KEY, any_null, as_keys, column, normal_forms, quoted, total_order
 from rowferry.spec import DestSpec
 
 SOURCE, DEST = 1, 0
@@ -29,7 +29,7 @@ SOURCE_VALUE = "_source_"
 
 def converted(source: DataFrame, field: T.StructField) -> Column:
     """A source column as the field's type, NULL where a value does not fit. Lengths are not checked here."""
-    raw = F.col(f"`{field.name}`")
+    raw = column(field.name)
     kind = T.StringType() if isinstance(field.dataType, (T.VarcharType, T.CharType)) else field.dataType
     try:
         value = raw.try_cast(kind)
@@ -56,7 +56,7 @@ def conform(source: DataFrame, spec: DestSpec) -> DataFrame:
                 nulls.append((F.lit(True), f"not_null:{f.name}"))
             values[f.name] = value.alias(f.name)
             continue
-        raw = F.col(f"`{f.name}`")
+        raw = column(f.name)
         same = source.schema[f.name].dataType == f.dataType
         value = raw if same else converted(source, f)
         if not same:
@@ -79,7 +79,7 @@ def conform(source: DataFrame, spec: DestSpec) -> DataFrame:
     for failed, name in reversed(checks):
         reason = F.when(failed, F.lit(name)).otherwise(reason)
     checked = source.withColumn("_reason", reason)
-    text = F.when(F.col("_reason").isNotNull(), F.to_json(F.struct(*[F.col(f"`{c}`") for c in source.columns])))
+    text = F.when(F.col("_reason").isNotNull(), F.to_json(F.struct(*[column(c) for c in source.columns])))
     return checked.select(*values.values(), *raws, "_reason", text.alias("_row"))
 
 
@@ -99,11 +99,11 @@ def accepted(
     order = order or total_order(source, keys)
     first = (
         source.where(~any_null(keys))
-        .withColumn("_rn", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+        .withColumn("_rn", F.row_number().over(W.partitionBy(*map(column, keys)).orderBy(*order)))
         .where(F.col("_rn") == 1)
         .drop("_rn")
     )
-    return first if existing is None else first.join(existing.select(*keys), list(keys), "left_anti")
+    return first if existing is None else first.join(existing.select(*map(column, keys)), list(keys), "left_anti")
 
 
 def classify_conformed(
@@ -132,10 +132,10 @@ def classify_conformed(
     # Keys that are equal under a collation may still differ, so they order too.
     same = keys if spec.key_collation is None else ()
     names = spec.schema.names
-    order = list(order or total_order(rows.select(*[F.col(f"`{n}`") for n in names]), same))
-    forms = list(keys)
+    order = list(order or total_order(rows.select(*[column(n) for n in names]), same))
+    forms, by_forms = list(keys), [quoted(k) for k in keys]
     if spec.key_collation is not None:
-        forms = [f"_k{i}" for i in range(len(keys))]
+        forms = by_forms = [f"_k{i}" for i in range(len(keys))]
         rows = rows.withColumns(dict(zip(forms, normal_forms(rows, keys, spec.key_collation))))
     meet = rows.withColumns(
         {
@@ -146,7 +146,7 @@ def classify_conformed(
     )
     why = ["_why"] if existing is not None and "_why" in existing.columns else []
     if existing is not None:
-        held = existing.select(*[F.col(k).cast(spec.schema[k].dataType).alias(k) for k in keys], *why)
+        held = existing.select(*[column(k).cast(spec.schema[k].dataType).alias(k) for k in keys], *why)
         held = held.select(
             *[f.alias(n) for n, f in zip(forms, normal_forms(held, keys, spec.key_collation))],
             F.lit(DEST).alias("_origin"),
@@ -168,23 +168,23 @@ def classify_conformed(
         return df.where(F.col("_origin") == SOURCE).withColumn("_reason", reason)
 
     if not split:
-        result = settled(ranked(met(meet), *forms, "_salt", "_bad"))
+        result = settled(ranked(met(meet), *by_forms, "_salt", "_bad"))
     else:
         # A difference, since a limit on _rn itself would move into one branch and part their shuffles.
         # Asked for, since a query that ends in a shuffle by key would be taken as it is, its hot key in one task.
-        first = ranked(meet.repartition(*forms, "_salt", "_bad"), *forms, "_salt", "_bad")
+        first = ranked(meet.repartition(*by_forms, "_salt", "_bad"), *by_forms, "_salt", "_bad")
         behind = F.col("_rn") - F.when(~F.col("_bad"), F.lit(1)).otherwise(F.lit(0))
-        again = settled(ranked(met(first.where(behind == 0).drop("_rn")), *forms))
+        again = settled(ranked(met(first.where(behind == 0).drop("_rn")), *by_forms))
         rest = first.where(behind != 0)
         if why:
             # What a held key's rows are refused for holds for all of them, whichever round they lost in.
-            held_why = held.groupBy(*forms).agg(F.min("_why").alias("_why"))
+            held_why = held.groupBy(*by_forms).agg(F.min("_why").alias("_why"))
             rest = rest.join(held_why, list(forms), "left")
-        result = again.unionByName(settled(rest).select(*again.columns))
+        result = again.unionByName(settled(rest).select(*map(column, again.columns)))
     # Dead letters show what the source held, not what it was converted to.
-    shown = [F.col(f"`{SOURCE_VALUE + n}`").alias(n) if SOURCE_VALUE + n in rows.columns else F.col(f"`{n}`") for n in names]
+    shown = [column(SOURCE_VALUE + n).alias(n) if SOURCE_VALUE + n in rows.columns else column(n) for n in names]
     text = F.when(F.col("_reason").isNotNull(), F.coalesce(F.col("_row"), F.to_json(F.struct(*shown))))
-    return result.withColumn("_row", text).select(*names, "_reason", "_row")
+    return result.withColumn("_row", text).select(*map(column, names), "_reason", "_row")
 
 
 def classify(

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import DELETED, DUPLICATE_KEY, any_null, key_text, normal_forms
+from rowferry.functions.keys import DELETED, DUPLICATE_KEY, any_null, column, key_text, normal_forms
 from rowferry.operators.classify import SOURCE_VALUE, conform
 from rowferry.operators.paging import number_rows
 from rowferry.sources.workdir import rows_of, write_through
@@ -58,11 +58,11 @@ def broken_rules(rows: DataFrame, spec: DestSpec) -> DataFrame:
     rows = rows.withColumn("_reason", reason)
     for i, (name, (own, parent, parts)) in enumerate(spec.foreign_keys.items()):
         names = [f"_f{i}_{j}" for j in range(len(own))]
-        known = rows.sparkSession.table(parent).select(*[F.col(f"`{p}`").alias(n) for p, n in zip(parts, names)]).na.drop().distinct()
-        same = [F.col(f"`{c}`") == F.col(n) for c, n in zip(own, names)]
+        known = rows.sparkSession.table(parent).select(*[column(p).alias(n) for p, n in zip(parts, names)]).na.drop().distinct()
+        same = [column(c) == F.col(n) for c, n in zip(own, names)]
         met = rows.join(known, same, "left")
         missing = F.col("_reason").isNull() & ~any_null(own) & F.col(names[0]).isNull()
-        rows = met.withColumn("_reason", F.when(missing, F.lit(FOREIGN_KEY % name)).otherwise(F.col("_reason"))).select(*[F.col(f"`{c}`") for c in columns])
+        rows = met.withColumn("_reason", F.when(missing, F.lit(FOREIGN_KEY % name)).otherwise(F.col("_reason"))).select(*[column(c) for c in columns])
     return rows
 
 
@@ -121,13 +121,13 @@ def classify_constrained(
     names = spec.schema.names
     rows = broken_rules(conform(source, spec), spec)
     if deleted is not None:
-        held = deleted.select(*[F.col(f"`{k}`").cast(spec.schema[k].dataType).alias(k) for k in spec.primary_key])
+        held = deleted.select(*[column(k).cast(spec.schema[k].dataType).alias(k) for k in spec.primary_key])
         forms = [f"_k{i}" for i in range(len(spec.primary_key))]
         columns = rows.columns
         held = held.select(*[f.alias(n) for n, f in zip(forms, normal_forms(held, spec.primary_key, spec.key_collation))]).distinct()
         rows = rows.withColumns(dict(zip(forms, normal_forms(rows, spec.primary_key, spec.key_collation))))
         rows = rows.join(held.withColumn("_gone", F.lit(DELETED)), forms, "left")
-        rows = rows.withColumn("_reason", F.coalesce("_reason", "_gone")).select(*[F.col(f"`{c}`") for c in columns])
+        rows = rows.withColumn("_reason", F.coalesce("_reason", "_gone")).select(*[column(c) for c in columns])
     # Numbers are written out with the rows: every round below reads the same ones.
     numbered = number_rows(rows, spec.primary_key)
     entries = numbered.where(F.col("_reason").isNull()).select("row_no", key_entries(numbered, spec).alias("keys"))
@@ -136,7 +136,7 @@ def classify_constrained(
     edges = write_through(edges, "unique-keys")
     open_, occupied = edges, None
     if existing is not None:
-        existing = existing.select(*key_columns(spec))
+        existing = existing.select(*map(column, key_columns(spec)))
         occupied = existing.select(F.explode(key_entries(existing, spec)).alias("e")).select(F.concat_ws(":", "e.which", "e.key").alias("key")).distinct()
         refused = edges.join(occupied, "key", "left_semi").select("row_no").distinct()
         open_ = write_through(edges.join(refused, "row_no", "left_anti"), "unique-open")
@@ -148,7 +148,7 @@ def classify_constrained(
     reasons = F.array(*[F.lit(reason) for reason, _ in unique_keys(spec)])
     lost = lost.select("row_no", F.get(reasons, F.col("which")).alias("_lost"))
     result = numbered.join(lost, "row_no", "left").withColumn("_reason", F.coalesce("_reason", "_lost"))
-    shown = [F.col(f"`{SOURCE_VALUE + n}`").alias(n) if SOURCE_VALUE + n in numbered.columns else F.col(f"`{n}`") for n in names]
+    shown = [column(SOURCE_VALUE + n).alias(n) if SOURCE_VALUE + n in numbered.columns else column(n) for n in names]
     text = F.when(F.col("_reason").isNotNull(), F.coalesce(F.col("_row"), F.to_json(F.struct(*shown))))
-    return result.withColumn("_row", text).select(*[F.col(f"`{n}`") for n in names], "_reason", "_row")
+    return result.withColumn("_row", text).select(*[column(n) for n in names], "_reason", "_row")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import as_keys
+from rowferry.functions.keys import as_keys, column
 from rowferry.operators.paging import with_batches
 from rowferry.operators.profile import deleted_keys
 from rowferry.spec import DestSpec
@@ -16,7 +16,7 @@ from rowferry.spec import DestSpec
 def map_columns(source: DataFrame, spec: DestSpec) -> DataFrame:
     """Source columns by name; columns only the destination has get defaults."""
     columns = [
-        F.col(f"`{f.name}`") if f.name in source.columns else F.lit(spec.defaults.get(f.name))
+        column(f.name) if f.name in source.columns else F.lit(spec.defaults.get(f.name))
         for f in spec.schema.fields
     ]
     return source.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(columns, spec.schema.fields)])
@@ -34,10 +34,10 @@ def delta_effect(
     """Deletes attempted, rows they remove, and delete batches."""
     keys = list(as_keys(keys))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    asked = deleted_keys(source, keys, flag).select(*keys, one.alias("asked"), zero.alias("held"))
-    held = dest.select(*keys, zero.alias("asked"), one.alias("held"))
+    asked = deleted_keys(source, keys, flag).select(*map(column, keys), one.alias("asked"), zero.alias("held"))
+    held = dest.select(*map(column, keys), zero.alias("asked"), one.alias("held"))
     # Both sides meet in one aggregation, folded per task before its shuffle.
-    per_key = asked.unionByName(held).groupBy(*keys).agg(F.sum("asked").alias("asked"), F.sum("held").alias("held"))
+    per_key = asked.unionByName(held).groupBy(*map(column, keys)).agg(F.sum("asked").alias("asked"), F.sum("held").alias("held"))
     attempted = F.coalesce(F.sum("asked"), F.lit(0))
     return per_key.agg(
         attempted.alias("rows_attempted"),
@@ -52,9 +52,9 @@ def batch_metrics(rows: DataFrame, keys: str | Sequence[str], accepted: str, siz
     ``rows`` has the key and a boolean column naming the accepted ones.
     """
     keys = as_keys(keys)
-    last = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
+    last = column(keys[0]) if len(keys) == 1 else F.struct(*map(column, keys))
     return (
-        with_batches(rows.select(*keys, accepted), keys, size, done)
+        with_batches(rows.select(*map(column, keys), accepted), keys, size, done)
         .groupBy("batch_no")
         .agg(
             F.count(F.lit(1)).alias("rows_processed"),

@@ -13,18 +13,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import after, as_keys, total_order
+from rowferry.functions.keys import after, any_null, as_keys, column, folded, normal_forms, total_order
 from rowferry.sources.workdir import write_through
 
 
-def keyset_page(df: DataFrame, keys: str | Sequence[str], cursor: Sequence | None, size: int) -> DataFrame:
-    """The next ``size`` rows after the cursor in key order, ties by the other columns."""
-    keys = as_keys(keys)
-    rows = df if cursor is None else df.where(after(keys, cursor))
-    return rows.orderBy(*[F.col(k).asc_nulls_first() for k in keys], *total_order(df, keys)).limit(size)
-
+def keyset_page(
+    df: DataFrame, keys: str | Sequence[str], cursor: Sequence | None, size: int, collation: str | None = None
+) -> DataFrame:
+    """The next ``size`` rows after the cursor in key order, ties by the other columns.
 
-def number_rows(df: DataFrame, keys: str | Sequence[str] = ()) -> DataFrame:
+    Under a collation keys are paged in its order: those that are equal in it
+    lie together, and none of them follows a cursor that is one of them.
+    """
+    keys = as_keys(keys)
+    order = normal_forms(df, keys, collation)
+    if cursor is None:
+        rows = df
+    elif collation is None:
+        rows = df.where(after(keys, cursor))
+    else:
+        names = [f"_k{i}" for i in range(len(keys))]
+        marks = [folded(F.lit(v), collation) if isinstance(v, str) else F.lit(v) for v in cursor]
+        rows = df.withColumns(dict(zip(names, order))).where(after(names, marks)).drop(*names)
+    ties = [] if collation is None else [column(k) for k in keys]
+    return rows.orderBy(*[c.asc_nulls_first() for c in (*order, *ties)], *total_order(df, keys)).limit(size)
+
+
+def number_rows(df: DataFrame, keys: str | Sequence[str] = (), collation: str | None = None) -> DataFrame:
     """Adds ``row_no``, the position (from 1) of each row in key order.
 
     Ties are ordered by the remaining columns. The reading task comes last in
@@ -33,7 +48,8 @@ def number_rows(df: DataFrame, keys: str | Sequence[str] = ()) -> DataFrame:
     stem from the same partitioning.
     """
     keys = as_keys(keys)
-    order = [F.col(k).asc_nulls_first() for k in keys] + total_order(df, keys)
+    order = [c.asc_nulls_first() for c in normal_forms(df, keys, collation)]
+    order += total_order(df, keys if collation is None else ())
     order.append(F.col("_task").asc())
     placed = (
         df.withColumn("_task", F.spark_partition_id())
@@ -62,26 +78,31 @@ def number_rows(df: DataFrame, keys: str | Sequence[str] = ()) -> DataFrame:
     )
 
 
-def with_batches(df: DataFrame, keys: str | Sequence[str], size: int, done: int = 0) -> DataFrame:
+def with_batches(df: DataFrame, keys: str | Sequence[str], size: int, done: int = 0, collation: str | None = None) -> DataFrame:
     """Adds ``row_no`` and ``batch_no``; batches are numbered on from ``done``."""
     if size < 1:
         raise ValueError("batch size must be at least 1")
     batch = F.expr(f"(row_no - 1) div {int(size)}") + F.lit(int(done) + 1)
-    return number_rows(df, keys).withColumn("batch_no", batch.cast("long"))
+    return number_rows(df, keys, collation).withColumn("batch_no", batch.cast("long"))
 
 
-def batch_manifest(df: DataFrame, keys: str | Sequence[str], size: int, done: int = 0) -> DataFrame:
+def batch_manifest(
+    df: DataFrame, keys: str | Sequence[str], size: int, done: int = 0, collation: str | None = None
+) -> DataFrame:
     """Number, first and last key and row count of every batch.
 
     Only key columns are shuffled. With one key column the ends are plain
     values, with several they are structs.
     """
     keys = as_keys(keys)
-    batches = with_batches(df.select(*keys), keys, size, done)
-    key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
-    return batches.groupBy("batch_no").agg(
-        F.min(key).alias("first_pk"), F.max(key).alias("last_pk"), F.count(F.lit(1)).alias("n_rows")
-    )
+    batches = with_batches(df.select(*map(column, keys)), keys, size, done, collation)
+    key = column(keys[0]) if len(keys) == 1 else F.struct(*map(column, keys))
+    ends = F.min(key), F.max(key)
+    if collation is not None:
+        # Ties in the collation's order are in binary order.
+        at = F.when(~any_null(keys), F.struct(*normal_forms(batches, keys, collation), key))
+        ends = F.min_by(key, at), F.max_by(key, at)
+    return batches.groupBy("batch_no").agg(ends[0].alias("first_pk"), ends[1].alias("last_pk"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def keyset_resume(
@@ -111,6 +132,6 @@ def key_cuts(df: DataFrame, key: str, ranges: int) -> list:
     """
     if ranges < 2:
         return []
-    keys = df.select(F.col(f"`{key}`").alias("k")).where(F.col("k").isNotNull())
+    keys = df.select(column(key).alias("k")).where(F.col("k").isNotNull())
     parts = keys.repartitionByRange(ranges, "k").groupBy(F.spark_partition_id()).agg(F.max("k").alias("k")).collect()
     return sorted({r["k"] for r in parts})[:-1]

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import any_null, as_keys
+from rowferry.functions.keys import any_null, as_keys, column
 from rowferry.sources.template import query_schema
 
 
@@ -22,7 +22,7 @@ def row_count(df: DataFrame, name: str) -> DataFrame:
 
 def is_flagged(flag: str) -> Column:
     """A row is deleted when its flag equals 1; a NULL flag keeps it."""
-    return F.col(flag) == 1
+    return column(flag) == 1
 
 
 def deleted_count(df: DataFrame, flag: str) -> DataFrame:
@@ -30,7 +30,7 @@ def deleted_count(df: DataFrame, flag: str) -> DataFrame:
 
 
 def deleted_keys(df: DataFrame, keys: str | Sequence[str], flag: str) -> DataFrame:
-    return df.where(is_flagged(flag)).select(*as_keys(keys))
+    return df.where(is_flagged(flag)).select(*map(column, as_keys(keys)))
 
 
 def key_profile(df: DataFrame, keys: str | Sequence[str], name: str) -> DataFrame:
@@ -40,10 +40,10 @@ def key_profile(df: DataFrame, keys: str | Sequence[str], name: str) -> DataFram
     folded per task before the shuffle.
     """
     keys = as_keys(keys)
-    key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
+    key = column(keys[0]) if len(keys) == 1 else F.struct(*map(column, keys))
     nulls = any_null(keys)
     return (
-        df.groupBy(*keys)
+        df.groupBy(*map(column, keys))
         .agg(F.count(F.lit(1)).alias("n"))
         .agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),

@@ -14,8 +14,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import key_text
+from rowferry.functions.keys import column, key_text, normal_forms
 from rowferry.operators.profile import stack
+from rowferry.operators.sketches import SKETCH, merge_sketches, quantile_kind
 from rowferry.sources.table import next_seq
 from rowferry.sources.workdir import empty, fold_files, rows_of, struct_type
 
@@ -41,6 +42,7 @@ BATCHES = (
     "job string, run_id string, batch_no long, rows_processed long, rows_inserted long, "
     "rows_rejected long, last_pk string, rows_done long, pct double, seq long"
 )
+SKETCHES = f"job string, source_table string, dest_table string, run_id string, {SKETCH}, seq long"
 SCHEMA_ISSUES = "job string, run_id string, column_name string, level string, issue string, seq long"
 KEYS = {"watermarks": WATERMARK_KEY, "checkpoints": CHECKPOINT_KEY, "deletes": DELETE_KEY}
 TABLES = {
@@ -50,6 +52,7 @@ TABLES = {
     "runs": RUNS,
     "batches": BATCHES,
     "schema_issues": SCHEMA_ISSUES,
+    "sketches": SKETCHES,
 }
 
 
@@ -75,12 +78,19 @@ def watermark_lookup(history: DataFrame) -> DataFrame:
     return latest(history, WATERMARK_KEY)
 
 
-def watermark_advance(processed: DataFrame, key: str) -> DataFrame:
+def highest(rows: DataFrame, key: str, collation: str | None = None) -> Column:
+    """The greatest key, as an aggregate; in the collation's order, then in binary order."""
+    if collation is None:
+        return F.max(column(key))
+    return F.max_by(column(key), F.struct(*normal_forms(rows, [key], collation), column(key)))
+
+
+def watermark_advance(processed: DataFrame, key: str, collation: str | None = None) -> DataFrame:
     """The key to continue after: the highest one processed, rejects included.
 
     Without rows the value is NULL and the old watermark stays.
     """
-    return processed.agg(key_text(F.max(key), processed.schema[key].dataType).alias("new_value"))
+    return processed.agg(key_text(highest(processed, key, collation), processed.schema[key].dataType).alias("new_value"))
 
 
 def checkpoint_lookup(history: DataFrame) -> DataFrame:
@@ -184,6 +194,15 @@ class StateStore:
     def checkpoint(self, job, mode: str = "full"):
         return checkpoint_lookup(self.of_job("checkpoints", job).where(F.col("mode") == mode)).first()
 
+    def key_sketch(self, job, pk: str):
+        """The sketches of all of the job's runs as one; None before the first."""
+        mine = self.of_job("sketches", job).where(F.col("pk") == pk)
+        kind = mine.agg(F.max_by("pk_type", "seq")).first()[0]
+        if kind is None:
+            return None
+        dtype = struct_type(f"k {kind}")["k"].dataType
+        return merge_sketches(mine.where(F.col("pk_type") == kind), quantile_kind(dtype)).first()
+
     def delete_log(self, job) -> DataFrame:
         return latest(self.of_job("deletes", job), DELETE_KEY)
 

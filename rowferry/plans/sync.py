@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import DELETED, DUPLICATE_KEY, after_watermark, key_text, typed_key
+from rowferry.functions.keys import DELETED, DUPLICATE_KEY, after_watermark, column, key_text, typed_key
 from rowferry.functions.types import spark_type_name
 from rowferry.operators.classify import classify
 from rowferry.operators.constraints import classify_constrained, has_constraints, key_columns
@@ -23,6 +23,7 @@ from rowferry.operators.compat import ERROR, dest_pk_report, schema_report
 from rowferry.operators.loads import batch_metrics, load_progress
 from rowferry.operators.paging import key_cuts
 from rowferry.operators.profile import deleted_keys
+from rowferry.operators.sketches import key_sketch, sketch_cuts
 from rowferry.plans import state as S
 from rowferry.plans.modes import FORCED, INVALID_MODE, MODES, mode_columns
 from rowferry.sources.table import ConflictError, DestTable
@@ -181,6 +182,7 @@ def _load(
     dest: DestTable,
     result: RunResult,
     key: str,
+    store: S.StateStore,
     deleted: DataFrame | None = None,
 ) -> tuple[DataFrame, str | None]:
     """Classify, write and commit; counters are read back from the files, as
@@ -194,7 +196,7 @@ def _load(
         try:
             if has_constraints(dest.spec):
                 # Any visible row may hold one of the unique keys, wherever the load begins.
-                outcome = classify_constrained(source, dest.spec, dest.read().select(*key_columns(dest.spec)), deleted)
+                outcome = classify_constrained(source, dest.spec, dest.read().select(*map(column, key_columns(dest.spec))), deleted)
             else:
                 outcome = classify(source, dest.spec, existing(), split=job.split_hot_keys)
             done = dest.insert(outcome, result.run_id, base)
@@ -206,9 +208,16 @@ def _load(
     result.rows_inserted += done.accepted
     result.rows_rejected += done.rejected
     rows = dest.run_rows(done, key)
+    if job.key_sketches and done.accepted + done.rejected:
+        _save_sketch(job, store, key_sketch(rows, key), result.run_id)
     if not done.accepted + done.rejected:
         return rows, None
-    return rows, rows.agg(key_text(F.max(key), rows.schema[key].dataType).alias("last")).first()["last"]
+    return rows, S.watermark_advance(rows, key, dest.spec.key_collation).first()["new_value"]
+
+
+def _save_sketch(job: JobSpec, store: S.StateStore, sketch: DataFrame, run_id: str) -> None:
+    where = {"job": job.name, "source_table": job.source_table, "dest_table": job.dest_table, "run_id": run_id, "seq": store.seq("sketches")}
+    store.append("sketches", sketch.withColumns({n: F.lit(v) for n, v in where.items()}))
 
 
 def _save_batches(
@@ -267,7 +276,9 @@ def full_load(
         result.rows_processed, result.rows_inserted = point["rows_processed"], point["rows_inserted"]
         source = source.where(after_watermark(key, *done))
     # Without the key every row is a reject, which one range finds out.
-    cuts = key_cuts(source.select(key.alias(pk)), pk, ranges) if pk in source.columns else []
+    cuts = sketch_cuts(store.key_sketch(job, pk), ranges) if job.key_sketches and ranges > 1 else []
+    if not cuts and pk in source.columns:
+        cuts = key_cuts(source.select(key.alias(pk)), pk, ranges)
     # With one range the rows processed are the total.
     total = result.rows_processed + source.count() if cuts and job.batch_history else None
     bounds = list(zip([None, *cuts], [*cuts, None]))
@@ -279,15 +290,18 @@ def full_load(
             above = F.lit(True) if lo is None else col > F.lit(lo)
             return above if hi is None else above & (col <= F.lit(hi))
 
-        def existing(low=lo, wanted=within(F.col(f"`{pk}`"))):
+        def existing(low=lo, wanted=within(column(pk))):
             if fresh:
                 return None
+            if dest.spec.key_collation is not None:
+                # Ranges are cut in binary order, so equal keys may lie on either side of a cut.
+                return dest.keys()
             return held_keys(dest, wanted, None if low is None else F.col("high") > F.lit(low))
 
         # NULL keys, and those that do not fit the type, go with the first range.
         part = source.where(within(key) | key.isNull() if lo is None else within(key))
         before = result.rows_processed
-        rows, last = _load(job, part, existing, dest, result, pk)
+        rows, last = _load(job, part, existing, dest, result, pk, store)
         if job.batch_history:
             _save_batches(job, store, rows, dest, result, total or result.rows_processed, before, batches)
         batches += -(-(result.rows_processed - before) // job.batch_size)
@@ -313,8 +327,8 @@ def full_load(
 
 def held_keys(dest: DestTable, fresh: Column, files: Column | None = None) -> DataFrame:
     """The destination's keys that loaded ones may meet: those in the loaded range, from the files whose upper bound
-    ``files`` lets through. Under a collation all of them, as keys on either side of a bound can be equal."""
-    return dest.keys() if dest.spec.key_collation else dest.keys(after=files).where(fresh)
+    ``files`` lets through. Both are conditions in the order of the destination's collation."""
+    return dest.keys(after=files).where(fresh)
 
 
 def save_watermark(job: JobSpec, store: S.StateStore, pk: str, value: str, kind: str) -> None:
@@ -349,20 +363,22 @@ def incremental_load(
     value, kind = store.watermark(job, pk) or (None, None)
     # The key that is paged by need not be the destination's key.
     dtype = dest.spec.schema[pk].dataType if pk in dest.spec.schema.names else source.schema[pk].dataType
-    fresh = after_watermark(typed_key(source, pk, dtype), value, kind)
+    collation = dest.spec.key_collation if pk in dest.spec.primary_key else None
+    fresh = after_watermark(typed_key(source, pk, dtype), value, kind, collation)
     first = pk == dest.spec.primary_key[0] and value is not None
 
     def existing():
         if pk not in dest.spec.primary_key:
             held = dest.keys()
         else:
-            held = held_keys(dest, after_watermark(pk, value, kind), after_watermark("high", value, kind) if first else None)
+            files = after_watermark("high", value, kind, collation) if first else None
+            held = held_keys(dest, after_watermark(pk, value, kind, collation), files)
         if flagged is None:
             return held
         gone = flagged.distinct().withColumn("_why", F.lit(DELETED))
         return held.withColumn("_why", F.lit(DUPLICATE_KEY)).unionByName(gone)
 
-    rows, last = _load(job, source.where(fresh), existing, dest, result, pk, flagged)
+    rows, last = _load(job, source.where(fresh), existing, dest, result, pk, store, flagged)
     if job.batch_history:
         _save_batches(job, store, rows, dest, result, result.rows_processed)
     if last is not None:
@@ -400,7 +416,7 @@ def apply_deletes(
     new = ids.select("record_id").distinct().join(store.delete_log(job), "record_id", "left_anti")
     store.append("deletes", entries(new, 0))
     if not dest.has_run(f"{result.run_id}-delete"):
-        result.rows_removed += dest.delete(ids.select(*pk), f"{result.run_id}-delete")
+        result.rows_removed += dest.delete(ids.select(*map(column, pk)), f"{result.run_id}-delete")
     pending = S.delete_log_pending(store.delete_log(job))
     done = pending.join(ids.select("record_id").distinct(), "record_id", "left_semi")
     store.append("deletes", entries(done, 1))

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowferry.functions.keys import column
+
 from rowferry.sources.template import render
 
 
@@ -114,5 +116,5 @@ def existing_keys(
 ) -> DataFrame:
     """The keys a destination table holds, for the conflict check."""
     return read_query(spark, url, f"SELECT {', '.join(keys)} FROM {table}", options).select(
-        *[F.col(k) for k in keys]
+        *[column(k) for k in keys]
     )

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowferry.functions.keys import DUPLICATE_KEY, bucket, normal_forms
+from rowferry.functions.keys import DUPLICATE_KEY, any_null, bucket, column, normal_forms
 from rowferry.sources.log import Snapshot, SnapshotLog
 from rowferry.sources.workdir import empty, file_system, write_through
 from rowferry.spec import DestSpec
@@ -88,13 +88,13 @@ class DestTable:
         """The visible keys.
 
         ``after`` is a condition on the first key's upper bound in a file, named
-        ``high``; files for which it does not hold are left out. ``matching``
+        ``high`` and folded by the collation; files for which it does not hold are left out. ``matching``
         holds keys: only files that can have one of them are opened. Either may
         leave keys in that were not asked for, but never the other way round.
         """
         now = self.snapshot()
         wanted = None
-        if after is not None and self.spec.key_collation is None:
+        if after is not None:
             wanted = self.manifest(now).where(after).select(*_PLACE)
         if matching is not None:
             held = self.candidates(matching, now)
@@ -117,12 +117,12 @@ class DestTable:
         """Keys and outcome of everything one run processed."""
         wanted = dict.fromkeys([*self.spec.primary_key, *columns, "_reason"])
         if not done.folders:
-            return self._no_rows(*self.spec.schema.names).withColumn("_reason", F.lit(None).cast("string")).select(*wanted)
+            return self._no_rows(*self.spec.schema.names).withColumn("_reason", F.lit(None).cast("string")).select(*map(column, wanted))
         rows = self._scan(done.folders)
         if len(done.folders) > 1:
             # Rows that lost to another writer's are masked, and shown by their rejects.
             rows = self._unmarked(rows, (done.folders[1],), done.masks)
-        return rows.select(*wanted)
+        return rows.select(*map(column, wanted))
 
     def manifest(self, now: Snapshot) -> DataFrame:
         """The visible files, each in up to ``spec.filter_chunks`` parts of its keys: place, rows, bounds, filters."""
@@ -139,7 +139,8 @@ class DestTable:
 
     def candidates(self, keys: DataFrame, now: Snapshot | None = None) -> DataFrame:
         """The files that can hold one of these keys, by their bounds and filters."""
-        typed = keys.select(*[F.col(f"`{k}`").try_cast(self.spec.schema[k].dataType).alias(k) for k in self.spec.primary_key]).na.drop()
+        typed = keys.select(*[column(k).try_cast(self.spec.schema[k].dataType).alias(k) for k in self.spec.primary_key])
+        typed = typed.where(~any_null(self.spec.primary_key))
         asked = self._with_probe(self._with_forms(typed, self.spec.primary_key)).withColumn("_bucket", self.bucket_of(typed))
         asked = asked.select("_bucket", "_k0", "chunk", "p0", "p1").distinct()
         files = self.manifest(now or self.snapshot())
@@ -179,7 +180,7 @@ class DestTable:
         return live
 
     def _visible(self, now: Snapshot, *columns: str, files: DataFrame | None = None) -> DataFrame:
-        return self._placed(now, *columns, files=files).select(*columns)
+        return self._placed(now, *columns, files=files).select(*map(column, columns))
 
     def _placed(self, now: Snapshot, *columns: str, files: DataFrame | None = None) -> DataFrame:
         """Visible rows with their places."""
@@ -188,7 +189,7 @@ class DestTable:
             places = {"_seq": "long", "_bucket": "int", "_file": "string", "_at": "long"}
             return self._no_rows(*columns).withColumns({n: F.lit(None).cast(t) for n, t in places.items()})
         rows = rows.where((F.col("_bucket") >= 0) & self._alive(now, "_seq", "_bucket"))
-        return self._unmarked(rows, now.marks, now.n_marks).select(*columns, *_PLACE, "_at")
+        return self._unmarked(rows, now.marks, now.n_marks).select(*map(column, columns), *_PLACE, "_at")
 
     def _marks(self, folders: Sequence[int]) -> DataFrame:
         """Bitmaps by file and part of it."""
@@ -208,7 +209,7 @@ class DestTable:
         same = (F.col("_seq") == F.col("m_seq")) & (F.col("_bucket") == F.col("m_bucket")) & (F.col("_file") == F.col("m_file"))
         met = rows.join(marks, same & (F.expr(f"_at div {BITS}") == F.col("m_chunk")), "left")
         gone = bit(F.col("m_bits"), (F.col("_at") % BITS).cast("int"))
-        return met.where(F.col("m_bits").isNull() | ~gone).select(*rows.columns)
+        return met.where(F.col("m_bits").isNull() | ~gone).select(*map(column, rows.columns))
 
     # -- writing ---------------------------------------------------------
 
@@ -225,7 +226,7 @@ class DestTable:
         seq = new_folder()
         target = F.when(F.col("_reason").isNull(), self.bucket_of(classified)).otherwise(REJECT_BUCKET)
         (
-            classified.select(*[F.col(f"`{c}`") for c in self.spec.schema.names], "_reason", "_row", target.alias("bucket"))
+            classified.select(*[column(c) for c in self.spec.schema.names], "_reason", "_row", target.alias("bucket"))
             .hint("rebalance", "bucket")
             .write.partitionBy("bucket")
             .parquet(f"{self.path}/rows/seq={seq}")
@@ -238,7 +239,7 @@ class DestTable:
         fs, where = file_system(self.spark, f"{self.path}/rows/seq={seq}")
         if not any(s.isDirectory() for s in fs.listStatus(where)):
             return
-        keys = self._with_probe(self._with_forms(self._scan([seq]).select(*self.spec.primary_key, "_bucket", "_file"), self.spec.primary_key))
+        keys = self._with_probe(self._with_forms(self._scan([seq]).select(*map(column, self.spec.primary_key), "_bucket", "_file"), self.spec.primary_key))
         keys.groupBy(F.col("_bucket").alias("bucket"), "_file", "chunk").agg(
             F.count("*").alias("n"), F.min("_k0").alias("low"), F.max("_k0").alias("high"),
             F.expr("bitmap_construct_agg(p0)").alias("b0"), F.expr("bitmap_construct_agg(p1)").alias("b1"),
@@ -329,8 +330,8 @@ class DestTable:
         folder = new_folder()
         n = self._write_marks(hits, folder)
         names = self.spec.schema.names
-        refused = hits.select(*[F.col(f"`{c}`") for c in names], F.lit(DUPLICATE_KEY).alias("_reason"),
-                              F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])).alias("_row"), F.lit(REJECT_BUCKET).alias("bucket"))
+        refused = hits.select(*[column(c) for c in names], F.lit(DUPLICATE_KEY).alias("_reason"),
+                              F.to_json(F.struct(*[column(c) for c in names])).alias("_row"), F.lit(REJECT_BUCKET).alias("bucket"))
         refused.write.partitionBy("bucket").parquet(f"{self.path}/rows/seq={folder}")
         return folder, n
 
@@ -369,7 +370,8 @@ class DestTable:
         """
         on = keys.columns
         # A key that is no value of the column's type is in no row.
-        typed = keys.select(*[F.col(f"`{k}`").try_cast(self.spec.schema[k].dataType).alias(k) for k in on]).na.drop()
+        typed = keys.select(*[column(k).try_cast(self.spec.schema[k].dataType).alias(k) for k in on])
+        typed = typed.where(~any_null(on))
         names = [f"_k{i}" for i in range(len(on))]
         gone = self._with_forms(typed, on).select(*names).distinct()
         for _ in range(ATTEMPTS):

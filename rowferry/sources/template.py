@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowferry.functions.keys import column
+
 PLACEHOLDER = "{{table}}"
 
 
@@ -52,7 +54,7 @@ def query_schema(df: DataFrame) -> DataFrame:
     over the rows, because the declared nullability of file sources is always
     'yes'.
     """
-    counts = [F.count(F.col(f"`{n}`")).alias(f"c{i}") for i, n in enumerate(df.columns)]
+    counts = [F.count(column(n)).alias(f"c{i}") for i, n in enumerate(df.columns)]
     # One aggregate row; the explode below has as many rows as the query has columns.
     totals = df.agg(F.count(F.lit(1)).alias("n"), *counts)
     entries = [

@@ -80,6 +80,8 @@ class JobSpec:
     deletes: str = "all"
     combined: bool = False
     batch_history: bool = False
+    #: Keep a sketch of each run's keys, by which later loads are cut into ranges without reading the source for it.
+    key_sketches: bool = False
     split_hot_keys: bool = True
 
     def __post_init__(self):

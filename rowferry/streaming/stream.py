@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rowferry.functions.keys import after_watermark, typed_key, typed_value
+from rowferry.functions.keys import after_watermark, column, typed_key, typed_value
 from rowferry.operators.classify import classify
 from rowferry.operators.constraints import classify_constrained, has_constraints, key_columns
 from rowferry.operators.profile import is_flagged
@@ -49,20 +49,21 @@ def insert_batch(job: JobSpec, dest: DestTable, store: S.StateStore, late: str):
             key = typed_key(batch, pk, dest.spec.schema[pk].dataType)
             mark_of = mark or (None, None)
             # A stream shows a row once, so rows without a key must reach the rejects now.
-            rows = batch if late == "fill" else batch.where(after_watermark(key, *mark_of) | key.isNull())
-            files = None if mark is None else after_watermark("high", *mark_of)
-            held = dest.keys() if late == "fill" else held_keys(dest, after_watermark(pk, *mark_of), files)
+            collation = dest.spec.key_collation
+            rows = batch if late == "fill" else batch.where(after_watermark(key, *mark_of, collation) | key.isNull())
+            files = None if mark is None else after_watermark("high", *mark_of, collation)
+            held = dest.keys() if late == "fill" else held_keys(dest, after_watermark(pk, *mark_of, collation), files)
             if has_constraints(dest.spec):
-                outcome = classify_constrained(rows, dest.spec, dest.read().select(*key_columns(dest.spec)))
+                outcome = classify_constrained(rows, dest.spec, dest.read().select(*map(column, key_columns(dest.spec))))
             else:
                 outcome = classify(rows, dest.spec, held, split=job.split_hot_keys)
             done = dest.insert(outcome, run_id, base)
-        last = S.watermark_advance(dest.run_rows(done), pk).first()["new_value"]
+        last = S.watermark_advance(dest.run_rows(done), pk, dest.spec.key_collation).first()["new_value"]
         if last is None:
             return
         kind = dest.spec.schema[pk].dataType.simpleString()
         ahead = batch.sparkSession.range(1).where(
-            F.lit(True) if mark is None else typed_value(last, kind) > typed_value(*mark)
+            F.lit(True) if mark is None else after_watermark(typed_value(last, kind), *mark, dest.spec.key_collation)
         )
         if not ahead.isEmpty():
             save_watermark(job, store, pk, last, kind)
@@ -76,7 +77,7 @@ def delete_batch(job: JobSpec, dest: DestTable, store: S.StateStore):
 
     def run(batch: DataFrame, batch_id: int) -> None:
         run_id = batch_token(job, batch, batch_id)
-        flagged = batch.where(is_flagged(job.deleted_flag)).select(*pk).withColumn("record_id", record_id(pk))
+        flagged = batch.where(is_flagged(job.deleted_flag)).select(*map(column, pk)).withColumn("record_id", record_id(pk))
         apply_deletes(job, dest, store, flagged, RunResult(run_id=run_id), pk)
 
     return run

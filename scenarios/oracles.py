@@ -41,6 +41,15 @@ LAYOUT = {
 }
 
 
+RANKED = (
+    "ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+    "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS row_no FROM lineitem)"
+)
+MIXED = (
+    "mixed AS (SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN n || '  ' ELSE n END AS c_name, c_acctbal, LOWER(c_name) AS f FROM "
+    "(SELECT *, CASE WHEN c_custkey % 3 = 0 THEN UPPER(c_name) ELSE c_name END AS n FROM customer))"
+)
+
 # A fold over the rows in order: the keys taken so far, and what became of each row.
 _PART_ROWS = """
 parts AS (
@@ -433,6 +442,29 @@ ORACLES = {
         "(SELECT COUNT(*) FROM orders, c WHERE o_orderkey > a AND o_orderkey <= b) AS n_refused "
         "FROM orders, c WHERE NOT (o_orderstatus IN ('F', 'O') AND o_custkey % 4 = 0)"
     ),
+    "table_difference": (
+        "SELECT * FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'missing' ELSE 'changed' END AS change, CAST(1 AS BIGINT) AS source_n, "
+        "CAST(CASE WHEN o_orderkey % 13 = 0 THEN 0 ELSE 1 END AS BIGINT) AS dest_n FROM orders WHERE o_orderkey % 13 = 0 OR o_custkey % 11 = 0) "
+        "UNION ALL SELECT -1 - o_orderkey, 'extra', 0, 1 FROM orders WHERE o_orderkey % 17 = 0"
+    ),
+    "sketch_profile": "SELECT COUNT(*) AS n_rows, TRUE AS distinct_ok, TRUE AS middle_ok FROM lineitem",
+    "ranked_page_deep": (
+        f"WITH {RANKED} SELECT row_no, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ranked "
+        "WHERE row_no > (SELECT COUNT(*) // 2 FROM lineitem) AND row_no <= (SELECT COUNT(*) // 2 FROM lineitem) + 1000"
+    ),
+    "ranked_resume": (
+        f"WITH {RANKED}, m AS (SELECT (MIN(l_orderkey) + MAX(l_orderkey)) // 2 AS k FROM lineitem) "
+        "SELECT row_no, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ranked, m WHERE l_orderkey > k "
+        "AND row_no <= (SELECT COUNT(*) FROM lineitem, m WHERE l_orderkey <= k) + 1000"
+    ),
+    "collated_pages": (
+        f"WITH {MIXED}, k AS (SELECT (MIN(c_custkey) + MAX(c_custkey)) // 2 AS mid FROM customer) SELECT c_custkey, c_name, c_acctbal FROM mixed "
+        "WHERE f > (SELECT f FROM mixed, k WHERE c_custkey = mid) ORDER BY f, c_name, c_custkey LIMIT 1000"
+    ),
+    "collated_batches": (
+        f"WITH {MIXED}, n AS (SELECT *, (ROW_NUMBER() OVER (ORDER BY f, c_name) - 1) // 1000 + 1 AS batch_no FROM mixed) "
+        "SELECT batch_no, arg_min(c_name, f) AS first_pk, arg_max(c_name, f) AS last_pk, COUNT(*) AS n_rows FROM n GROUP BY batch_no"
+    ),
     "sync_sequence": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
     "stream_incremental": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_late_keys": f"SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_id > {MID_EVENT}",

@@ -17,6 +17,10 @@ from rowferry.functions.types import type_name, types_compatible
 from rowferry.operators import classify as C
 from rowferry.operators import compat, loads, paging, profile
 from rowferry.operators.constraints import classify_constrained
+from rowferry.operators.diff import table_diff
+from rowferry.operators.ranks import RankIndex
+from rowferry.operators.sketches import key_sketch, merge_sketches
+from rowferry.operators.sketches import sketch_profile as profile_of
 from rowferry.plans import modes
 from rowferry.plans import state as S
 from rowferry.plans.sync import RunResult, SyncError, full_load, sync
@@ -990,6 +994,70 @@ def concurrent_commits(spark, sf):
     return dest.read().withColumn("n_refused", F.lit(refused).cast("long"))
 
 
+# -- reconciliation and pages by rank ---------------------------------------------
+
+
+def table_difference(spark, sf):
+    """Orders against a copy that lacks some, has some too many, and holds some with another price."""
+    o = orders(spark, sf)
+    copy = o.where(F.col("o_orderkey") % 13 != 0)
+    price = F.when(F.col("o_custkey") % 11 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    more = o.where(F.col("o_orderkey") % 17 == 0).withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    return table_diff(o, copy.withColumn("o_totalprice", price).unionByName(more), "o_orderkey")
+
+
+def sketch_profile(spark, sf):
+    """Sketches of five runs' keys, merged: counts, and whether the estimates are within their bounds."""
+    line = table(spark, sf, "lineitem").select("l_partkey", (F.col("l_orderkey") % 5).alias("run"))
+    each = [key_sketch(line.where(F.col("run") == i), "l_partkey") for i in range(5)]
+    runs = each[0]
+    for one in each[1:]:
+        runs = runs.unionByName(one)
+    merged = merge_sketches(runs, "bigint")
+    profile = profile_of(merged, "bigint", (0.5,)).select("n_rows", "n_distinct", F.col("at_ranks")[0].alias("middle"))
+    exact = line.agg(F.count_distinct("l_partkey").alias("true_distinct"))
+    row, true = profile.first(), exact.first()[0]
+    below = [F.count_if(c) / F.count("*") for c in (F.col("l_partkey") < row["middle"], F.col("l_partkey") <= row["middle"])]
+    rank = line.agg(below[0].alias("low"), below[1].alias("high")).first()
+    return profile.select(
+        F.col("n_rows"), F.lit(abs(row["n_distinct"] - true) <= 0.05 * true).alias("distinct_ok"),
+        F.lit(rank["low"] <= 0.52 and rank["high"] >= 0.48).alias("middle_ok"),
+    )
+
+
+def ranked_page_deep(spark, sf):
+    """A page far into the longest table, of which the index leaves one range of 32 or two to sort."""
+    line = table(spark, sf, "lineitem")
+    index = RankIndex.build(line, "l_orderkey", work_path(spark, "ranks"), ranges=32)
+    return index.page(line, "l_orderkey", line.count() // 2, BATCH).select("row_no", *LINE_KEY, "l_partkey", "l_suppkey")
+
+
+def ranked_resume(spark, sf):
+    """The next rows after a checkpoint's key, with their places in the whole table."""
+    line = table(spark, sf, "lineitem")
+    index = RankIndex.build(line, "l_orderkey", work_path(spark, "ranks"), ranges=32)
+    return index.resume(line, "l_orderkey", [middle(line, "l_orderkey")], BATCH).select("row_no", *LINE_KEY, "l_partkey", "l_suppkey")
+
+
+def mixed_names(spark, sf) -> DataFrame:
+    """Customers' names, every third in capitals and every fifth with blanks behind."""
+    name = F.when(F.col("c_custkey") % 3 == 0, F.upper("c_name")).otherwise(F.col("c_name"))
+    name = F.when(F.col("c_custkey") % 5 == 0, F.concat(name, F.lit("  "))).otherwise(name)
+    return table(spark, sf, "customer").select("c_custkey", name.alias("c_name"), "c_acctbal")
+
+
+def collated_pages(spark, sf):
+    """A page after a cursor that is written in another case than the key it stands for."""
+    names = mixed_names(spark, sf)
+    mark = names.where(F.col("c_custkey") == middle(names, "c_custkey")).select(F.upper(F.rtrim("c_name"))).first()[0]
+    return paging.keyset_page(names, "c_name", [mark], BATCH, "UTF8_LCASE_RTRIM")
+
+
+def collated_batches(spark, sf):
+    """Batches whose ends are in the order in which keys are equal."""
+    return paging.batch_manifest(mixed_names(spark, sf), "c_name", BATCH, collation="UTF8_LCASE_RTRIM")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -1012,5 +1080,6 @@ QUERIES = {
         sync_without_key, sync_schema_warnings, sync_text_key, sync_collated_key, sync_zone_watermark, sync_delta_bad_key,
         stream_new_checkpoint, stream_delete_new_checkpoint, offset_page_deep, full_load_resumed_text,
         delete_bitmaps, manifest_pruned_load, concurrent_commits,
+        table_difference, sketch_profile, ranked_page_deep, ranked_resume, collated_pages, collated_batches,
     )
 }
