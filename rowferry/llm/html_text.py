@@ -36,7 +36,7 @@ PARTS = frozenset("p ul ol li dl dt dd table tbody thead tfoot tr td th h1 h2 h3
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 KEEP_WHOLE = frozenset(("html", "body", "article", "main"))
 _NAMES = (
-    "ads?|advert\\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|disclaimer|footer|masthead|menu|modal|nav|navbar|navigation|newsletter|"
+    "ads?|ad(?:box|slot|unit|space|sense|wrap\\w*|container)|adsbygoogle|advert\\w*|gdpr\\w*|ccpa|banner|breadcrumbs?|comments?|cookies?|consent|disqus|disclaimer|footer|masthead|menu|modal|nav|navbar|navigation|newsletter|"
     "notices?|popup|promo\\w*|related|replies|share|sharing|sidebar|social|sponsor\\w*|subscribe|toolbar"
 )
 #: Names of what follows an article and may be longer than it, but not of a state such as comments-open.
@@ -48,6 +48,8 @@ _CUT_TAG = re.compile(r"<[/?a-zA-Z][^<>]*\Z")
 _SPACE = re.compile(r"\s+")
 
 
+#: Characters outside links that make no article yet.
+LITTLE = 80
 #: How surely an element is no part of an article: by a name that wrappers have too, by a name of what follows an article,
 #: by its kind.
 NAMED, AFTER, KIND = 1, 2, 3
@@ -179,7 +181,8 @@ def without_noise(page: Page) -> Page:
     A page with an article or main outside all of them shows its article, so that they all go, but for named wrappers
     with a headed text or an article that have most of the characters outside links. Else a wrapper stays that has an
     article, a headed text or most of the characters; what follows an article also needs that no h1 stands outside, and
-    an element is kept against its kind only for an article or main. Nothing is kept below what goes.
+    and that there is next to no prose outside; an element is kept against its kind only for an article or main. Nothing
+    is kept below what goes.
     """
     if not page.doubtful:
         return page
@@ -216,7 +219,8 @@ def without_noise(page: Page) -> Page:
             if doubt == KIND:
                 stays = articles[node] and not shown
             elif doubt == AFTER:
-                stays = (holds or most) and not shown and not headed
+                # Comments may well be longer than the post; only a page that is hardly more than them is theirs.
+                stays = (holds or most) and not shown and not headed and plain[0] - plain[node] < LITTLE
             else:
                 stays = holds and most if shown else holds or most
             if not stays:
@@ -288,6 +292,30 @@ def body_node(page: Page) -> int:
     return next((i for i, t in enumerate(page.tags) if t == "body"), 0)
 
 
+def fellow_articles(page: Page, root: int, plain: list[int], linked: list[int], tags: list[int]) -> list[int]:
+    """The other articles of the text that ``root`` is one of: under the same main, or else the same parent, with a
+    quarter of its characters outside links per tag, and not mostly links. A heading that is nothing but a link makes a
+    teaser of another page."""
+    home = page.parents[root]
+    while home >= 0 and page.tags[home] != "main":
+        home = page.parents[home]
+    home = home if home >= 0 else page.parents[root]
+    below, teaser = [False] * len(page.tags), [False] * len(page.tags)
+    out = []
+    for node in range(1, len(page.tags)):
+        up = page.parents[node]
+        below[node] = up == home or below[up] and page.tags[up] != "article" and page.tags[home] == "main"
+    for node in range(len(page.tags) - 1, 0, -1):
+        if page.tags[node] in HEADINGS:
+            teaser[node] = linked[node] > 0 and not plain[node]
+        teaser[page.parents[node]] |= teaser[node]
+    for node in range(1, len(page.tags)):
+        if node != root and page.tags[node] == "article" and below[node] and not teaser[node]:
+            if plain[node] >= linked[node] and 4 * plain[node] * tags[root] >= plain[root] * tags[node]:
+                out.append(node)
+    return out
+
+
 def main_pieces(page: Page) -> list[bool]:
     """Which text pieces belong to the main text: those of the main subtree and, unless it is an article, of the parts
     beside it and beside its parents.
@@ -313,6 +341,9 @@ def main_pieces(page: Page) -> list[bool]:
         children[up].append(node)
     kept, own = [False] * n, [False] * len(page.texts)
     kept[root] = True
+    if page.tags[root] == "article":
+        for node in fellow_articles(page, root, plain, linked, tags):
+            kept[node] = True
     path = [root]
     if page.tags[root] not in ("article", "main"):
         while path[-1] > body:

@@ -1,5 +1,7 @@
 """Pages whose article is in several parts, whose head is left open, or whose wrappers have noisy names."""
 
+import re
+
 import pytest
 
 from rowferry.llm.html_text import main_text
@@ -68,3 +70,40 @@ def test_noise_beside_an_article_goes_whatever_its_length():
         assert main_text(f"<body><article>{ARTICLE}</article>{noise}</body>") == TEXT
     page = f"<body><div><h1>Title</h1>{ARTICLE}</div><section class=comment-list><article>{many}</article></section><footer>{many}</footer></body>"
     assert main_text(page) == f"Title\n{TEXT}"
+
+
+@pytest.mark.parametrize("one,two", [(3, 3), (6, 3), (3, 6), (1, 8)])
+def test_articles_that_make_one_text(one, two):
+    (a, first), (b, second) = section(one, name="a"), section(two, name="b")
+    teaser = f"<article><h3><a href=x>Another page</a></h3><p>{PLAIN}</p></article>"
+    links = "<article>" + "".join(f"<p><a href=x>Some other page number {i}</a></p>" for i in range(9)) + "</article>"
+    for page in (f"<main><article>{a}</article><article>{b}</article></main>", f"<main><div><article>{a}</article></div><article>{b}</article>{links}</main>",
+                 f"<div><article>{a}</article><article>{b}</article></div>", f"<main><article>{a}</article><p>between</p><article>{b}</article>{teaser}{teaser}</main>"):
+        got = main_text(f"<body><nav><a href=a>Home</a></nav>{page}<footer>f</footer></body>").split("\n")
+        assert [x for x in got if x != "between"] == first + second
+    nested = f"<main><article>{a}<article>{b}</article></article></main>"
+    assert main_text(f"<body>{nested}</body>").split("\n") == first + second
+
+
+def test_comments_longer_than_the_post():
+    many = f"<p>{PLAIN}</p>" * 60
+    post = f"<div><p>{PLAIN * 4}</p><p>{PLAIN * 3}</p></div>"
+    want = f"{(PLAIN * 4).strip()}\n{(PLAIN * 3).strip()}"
+    for tail in (f"<div id=comments>{many}</div>", f"<div class='comment-list'>{many}</div>", f"<section class=replies>{many}</section>"):
+        assert main_text(f"<body><div>{post}{tail}</div></body>") == want
+    assert main_text(f"<body><div id=comments>{many}</div></body>") == "\n".join([PLAIN.strip()] * 60)
+
+
+@pytest.mark.parametrize("name", ["gdpr", "gdpr-box", "adbox", "ad-slot", "adsbygoogle", "cookie-bar"])
+def test_more_names_of_surroundings(name):
+    assert main_text(f"<body><article>{ARTICLE}<div class={name}><p>{PLAIN}</p></div></article><div id={name}>{PLAIN}</div></body>") == TEXT
+
+
+def test_given_pages_without_their_article_tags(spark):
+    """The text is found by density alone in all of the given pages."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("html").collect()
+    differ = 0
+    for (page,) in pages:
+        bare = re.sub(r"</?(?:article|main)(?=[\s>])", lambda m: m[0].replace("article", "div").replace("main", "div"), page)
+        differ += main_text(bare) != main_text(page)
+    assert differ == 0
