@@ -86,14 +86,15 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     are constants of this module or few rows of the caller, so they are broadcast.
 
     Words are found after lower-casing. ``lower`` also folds letters beyond ASCII, which changes neither where words
-    begin and end nor which words are those of an all-ASCII template without a ``k`` (U+212A folds to it).
+    begin and end nor which words are those of an all-ASCII template: only the Kelvin sign folds to an ASCII letter
+    alone, and it is put aside before.
     NULL text counts as empty and has no words, labels or score above 0. Repeated rows and ids are rows of their own,
     NULL ids are carried. Other columns are not read.
     """
     if any(len(t.words.split()) > STEP + 1 for t in templates):
         raise ValueError(f"a template has at most {STEP + 1} words")
     spark = docs.sparkSession
-    text = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    text = F.lower(F.replace(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit("\u212a"), F.lit("\u212b")))
     rows = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.array_remove(F.split(text, NOT_WORD, -1), "").alias("_words")
     )

@@ -14,6 +14,7 @@ from .licenses import scan_licenses
 from .line_dedup import dedup_lines
 from .masked_lm import score, train, word_counts
 from .minhash import near_duplicates
+from .oracles import HARD_NEGATIVES, LICENSES, NEAR_DUPLICATES, NEAR_VECTORS, PREFIX_TRIE
 from .packing import pack_documents
 from .quality import features, rate_quality
 from .sharding import shard
@@ -82,7 +83,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_trie(rebuilt(turn_lists(table(spark, sf_dir, "conversations"))))
+    nodes = prefix_trie(rebuilt(turn_lists(table(spark, sf_dir, "conversations"))))
+    return nodes.withColumn("depth", F.col("depth").cast("long"))
 
 
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +110,11 @@ _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQ
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLES = {
+    "op1_licenses": LICENSES,
+    "op8_minhash": NEAR_DUPLICATES,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_lattice": NEAR_VECTORS,
     "op2_decontamination": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),

@@ -55,3 +55,11 @@ def test_empty_and_clashing(spark):
     docs = spark.createDataFrame([(1, "cc by", "x", 5)], T.StructType.fromDDL("doc_id long, text string, labels string, n_words int"))
     row = scan_licenses(docs).first()
     assert (row.labels, row.n_words) == ("cc-by", 2)
+
+
+def test_the_kelvin_sign_is_no_k(spark):
+    words = "distributed on an as is basis without warranties or conditions of any kind"
+    texts = [words, words.replace("kind", "\u212aind"), words.replace("kind", "xind"), " ".join(words.split()[:11]) + " \u212aind", "K\u212a cc by"]
+    rows = scan_licenses(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    got = {r.doc_id: (r.n_words, round(r.score, 3)) for r in rows}
+    assert got[1] == got[2] and got[0][1] == 1.0 and got[1][1] < 1.0 and got[3][0] == 12 and got[4][0] == 3
