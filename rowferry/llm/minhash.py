@@ -18,8 +18,8 @@ PERCENT = 75
 BANDS, ROWS = 40, 4
 #: Values that the permutations rearrange; shingles are dealt to them by hash.
 DOMAIN = 1 << 20
-#: Cells of each of the two rows of the sketch of shingles' frequencies: 4 MB together.
-CELLS = 1 << 19
+#: Cells in which shingles are counted together by hash: 4 MB.
+CELLS = 1 << 20
 #: A bucket of more classes than this is not compared pair by pair.
 SMALL_BUCKET = 32
 
@@ -115,18 +115,17 @@ def _sets(batches):
 
 
 def _sketch_cells(shingles: np.ndarray) -> np.ndarray:
-    """The two cells of the count-min sketch that count a shingle."""
-    bits = mix(shingles.view(np.uint64))
-    return np.stack([bits & np.uint64(CELLS - 1), (bits >> np.uint64(32) & np.uint64(CELLS - 1)) + np.uint64(CELLS)]).astype(np.int64)
+    """The cells that count these shingles."""
+    return (mix(shingles.view(np.uint64)) & np.uint64(CELLS - 1)).astype(np.int64)
 
 
 def _count_shingles(batches):
-    """How many of the task's shingles fall into each cell of the sketch."""
-    counts = np.zeros(2 * CELLS, np.int64)
+    """How many of the task's shingles fall into each cell."""
+    counts = np.zeros(CELLS, np.int64)
     for batch in batches:
         flat = np.asarray(batch.column("shingles").flatten())
         if len(flat):
-            counts += np.bincount(_sketch_cells(flat).ravel(), minlength=2 * CELLS)
+            counts += np.bincount(_sketch_cells(flat), minlength=CELLS)
     used = np.flatnonzero(counts)
     for i in range(0, len(used), 1 << 16):
         some = used[i : i + (1 << 16)]
@@ -143,7 +142,7 @@ def _rarest_first(shared):
             for shingles in batch.column("shingles"):
                 values = np.asarray(shingles.values)
                 n = len(values)
-                seen = sketch[_sketch_cells(values)].min(0) if n else values
+                seen = sketch[_sketch_cells(values)]
                 sizes.append(n)
                 prefixes.append(values[np.lexsort((values, seen))][: n + (-PERCENT * n // 100) + 1])
             yield pa.RecordBatch.from_arrays(
@@ -194,7 +193,7 @@ class NearDuplicates:
                  broadcast_rows: int = 4_000_000, stars: int = 2):
         self.small_bucket, self.broadcast_rows, self.stars = small_bucket, broadcast_rows, stars
         self.text_col, self.id_col = text_col, id_col
-        docs = without(docs, "n_shingles", "component_id", "kept", "_row", "_copy", "_bands", "_low")
+        docs = without(docs, "n_shingles", "component_id", "kept", "_row", "_copy", "_bands", "_low", "_stays")
         self.columns = docs.columns
         fields = "_row long, _copy binary, n_shingles long, _bands array<long>, _low binary"
         schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(fields).fields])
@@ -239,15 +238,15 @@ class NearDuplicates:
 
         A set of n shingles shares with any larger one at the threshold one of its n - ceil(6/7 n) + 1 first ones in any
         common order, and that is among the larger one's m - ceil(0.75 m) + 1 first; here the order is by rising
-        frequency among these nodes. Any order is right, so frequencies need not be exact: they are kept in a count-min
-        sketch of fixed size, which is sent to every task. Labels must differ and places and sizes must allow the
+        frequency among these nodes. Any order is right, so frequencies need not be exact: shingles are counted by hash
+        in a table of fixed size, which is sent to every task. Labels must differ and places and sizes must allow the
         threshold.
         """
         sets = self.sets(nodes.select("node"))
         cells = sets.mapInArrow(_count_shingles, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-        # At most 2 * CELLS rows.
+        # At most CELLS rows.
         counted = cells.toArrow()
-        sketch = np.zeros(2 * CELLS, np.int32)
+        sketch = np.zeros(CELLS, np.int32)
         sketch[np.asarray(counted["cell"])] = np.minimum(np.asarray(counted["n"]), 2**31 - 1)
         shared = self.rows.sparkSession.sparkContext.broadcast(sketch)
         ranked = sets.mapInArrow(_rarest_first(shared), "node long, n int, prefix array<long>").join(nodes, "node")
@@ -309,11 +308,11 @@ class NearDuplicates:
         nodes = self.classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("node").alias("row")))
         firsts = nodes.groupBy("label").agg(first.alias("first"))
-        found = nodes.join(firsts, "label").select("_copy", F.col("first.id").alias("component_id"), F.col("first.row").alias("stays"))
+        found = nodes.join(firsts, "label").select("_copy", F.col("first.id").alias("component_id"), F.col("first.row").alias("_stays"))
         rows = self.rows.drop("_bands", "_low")
         own = [F.col(f"`{c}`") for c in self.columns]
         with_words = rows.where(F.col("_copy").isNotNull()).join(found, "_copy")
-        with_words = with_words.select(*own, "n_shingles", "component_id", (F.col("_row") == F.col("stays")).alias("kept"))
+        with_words = with_words.select(*own, "n_shingles", "component_id", (F.col("_row") == F.col("_stays")).alias("kept"))
         wordless = rows.where(F.col("_copy").isNull())
         wordless = wordless.select(*own, "n_shingles", F.col(f"`{self.id_col}`").alias("component_id"), F.lit(True).alias("kept"))
         return with_words.unionByName(wordless)
