@@ -14,7 +14,7 @@ from rowferry.llm.decontamination import find_overlaps
 from rowferry.llm.line_dedup import dedup_lines
 from rowferry.llm.minhash import near_duplicates
 from rowferry.llm.packing import pack_documents
-from rowferry.llm.quality import rate_quality
+from rowferry.llm.quality import features, rate_quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,7 +22,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 @shipped
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or are more likely bad than good go."""
-    return rate_quality(docs).where("kept").select(*COLUMNS)
+    # The measures are written with the texts, since they are needed for the counts of votes and again for the verdicts.
+    measured = write_through(features(docs), "measures")
+    return rate_quality(docs, measured=measured).where("kept").select(*COLUMNS)
 
 
 @shipped
