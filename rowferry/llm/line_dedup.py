@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,9 +45,27 @@ class CuckooFilter:
         mark, a, b = self._places(low, high)
         return (self.table[a] == mark[:, None]).any(1) | (self.table[b] == mark[:, None]).any(1)
 
+    def _place(self, mark: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """Put marks into free slots of their buckets, all at once; True where there was room."""
+        order = np.argsort(bucket, kind="stable")
+        own = bucket[order]
+        turn = np.arange(len(own)) - np.searchsorted(own, own)
+        free = self.table[own] == 0
+        fits = turn < free.sum(1)
+        # The slot of the turn-th free place of the bucket.
+        slot = (np.cumsum(free, 1) > turn[:, None]).argmax(1)
+        self.table[own[fits], slot[fits]] = mark[order[fits]]
+        out = np.zeros(len(mark), bool)
+        out[order[fits]] = True
+        return out
+
     def insert(self, low: np.ndarray, high: np.ndarray) -> bool:
+        """All keys at once into their first, then their second bucket; the few that are left one by one, with kicks."""
         mask, table = len(self.table) - 1, self.table
-        for mark, a, b in zip(*(x.tolist() for x in self._places(low, high))):
+        marks, first, second = self._places(low, high)
+        left = np.flatnonzero(~self._place(marks, first))
+        left = left[~self._place(marks[left], second[left])]
+        for mark, a, b in zip(marks[left].tolist(), first[left].tolist(), second[left].tolist()):
             for bucket in (a, b):
                 free = np.flatnonzero(table[bucket] == 0)
                 if len(free):
@@ -82,13 +100,18 @@ def _words(keys: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return pairs[:, 0], pairs[:, 1]
 
 
+def _shard_of(shards: int) -> Column:
+    """The shard of a key: its first four bytes modulo the number of shards."""
+    return (F.conv(F.hex(F.substring("key", 1, 4)), 16, 10).cast("long") % shards).cast("int")
+
+
 def _hits(filters: dict[int, CuckooFilter], keys: list[bytes], shards: int) -> np.ndarray:
     """Which keys the filter of their shard holds."""
     out = np.zeros(len(keys), bool)
     if not keys:
         return out
     low, high = _words(keys)
-    where = (low % np.uint64(shards)).astype(np.int64)
+    where = np.frombuffer(b"".join(keys), ">u4")[::4].astype(np.int64) % shards
     for shard in np.unique(where).tolist():
         if shard in filters:
             rows = np.flatnonzero(where == shard)
@@ -102,26 +125,31 @@ def line_key(line: bytes) -> bytes:
     return hashlib.md5(key.translate(_LOWER)).digest() if key else b""
 
 
-COUNTS = "key binary, docs long, shard int, rose boolean, fell boolean"
+COUNTS = "key binary, docs long, rose boolean, fell boolean"
 FILTERS = "shard int, filter binary"
+#: Frequent keys of a shard, about, at most; and parts of a shard's lines where lines are dealt to shards.
+SHARD_KEYS, SALTS = 1 << 16, 32
 
 
 class LineIndex:
     """Reference counts of line keys, in versions under ``path``, with a cuckoo filter per shard of the frequent ones.
 
+    Shards are as many as keep the frequent keys of each to about ``shard_keys``; where that number grows, all filters
+    are built anew from the counts. A shard's filter is built by one task.
+
     ``insert`` and ``delete`` change the counts by the documents given and write a new version; earlier versions stay
     readable, and deleting what was inserted restores the state before. A key is known by 128 bits of MD5. It is
     frequent when at least ``min_docs`` documents hold it. Deleting documents that were never inserted is an error of
     the caller; counts then end at zero.
     """
 
-    def __init__(self, spark: SparkSession, path: str, min_docs: int = 10, min_chars: int = 1, shards: int = 64,
+    def __init__(self, spark: SparkSession, path: str, min_docs: int = 10, min_chars: int = 1, shard_keys: int = SHARD_KEYS,
                  broadcast_bytes: int = 64 << 20):
-        self.spark, self.path, self.version = spark, path, 0
-        self.min_docs, self.min_chars, self.shards, self.broadcast_bytes = min_docs, min_chars, shards, broadcast_bytes
+        self.spark, self.path, self.version, self.shards = spark, path, 0, 1
+        self.min_docs, self.min_chars, self.shard_keys, self.broadcast_bytes = min_docs, min_chars, shard_keys, broadcast_bytes
 
     def counts(self) -> DataFrame:
-        """key, docs, shard, and whether the last change made the key frequent or not frequent any more."""
+        """key, docs, and whether the last change made the key frequent or not frequent any more."""
         if not self.version:
             return self.spark.createDataFrame([], COUNTS)
         return self.spark.read.schema(COUNTS).parquet(f"{self.path}/counts/v{self.version}")
@@ -157,34 +185,33 @@ class LineIndex:
             old = self.counts().select("key", "docs", F.lit(0).cast("long").alias("change"))
             change = old.unionByName(change).groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("change").alias("change"))
         now = F.greatest(F.col("docs") + F.col("change"), F.lit(0))
-        least, shards = F.lit(self.min_docs), self.shards
+        least = F.lit(self.min_docs)
         rows = change.select(
             "key",
             now.alias("now"),
             ((F.col("docs") < least) & (now >= least)).alias("rose"),
             ((F.col("docs") >= least) & (now < least)).alias("fell"),
         ).where((F.col("now") > 0) | F.col("fell"))
-        schema = T.StructType.fromDDL(COUNTS)
-
-        def numbered(batches):
-            for batch in batches:
-                keys = batch.column("key").to_pylist()
-                shard = (_words(keys)[0] % np.uint64(shards)).astype(np.int32) if keys else np.zeros(0, np.int32)
-                key, docs_now, rose, fell = batch.columns
-                yield pa.RecordBatch.from_arrays([key, docs_now, pa.array(shard), rose, fell], names=schema.names)
-
         old_filters = self.filters()
-        rows.mapInArrow(numbered, schema).write.parquet(f"{self.path}/counts/v{self.version + 1}")
+        rows.withColumnRenamed("now", "docs").write.parquet(f"{self.path}/counts/v{self.version + 1}")
         self.version += 1
         self._write_filters(old_filters)
 
     def _write_filters(self, old: DataFrame) -> None:
         """Bring each shard's filter up to date with the keys that became frequent or ceased to be.
 
-        A shard whose filter has no room left is built anew, larger, from its frequent keys.
+        A shard whose filter has no room left is built anew, larger, from its frequent keys; all are where there must be
+        more shards than before.
         """
-        changed = self.counts().where(F.col("rose") | F.col("fell")).select("shard", "key", "rose")
-        kept = self.counts().where((F.col("docs") >= self.min_docs) & ~F.col("rose")).select("shard", "key", F.lit(None).cast("boolean").alias("rose"))
+        touched = self.counts().where((F.col("docs") >= self.min_docs) | F.col("fell"))
+        n, needed = touched.count(), 1
+        while needed * self.shard_keys < n:
+            needed *= 2
+        if needed > self.shards:
+            self.shards, old = needed, self.spark.createDataFrame([], FILTERS)
+        touched = touched.withColumn("shard", _shard_of(self.shards))
+        changed = touched.where(F.col("rose") | F.col("fell")).select("shard", "key", "rose")
+        kept = touched.where(~F.col("rose") & ~F.col("fell")).select("shard", "key", F.lit(None).cast("boolean").alias("rose"))
 
         def update(keys: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
             shard = int((keys if len(keys) else filters)["shard"].iloc[0])
@@ -215,14 +242,14 @@ class LineIndex:
         A map over the documents asks the filters. Keys that a filter takes for frequent but the exact counts do not
         are listed first, so the answer is exact: from the counts themselves if every document was ``inserted``, else
         from the documents' keys. Filters and list are broadcast only while both stay within ``broadcast_bytes``;
-        beyond that the lines are joined with the frequent keys by a shuffle.
+        beyond that the lines' keys are dealt to the shards, asked there, and those that pass meet the exact counts.
 
         NULL text is one line without a key and stays NULL; an empty text stays empty. A document may lose all lines
         and then has an empty text. Columns named n_lines or n_dropped are replaced, others are carried along.
         """
         size = self.filters().agg(F.sum(F.octet_length("filter"))).first()[0] or 0
         if size > self.broadcast_bytes:
-            return self._apply_by_join(docs, text_col)
+            return self._apply_by_shards(docs, text_col)
         filters = {r.shard: CuckooFilter.load(bytes(r.filter)) for r in self.filters().collect()}
         shared, shards = self.spark.sparkContext.broadcast(filters), self.shards
 
@@ -235,7 +262,7 @@ class LineIndex:
         wrong = asked.mapInArrow(held, "key binary").join(self.frequent(), "key", "left_anti")
         wrong = write_through(wrong, "line-exceptions")
         if wrong.count() * 100 > self.broadcast_bytes:
-            return self._apply_by_join(docs, text_col)
+            return self._apply_by_shards(docs, text_col)
         but = self.spark.sparkContext.broadcast({bytes(r.key) for r in wrong.collect()})
         docs = without(docs, "n_lines", "n_dropped")
         names, at, least = docs.columns, docs.columns.index(text_col), self.min_chars
@@ -271,7 +298,39 @@ class LineIndex:
 
         return docs.mapInArrow(drop, _with(docs.schema, "n_lines", "n_dropped"))
 
-    def _apply_by_join(self, docs: DataFrame, text_col: str) -> DataFrame:
+    def _passed(self, lines: DataFrame) -> DataFrame:
+        """The lines (_row, at, key) whose key the filter of its shard holds.
+
+        Filters and lines meet in sorted partitions, the filter ahead of its lines, so a task holds one filter and one
+        batch of lines. A shard's lines come in ``SALTS`` parts, as one line may make up a good share of all; the filter
+        goes to each.
+        """
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        asked = lines.select("_row", "at", "key", _shard_of(self.shards).alias("shard"), F.pmod(F.xxhash64("_row", "at"), F.lit(SALTS)).cast("int").alias("salt"))
+        held = self.filters().select("shard", salts.alias("salt"), "filter")
+        both = asked.unionByName(held, allowMissingColumns=True).repartition("shard", "salt")
+        both = both.sortWithinPartitions("shard", "salt", F.col("filter").isNull()).select("shard", "filter", "_row", "at", "key")
+
+        def ask(batches):
+            shard, cuckoo = None, None
+            for batch in batches:
+                shards, filters = np.asarray(batch.column("shard")), batch.column("filter")
+                keys, out = batch.column("key").to_pylist(), np.zeros(batch.num_rows, bool)
+                heads = np.flatnonzero(np.asarray(filters.is_valid())).tolist()
+                edges = sorted({0, batch.num_rows, *heads, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist()})
+                for a, b in zip(edges, edges[1:]):
+                    if filters[a].is_valid:
+                        shard, cuckoo = int(shards[a]), CuckooFilter.load(filters[a].as_py())
+                        a += 1
+                    elif shards[a] != shard:
+                        shard, cuckoo = int(shards[a]), None  # a shard without frequent keys
+                    if cuckoo is not None and a < b:
+                        out[a:b] = cuckoo.contains(*_words(keys[a:b]))
+                yield batch.select(["_row", "at", "key"]).filter(pa.array(out))
+
+        return both.mapInArrow(ask, "_row long, at int, key binary")
+
+    def _apply_by_shards(self, docs: DataFrame, text_col: str) -> DataFrame:
         docs = without(docs, "n_lines", "n_dropped", "_row", "_gone")
         rows = write_through(docs.withColumn("_row", F.monotonically_increasing_id()), "line-documents")
         text = F.col(f"`{text_col}`")
@@ -279,7 +338,7 @@ class LineIndex:
         stripped = F.trim("line", F.lit(SPACE.decode()))
         lower = F.translate(stripped, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
         lines = lines.where(F.length(stripped) >= max(1, self.min_chars)).select("_row", "at", F.unhex(F.md5(lower)).alias("key"))
-        gone = lines.join(self.frequent(), "key", "left_semi").groupBy("_row").agg(F.collect_list("at").alias("_gone"))
+        gone = self._passed(lines).join(self.frequent(), "key", "left_semi").groupBy("_row").agg(F.collect_list("at").alias("_gone"))
         kept = F.transform(
             F.array(F.split(text, "\n", -1)),
             lambda all_lines: F.array_join(

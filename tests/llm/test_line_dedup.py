@@ -46,7 +46,7 @@ def test_cuckoo_filter():
 @pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
 def test_both_ways(spark, tmp_path, broadcast_bytes):
     for name, docs, least in (("small", DOCS, 10), ("table", [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()], 4)):
-        index = LineIndex(spark, f"{tmp_path}/{name}", least, shards=4, broadcast_bytes=broadcast_bytes)
+        index = LineIndex(spark, f"{tmp_path}/{name}", least, shard_keys=20, broadcast_bytes=broadcast_bytes)
         rows = frame(spark, docs).repartition(3)
         index.insert(rows)
         out = index.apply(rows, inserted=True).collect()
@@ -60,7 +60,7 @@ def test_both_ways(spark, tmp_path, broadcast_bytes):
 def test_reversible(spark, tmp_path):
     """Inserting and deleting a batch restores counts, filters and answers; unseen documents are answered exactly."""
     first, second = DOCS[:9], [(100 + i, f"shared line\nlate {i % 3}\nmore") for i in range(30)]
-    index = LineIndex(spark, f"{tmp_path}/index", 10, shards=4)
+    index = LineIndex(spark, f"{tmp_path}/index", 10, shard_keys=2)
 
     def state():
         counts = {(bytes(r.key), r.docs) for r in index.counts().collect() if r.docs}
@@ -76,6 +76,34 @@ def test_reversible(spark, tmp_path):
     assert state() == before
 
 
+def test_thousands_of_shards(spark, tmp_path):
+    """Every line frequent, few keys to a shard: both ways drop the same, and no filter holds more than a few keys."""
+    docs = [(i, "\n".join(f"line {k}" for k in range(i % 5, 3000, 5)) + f"\nown {i}") for i in range(50)]
+    outs = []
+    for bytes_ in (64 << 20, 0):
+        index = LineIndex(spark, f"{tmp_path}/{bytes_}", 10, shard_keys=2, broadcast_bytes=bytes_)
+        index.insert(frame(spark, docs).repartition(4))
+        assert index.shards == 2048 and index.frequent().count() == 3000
+        sizes = [len(r.filter) for r in index.filters().collect()]
+        assert len(sizes) > 1000 and max(sizes) <= 64
+        outs.append({r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in index.apply(frame(spark, docs)).collect()})
+    assert outs[0] == outs[1] == {i: (f"own {i}", 601, 600) for i, _ in docs}
+
+
+def test_shards_grow_with_the_index(spark, tmp_path):
+    """Inserts that need more shards build all filters anew; deleting them again restores the answers."""
+    index = LineIndex(spark, f"{tmp_path}/index", 2, shard_keys=4)
+    first = [(i, "a\nb\nc") for i in range(3)]
+    second = [(10 + i, "\n".join(f"l{k}" for k in range(100))) for i in range(2)]
+    index.insert(frame(spark, first))
+    assert index.shards == 1
+    index.insert(frame(spark, second))
+    assert index.shards == 32 and {r.text for r in index.apply(frame(spark, first + second)).collect()} == {""}
+    index.delete(frame(spark, second))
+    assert index.frequent().count() == 3
+    assert {r.text for r in index.apply(frame(spark, first + second)).collect()} == {"", second[0][1]}
+
+
 def test_edges(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     docs = spark.createDataFrame([(None, "a b", 1)] * 10 + [(1, "a b\nc", 2)], "doc_id long, text string, n_lines int")
