@@ -465,6 +465,8 @@ ORACLES = {
         f"WITH {MIXED}, n AS (SELECT *, (ROW_NUMBER() OVER (ORDER BY f, c_name) - 1) // 1000 + 1 AS batch_no FROM mixed) "
         "SELECT batch_no, arg_min(c_name, f) AS first_pk, arg_max(c_name, f) AS last_pk, COUNT(*) AS n_rows FROM n GROUP BY batch_no"
     ),
+    "stream_stateful": "SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_type <> 'error'",
+    "stream_keyset_source": "SELECT * FROM orders",
     "sync_sequence": "SELECT * FROM orders WHERE o_orderstatus <> 'F'",
     "stream_incremental": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_late_keys": f"SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_id > {MID_EVENT}",

@@ -26,9 +26,11 @@ from rowferry.plans import state as S
 from rowferry.plans.sync import RunResult, SyncError, full_load, sync
 from rowferry.sources import template
 from rowferry.sources.jdbc import stripe_predicates
+from rowferry.sources.keyset import register as register_keyset
 from rowferry.sources.table import DestTable
 from rowferry.sources.workdir import work_path, write_through
 from rowferry.spec import DestSpec, JobSpec
+from rowferry.streaming.keyed import stream_keyed
 from rowferry.streaming.stream import stream_deletes, stream_inserts
 
 TABLES = (
@@ -994,6 +996,29 @@ def concurrent_commits(spark, sf):
     return dest.read().withColumn("n_refused", F.lit(refused).cast("long"))
 
 
+def stream_stateful(spark, sf):
+    """Every event is inserted and every error deleted again by one stream, whose state knows the keys; then it is
+    started once more from its checkpoint."""
+    _, dest, _, job, checkpoint = stream_place(spark, sf, "stream-stateful")
+    steps = F.when(F.col("event_type") == "error", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    for _ in range(2):
+        stream = event_stream(spark, sf).select(*EVENT_COLUMNS, F.explode(steps).alias("is_deleted"))
+        stream_keyed(stream, job, dest, checkpoint, F.col("is_deleted")).awaitTermination()
+    return dest.read()
+
+
+def stream_keyset_source(spark, sf):
+    """Orders polled by key into a destination, twice; the second poll finds nothing after the watermark."""
+    register_keyset(spark)
+    rows = orders(spark, sf)
+    dest, store = workplace(spark, dest_spec(rows, "o_orderkey"), "stream-keyset")
+    checkpoint = work_path(spark, "stream-keyset-checkpoint")
+    for _ in range(2):
+        stream = spark.readStream.format("keyset").option("path", f"{sf}/orders.parquet").option("key", "o_orderkey").load()
+        stream_inserts(stream, JobSpec("polled", "orders", "dst", "o_orderkey"), dest, store, checkpoint).awaitTermination()
+    return dest.read()
+
+
 # -- reconciliation and pages by rank ---------------------------------------------
 
 
@@ -1080,6 +1105,6 @@ QUERIES = {
         sync_without_key, sync_schema_warnings, sync_text_key, sync_collated_key, sync_zone_watermark, sync_delta_bad_key,
         stream_new_checkpoint, stream_delete_new_checkpoint, offset_page_deep, full_load_resumed_text,
         delete_bitmaps, manifest_pruned_load, concurrent_commits,
-        table_difference, sketch_profile, ranked_page_deep, ranked_resume, collated_pages, collated_batches,
+        stream_stateful, stream_keyset_source, table_difference, sketch_profile, ranked_page_deep, ranked_resume, collated_pages, collated_batches,
     )
 }
