@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import numpy as np
+
 from rowferry.llm.quality import features, fit_votes, rate_quality
 
 SF = "/root/testdata/sf0.1"
@@ -41,6 +43,66 @@ def test_agrees_with_labels(spark):
     assert all(not r.kept for r in rows if r.base_failed)
 
 
+def votes(text):
+    """The eight rules, written out."""
+    text = text or ""
+    words = WORD.findall(text)
+    n, chars, symbols, _, repeats = brute(text)
+    upper, ends, distinct = sum("A" <= c <= "Z" for c in text), sum(c in ".!?" for c in text), len(set(words)) ** 2
+    if not n:
+        return (0,) * 8
+
+    def vote(bad, good):
+        return -1 if bad else int(good)
+
+    return (
+        vote(chars > 14 * n or chars < 2 * n, 3 * n <= chars <= 11 * n), vote(symbols * 10 > n, symbols * 50 < n), vote(symbols * 25 > chars, symbols * 100 < chars),
+        vote(upper * 2 > chars, upper * 5 < chars), vote(repeats * 5 > n, repeats * 20 < n), vote(n >= 20 and distinct < 4 * n, n < 20 or distinct > 8 * n),
+        vote(n >= 40 and ends * 80 < n, ends * 40 >= n), vote(ends * 2 > n + 4, ends * 3 <= n + 4),
+    )
+
+
+def posteriors(rows, rounds=200):
+    """EM over all rows at once: class 0 is good, class r + 1 breaks rule r."""
+    v = np.array(rows)
+    n, rules = v.shape
+    chance = np.empty((rules + 1, rules, 3))
+    chance[:] = [0.15, 0.1, 0.75]
+    chance[0] = [0.02, 0.08, 0.9]
+    for r in range(rules):
+        chance[r + 1, r] = [0.9, 0.05, 0.05]
+    share = np.array([0.9] + [0.1 / rules] * rules)
+
+    def resolve():
+        logs = np.log(share)[None] + sum(np.log(chance[:, r, :])[:, v[:, r] + 1].T for r in range(rules))
+        each = np.exp(logs - logs.max(1, keepdims=True))
+        return each / each.sum(1, keepdims=True)
+
+    for _ in range(rounds):
+        part = resolve()
+        new = (1 + part.sum(0)) / (1 + part.sum(0)).sum()
+        for r in range(rules):
+            seen = 1 + np.stack([part[v[:, r] == x].sum(0) for x in (-1, 0, 1)], 1)
+            chance[:, r] = seen / seen.sum(1, keepdims=True)
+        done, share = np.abs(new - share).max() < 1e-9, new
+        if done:
+            break
+    return resolve()[:, 0]
+
+
+def test_verdicts_against_a_loop(spark):
+    """Posterior and verdict of every document of a whole table, from rules and EM written anew."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = dict(zip(texts, posteriors([votes(t) for t in texts.values()])))
+    out = rate_quality(docs).collect()
+    assert len(out) == len(texts) and any(not r.kept and not r.base_failed for r in out)
+    for r in out:
+        n, *_, repeats = brute(r.text)
+        failed = n < 10 or 100 * repeats > 20 * n
+        assert abs(r.posterior - want[r.doc_id]) < 1e-6 and r.base_failed == failed and r.kept == (not failed and want[r.doc_id] >= 0.5)
+
+
 def test_em_finds_planted_accuracy():
     """Two rules that mostly agree on a fault and one that votes by chance."""
     patterns = [((1, 1, 1), 850), ((1, 1, -1), 50), ((-1, -1, 1), 80), ((-1, -1, -1), 6), ((-1, 1, 1), 7), ((1, -1, 1), 7)]

@@ -1,7 +1,10 @@
+import hashlib
 import random
 import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from rowferry.llm.sharding import assign, shard
 
 SF = "/root/testdata/sf0.01"
@@ -33,6 +36,28 @@ def test_whole_table(spark):
     assert max(loads) <= 1.02 * min(loads)
 
 
+def test_schedule_against_a_loop(spark):
+    """Every row's shard follows from giving the items, largest first, to the emptiest shard."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    shards, fine = 16, 4
+    hashed = docs.select("doc_id", "text", F.pmod(F.xxhash64(F.unhex(F.md5("text"))), F.lit(shards * fine)).alias("bundle")).collect()
+    groups = defaultdict(int)
+    for r in hashed:
+        groups[r.text] += len(r.text.encode()) + 1
+    total = sum(groups.values())
+    item = {r.text: f"group {hashlib.md5(r.text.encode()).hexdigest().upper()}" if groups[r.text] * shards * fine >= total else f"bundle {r.bundle}" for r in hashed}
+    sizes = defaultdict(int)
+    for text, size in groups.items():
+        sizes[item[text]] += size
+    loads, place = [0] * shards, {}
+    for name in sorted(sizes, key=lambda n: (-sizes[n], n)):
+        place[name] = loads.index(min(loads))
+        loads[place[name]] += sizes[name]
+    got = {r.doc_id: r.shard for r in shard(docs, shards, fine).collect()}
+    assert got == {r.doc_id: place[item[r.text]] for r in hashed} and len(set(place.values())) == shards
+    assert any(i.startswith("group") for i in place) and any(i.startswith("bundle") for i in place)
+
+
 def test_bundles_and_hot_group(spark):
     """A group of a third of all rows, and so few bundles that most groups share one."""
     rng = random.Random(2)
