@@ -16,6 +16,8 @@ from .common import ASCII_LOWER, NOT_SPACE, chunks, gram_hashes, mix, utf8, with
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 40, 4
+#: Bands whose buckets are compared with one of their nodes in a round.
+ROUND = 8
 #: Values that the permutations rearrange; shingles are dealt to them by hash.
 DOMAIN = 1 << 20
 #: Cells in which shingles are counted together by hash: 4 MB.
@@ -208,9 +210,9 @@ class NearDuplicates:
         )
 
     def members(self) -> DataFrame:
-        """Nodes in buckets (``key``) of two or more, with the bucket's size and least node."""
+        """Nodes in buckets (``key``) of two or more, with the bucket's band, size and least node."""
         nodes = self.rows.join(self.classes.select(F.col("node").alias("_row")), "_row", "left_semi")
-        each = nodes.select(F.col("_row").alias("node"), F.explode("_bands").alias("key"))
+        each = nodes.select(F.col("_row").alias("node"), F.posexplode("_bands").alias("band", "key"))
         buckets = each.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
         return write_through(each.join(buckets, "key"), "near-buckets")
 
@@ -270,7 +272,7 @@ class NearDuplicates:
 
     def unsettled(self, members: DataFrame, links: DataFrame) -> DataFrame:
         """Members of the buckets in which the links leave more than one component, with their ``label``."""
-        named = members.select("key", "node", "size").join(components(links), "node", "left")
+        named = members.select("key", "band", "node", "size").join(components(links), "node", "left")
         named = named.withColumn("label", F.coalesce("label", "node"))
         open_keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         return write_through(named.join(open_keys.select("key"), "key", "left_semi"), "near-rest")
@@ -278,20 +280,23 @@ class NearDuplicates:
     def links(self) -> DataFrame:
         """Verified links between nodes, enough to connect every pair of similar nodes that meet in a bucket.
 
-        First each node is compared with the least node of its buckets, then, in buckets left with two or more
-        components, with one or two others. What is still open is settled: small buckets by comparing their nodes of different components, large ones by their
-        rarest shingles. So a bucket of thousands of copies costs one comparison each, and one of thousands of unlike
-        documents that share a passage costs no comparison of all pairs.
+        In rounds of a few bands each, nodes are compared with one node of each of their buckets: first the least one,
+        then, in buckets left with two or more components, others. So a node meets at most ``ROUND`` others in a round,
+        however many buckets a family of variants shares. What is still open in any band is settled: small buckets by
+        comparing their nodes of different components, large ones by their rarest shingles. A bucket of thousands of
+        copies costs a few comparisons each, and one of thousands of unlike documents that share a passage costs no
+        comparison of all pairs.
         """
         members = self.members()
-        stars = members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-        links = self.verified(stars)
+        stars = members.where((F.col("band") < ROUND) & (F.col("node") != F.col("pivot")))
+        links = self.verified(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
         rest = self.unsettled(members, links)
         # Other nodes of a bucket, another in each bucket, find most of what the least node is too unlike to.
-        for seed in range(self.stars):
+        for seed in range(1, self.stars + 1):
+            now = rest.where((F.col("band") >= seed * ROUND) & (F.col("band") < (seed + 1) * ROUND))
             chosen = F.min(F.struct(F.xxhash64("node", "key", F.lit(seed)).alias("order"), F.col("node"), F.col("label")))
-            pivots = rest.groupBy("key").agg(chosen.alias("pivot")).select("key", "pivot.node", "pivot.label").toDF("key", "b", "b_label")
-            stars = rest.join(pivots, "key").where("label <> b_label").select(F.col("node").alias("a"), "b").distinct()
+            pivots = now.groupBy("key").agg(chosen.alias("pivot")).select("key", "pivot.node", "pivot.label").toDF("key", "b", "b_label")
+            stars = now.join(pivots, "key").where("label <> b_label").select(F.col("node").alias("a"), "b").distinct()
             links = links.unionByName(self.verified(stars))
             rest = self.unsettled(rest, links)
         small = rest.where(F.col("size") <= self.small_bucket)
