@@ -6,6 +6,7 @@ of all words completes that to the probability of the word itself.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,8 +27,12 @@ PAD = CLASSES * MEMBERS
 SIDE = 2
 WIDTH, HIDDEN = 16, 32
 #: Words of an Adam step, and words scored at once.
-BATCH, SCORED = 8192, 32768
+BATCH = SCORED = 8192
 ROUNDS = 2
+#: Distinct words that a task holds while it counts.
+HELD = 1 << 20
+#: The length of an Adam step.
+RATE = 0.02
 BLOCK = 4096
 #: Byte values that a word may hold: no white space, and A-Z are a-z.
 LETTERS = int(np.sum(NOT_SPACE)) - 26
@@ -84,71 +89,81 @@ def contexts(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([line[at + d] for d in (*range(-SIDE, 0), *range(1, SIDE + 1))], 1)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    x -= x.max(1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
-
-
-def _chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log-softmax of one column per row. Changes ``x``."""
-    x -= x.max(1, keepdims=True)
-    own = x[np.arange(len(at)), at]
-    np.exp(x, out=x)
-    return own - np.log(x.sum(1))
-
-
-def _by_class(targets: np.ndarray):
-    """Rows of each class that occurs."""
-    order = np.argsort(targets // MEMBERS, kind="stable")
-    kinds, at = np.unique(targets[order] // MEMBERS, return_index=True)
-    return zip(kinds.tolist(), np.split(order, at[1:]))
+def _runs(numbers: np.ndarray) -> list[int]:
+    """Where each run of equal numbers starts, and the end."""
+    return [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(numbers)]
+
+
+def _forward(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray):
+    """The inputs and hidden units of words sorted by target; logits of the classes and, of each word's own class, of its
+    members, less their maxima; and the slices of equal class. Sorted rows make every class a slice without copying."""
+    inputs = w["embed"][around].reshape(len(targets), 2 * SIDE * WIDTH)
+    hidden = inputs @ w["mix"]
+    hidden += w["mix_bias"]
+    np.tanh(hidden, out=hidden)
+    of_class = hidden @ w["classes"]
+    of_class += w["class_bias"]
+    of_class -= of_class.max(1, keepdims=True)
+    of_word = np.empty((len(targets), MEMBERS), hidden.dtype)
+    kinds = targets // MEMBERS
+    bounds = _runs(kinds)
+    slices = [(int(kinds[a]), a, b) for a, b in zip(bounds, bounds[1:])] if len(kinds) else []
+    for kind, a, b in slices:
+        np.matmul(hidden[a:b], w["words"][kind], out=of_word[a:b])
+        of_word[a:b] += w["word_bias"][kind]
+    of_word -= of_word.max(1, keepdims=True)
+    return inputs, hidden, of_class, of_word, slices
 
 
 def log_probs(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """The log-probability of each word given those around it: that of its class, and of it within the class."""
-    inputs = w["embed"][around].reshape(len(around), 2 * SIDE * WIDTH)
-    hidden = np.tanh(inputs @ w["mix"] + w["mix_bias"])
-    out = _chosen(hidden @ w["classes"] + w["class_bias"], targets // MEMBERS)
-    for kind, rows in _by_class(targets):
-        out[rows] += _chosen(hidden[rows] @ w["words"][kind] + w["word_bias"][kind], targets[rows] % MEMBERS)
+    order = np.argsort(targets, kind="stable")
+    targets, rows = targets[order], np.arange(len(targets))
+    _, _, of_class, of_word, _ = _forward(w, around[order], targets)
+    own = of_class[rows, targets // MEMBERS] + of_word[rows, targets % MEMBERS]
+    np.exp(of_class, out=of_class)
+    np.exp(of_word, out=of_word)
+    out = np.empty(len(targets), own.dtype)
+    out[order] = own - np.log(of_class.sum(1) * of_word.sum(1))
     return out
 
 
 def gradients(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log-probability, by hand."""
     n = len(targets)
-    inputs = w["embed"][around].reshape(n, 2 * SIDE * WIDTH)
-    hidden = np.tanh(inputs @ w["mix"] + w["mix_bias"])
+    order = np.argsort(targets, kind="stable")
+    around, targets, rows = around[order], targets[order], np.arange(n)
+    inputs, hidden, of_class, of_word, slices = _forward(w, around, targets)
+    for logits, at in ((of_class, targets // MEMBERS), (of_word, targets % MEMBERS)):
+        # From logits to the error of the softmax, in place.
+        np.exp(logits, out=logits)
+        logits /= logits.sum(1, keepdims=True) * n
+        logits[rows, at] -= 1 / n
     g = {k: np.zeros_like(v) for k, v in w.items()}
-    error = _softmax(hidden @ w["classes"] + w["class_bias"])
-    error[np.arange(n), targets // MEMBERS] -= 1
-    error /= n
-    g["classes"], g["class_bias"] = hidden.T @ error, error.sum(0)
-    back = error @ w["classes"].T
-    for kind, rows in _by_class(targets):
-        own = hidden[rows]
-        error = _softmax(own @ w["words"][kind] + w["word_bias"][kind])
-        error[np.arange(len(rows)), targets[rows] % MEMBERS] -= 1
-        error /= n
-        g["words"][kind], g["word_bias"][kind] = own.T @ error, error.sum(0)
-        back[rows] += error @ w["words"][kind].T
-    back *= 1 - hidden * hidden
-    g["mix"], g["mix_bias"] = inputs.T @ back, back.sum(0)
+    np.matmul(hidden.T, of_class, out=g["classes"])
+    g["class_bias"][:] = of_class.sum(0)
+    back = of_class @ w["classes"].T
+    for kind, a, b in slices:
+        np.matmul(hidden[a:b].T, of_word[a:b], out=g["words"][kind])
+        g["word_bias"][kind] = of_word[a:b].sum(0)
+        back[a:b] += of_word[a:b] @ w["words"][kind].T
+    hidden *= hidden
+    back *= np.subtract(1, hidden, out=hidden)
+    np.matmul(inputs.T, back, out=g["mix"])
+    g["mix_bias"][:] = back.sum(0)
     spread = (back @ w["mix"].T).reshape(-1, WIDTH)
-    used = around.ravel()
+    used = around.ravel().astype(np.int16)
     order = np.argsort(used, kind="stable")
-    kinds, at = np.unique(used[order], return_index=True)
-    g["embed"][kinds] = np.add.reduceat(spread[order], at)
+    used = used[order]
+    at = _runs(used)[:-1]
+    g["embed"][used[at]] = np.add.reduceat(spread[order], at)
     return g
 
 
 class Adam:
     """Steps along gradients scaled by their running moments, over one flat vector."""
 
-    def __init__(self, size: int, rate: float = 0.01):
+    def __init__(self, size: int, rate: float = RATE):
         self.rate, self.t = rate, 0
         self.mean, self.square = np.zeros(size, np.float32), np.zeros(size, np.float32)
 
@@ -156,7 +171,8 @@ class Adam:
         self.t += 1
         self.mean += 0.1 * (g - self.mean)
         self.square += 0.01 * (g * g - self.square)
-        bias = np.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
+        # A plain float, as a NumPy double would turn the whole step into doubles.
+        bias = math.sqrt(1 - 0.99**self.t) / (1 - 0.9**self.t)
         vector -= (self.rate * bias) * self.mean / (np.sqrt(self.square) + 1e-8)
 
 
@@ -170,12 +186,32 @@ def _words(column: pa.Array):
 
 
 def _count(batches):
+    """The distinct words of a task with their counts, combined before they are handed on, ``HELD`` or more at a time."""
+    held, n_held = [], 0
+
+    def combined():
+        words, sizes, counts = (np.concatenate(c) for c in zip(*held))
+        words, at, back = np.unique(words, return_index=True, return_inverse=True)
+        return words, sizes[at], np.bincount(back, counts, len(words)).astype(np.int64)
+
+    def handed(words, sizes, counts):
+        for at in range(0, len(words), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(words[part]), pa.array(sizes[part]), pa.array(counts[part])], names=["word", "size", "n"])
+
     for batch in batches:
         for _, _, hashes, sizes, _ in _words(batch.column("text")):
             words, at, counts = np.unique(hashes.view(np.int64), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words), pa.array(sizes[at].astype(np.int32)), pa.array(counts.astype(np.int64))], names=["word", "size", "n"]
-            )
+            held.append((words, sizes[at].astype(np.int32), counts))
+            n_held += len(words)
+            if n_held > 2 * HELD:
+                held = [combined()]
+                n_held = len(held[0][0])
+                if n_held > HELD:
+                    yield from handed(*held[0])
+                    held, n_held = [], 0
+    if held:
+        yield from handed(*combined())
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -219,7 +255,7 @@ def log_share(n: Column, size: Column, totals: tuple[np.ndarray, np.ndarray]) ->
     return F.coalesce(F.log(n.cast("double")), F.element_at(by_class[1], kind) - spelt) - F.element_at(by_class[0], kind)
 
 
-def _train(shared):
+def _train(shared, salts: int):
     """One pass over a task's texts from the shared weights; emits the weights times the number of words, in blocks."""
 
     def run(batches):
@@ -236,7 +272,8 @@ def _train(shared):
         if total:
             parts = range(0, len(vector), BLOCK)
             sums = [(vector[at : at + BLOCK].astype(np.float64) * total).tobytes() for at in parts]
-            salt = TaskContext.get().partitionId() % 64
+            # The root of the number of tasks, so that no group of the two levels has more rows than that.
+            salt = TaskContext.get().partitionId() % salts
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(sums)), pa.int32()), pa.array([salt] * len(sums), pa.int32()), pa.array([total] * len(sums), pa.int64()), pa.array(sums, pa.binary())],
                 names=["block", "salt", "n", "weights"],
@@ -267,7 +304,8 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: i
     for number in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast(MaskedModel(hashes, numbers, weights))
         own = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == number)
-        made = write_through(own.mapInArrow(_train(shared), schema), "lm-weights")
+        salts = math.isqrt(max(1, own.rdd.getNumPartitions())) + 1
+        made = write_through(own.mapInArrow(_train(shared, salts), schema), "lm-weights")
         sums = made.groupBy("block", "salt").applyInPandas(_sum_block, schema).groupBy("block").applyInPandas(_sum_block, schema)
         blocks = sorted((r.block, r.n, bytes(r.weights)) for r in sums.collect())
         if blocks:
@@ -292,7 +330,7 @@ def score(docs: DataFrame, model: MaskedModel, text_col: str = "text", counts: D
     kept = [i for i in range(len(docs.columns)) if i != at]
     fields = [*(docs.schema.fields[i] for i in kept), T.StructField("n_tokens", T.LongType()), T.StructField("log_prob", T.DoubleType())]
     if counts is not None:
-        word = T.StructType([T.StructField("word", T.LongType()), T.StructField("size", T.IntegerType())])
+        word = T.StructType.fromDDL("word long, size int, times int")
         fields += [T.StructField("_lm_row", T.LongType()), T.StructField("_lm_rest", T.ArrayType(word))]
     schema, complete = T.StructType(fields), counts is not None
     names, shared = schema.names, docs.sparkSession.sparkContext.broadcast(model)
@@ -312,14 +350,22 @@ def score(docs: DataFrame, model: MaskedModel, text_col: str = "text", counts: D
                 n_tokens[i:j] = np.diff(first)
                 sums[i:j] = total[first[1:]] - total[first[:-1]]
                 if complete:
+                    # Each word once for every row that has it.
                     other = np.flatnonzero(ids >= KNOWN)
-                    rest.append((hashes[other].view(np.int64), sizes[other].astype(np.int32)))
-                    ends[i + 1 : j + 1] = n_rest + np.searchsorted(other, first[1:])
-                    n_rest += len(other)
+                    of_row, hashes = np.searchsorted(first, other, "right") - 1, hashes[other].view(np.int64)
+                    order = np.lexsort((hashes, of_row))
+                    of_row, hashes, sizes = of_row[order], hashes[order], sizes[other][order]
+                    new = np.ones(len(order), bool)
+                    new[1:] = (of_row[1:] != of_row[:-1]) | (hashes[1:] != hashes[:-1])
+                    at_new = np.flatnonzero(new)
+                    times = np.diff(np.append(at_new, len(order)))
+                    rest.append((hashes[at_new], sizes[at_new].astype(np.int32), times.astype(np.int32)))
+                    ends[i + 1 : j + 1] = n_rest + np.searchsorted(of_row[at_new], np.arange(j - i), "right")
+                    n_rest += len(at_new)
             made = [*(batch.column(c) for c in kept), pa.array(n_tokens), pa.array(sums)]
             if complete:
-                columns = [np.concatenate(c) for c in zip(*rest)] if rest else [np.zeros(0, np.int64), np.zeros(0, np.int32)]
-                words = pa.StructArray.from_arrays([pa.array(c) for c in columns], ["word", "size"])
+                columns = [np.concatenate(c) for c in zip(*rest)] if rest else [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+                words = pa.StructArray.from_arrays([pa.array(c) for c in columns], ["word", "size", "times"])
                 made += [pa.array(np.arange(row, row + batch.num_rows)), pa.ListArray.from_arrays(pa.array(ends), words)]
                 row += batch.num_rows
             yield pa.RecordBatch.from_arrays(made, names=names)
@@ -328,7 +374,8 @@ def score(docs: DataFrame, model: MaskedModel, text_col: str = "text", counts: D
     if complete:
         scored = write_through(scored, "lm-scores")
         words = scored.select("_lm_row", F.inline("_lm_rest")).join(counts.select("word", "n"), "word", "left")
-        shares = words.select("_lm_row", log_share(F.col("n"), F.col("size"), class_totals(counts, model)).alias("_lm_rest"))
+        share = log_share(F.col("n"), F.col("size"), class_totals(counts, model))
+        shares = words.select("_lm_row", (F.col("times") * share).alias("_lm_rest"))
         sums = shares.groupBy("_lm_row").agg(F.sum("_lm_rest").alias("_lm_rest"))
         scored = scored.drop("_lm_rest").join(sums, "_lm_row", "left")
         scored = scored.withColumn("log_prob", F.col("log_prob") + F.coalesce("_lm_rest", F.lit(0.0))).drop("_lm_row", "_lm_rest")
