@@ -55,12 +55,12 @@ def shipped(query: Callable) -> Callable:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the folder named by ``spark.checkpoint.dir``.
+    """A fresh path in the folder named by ``spark.checkpoint.dir``, or that the context was given.
 
-    Where that is unset a local folder serves, but only for a local master:
+    Where there is none a local folder serves, but only for a local master:
     executors on other machines would not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
@@ -83,6 +83,25 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select([f"`{c.replace('`', '``')}`" for c in df.columns if c.lower() not in taken])
 
 
+def any_names(operator: Callable) -> Callable:
+    """An operator that carries columns whose names hold dots or backticks, which Spark's maps over Arrow batches do not
+    take: such columns have other names while it runs."""
+
+    @functools.wraps(operator)
+    def run(*args, **kwargs):
+        at = next((i for i, a in enumerate(args) if isinstance(a, DataFrame)), None)
+        odd = {} if at is None else {c: f"_odd_{i}" for i, c in enumerate(args[at].columns) if "." in c or "`" in c}
+        if not odd:
+            return operator(*args, **kwargs)
+        args = list(args)
+        args[at] = args[at].toDF(*[odd.get(c, c) for c in args[at].columns])
+        out = operator(*args, **kwargs)
+        back = {new: old for old, new in odd.items()}
+        return out.toDF(*[back.get(c, c) for c in out.columns])
+
+    return run
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column without copying; NULL counts as empty."""
     if isinstance(column, pa.ChunkedArray):

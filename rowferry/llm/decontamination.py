@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_LOWER, WORDS, chunks, gram_hashes, utf8, without, word_hashes, word_spans, write_through
+from .common import ASCII_LOWER, WORDS, any_names, chunks, gram_hashes, utf8, without, word_hashes, word_spans, write_through
 
 GRAM = 5
 WINDOW = 10
@@ -162,6 +162,7 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, start, add, lambda state: state["sum"])
 
 
+@any_names
 def find_overlaps(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, carry: bool = True,
                   text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``items`` (ids as strings, sorted) and ``contaminated``.

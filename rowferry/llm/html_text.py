@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import without
+from .common import any_names, without
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -408,6 +408,7 @@ def main_text(html: str | None) -> str:
     return "\n".join(line for line in clean if line)
 
 
+@any_names
 def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` less the html, with ``text`` and ``n_chars`` (code points).
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, without, work_path, write_through
+from .common import any_names, mix, without, work_path, write_through
 
 SPACE = b" \t\n\x0b\x0c\r"
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -236,6 +236,7 @@ class LineIndex:
         new = changed.unionByName(kept).groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(update, FILTERS)
         new.write.parquet(f"{self.path}/filters/v{self.version}")
 
+    @any_names
     def apply(self, docs: DataFrame, inserted: bool = False, text_col: str = "text") -> DataFrame:
         """``docs`` less the lines whose key is frequent, with ``n_lines`` (before) and ``n_dropped``.
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NOT_SPACE, chunks, utf8, without, word_hashes, word_spans, write_through
+from .common import NOT_SPACE, any_names, chunks, utf8, without, word_hashes, word_spans, write_through
 
 #: Target words are numbered class * MEMBERS + member; the last class holds all other words by their length, within
 #: which ``word_counts`` tell them apart.
@@ -314,6 +314,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, seed: i
     return MaskedModel(hashes, numbers, weights)
 
 
+@any_names
 def score(docs: DataFrame, model: MaskedModel, text_col: str = "text", counts: DataFrame | None = None) -> DataFrame:
     """``docs`` less the text, with ``n_tokens``, ``log_prob`` (sum over its words of the log-probability given the two
     words on either side), ``mean_log_prob`` and ``perplexity``.

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_LOWER, NOT_SPACE, chunks, gram_hashes, mix, utf8, without, word_hashes, word_spans, write_through
+from .common import ASCII_LOWER, NOT_SPACE, any_names, chunks, gram_hashes, mix, utf8, without, word_hashes, word_spans, write_through
 
 SHINGLE = 5
 PERCENT = 75
@@ -323,6 +323,7 @@ class NearDuplicates:
         return with_words.unionByName(wordless)
 
 
+@any_names
 def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` (least id of the documents reachable over links) and ``kept``.
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import any_names, without
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -92,6 +92,7 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, " ", -1), "")
 
 
+@any_names
 def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Add the measures that the rules look at, all long: those of the contract and ``n_upper`` (A-Z),
     ``n_ends`` (of ``.!?``) and ``n_distinct`` (words). NULL text has none of anything; so has an empty one."""
@@ -226,6 +227,7 @@ def judge(measured: DataFrame, model: VoteModel, used: list[Rule], least: float
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= F.lit(least)))
 
 
+@any_names
 def rate_quality(docs: DataFrame, least: float = 0.5, text_col: str = "text", measured: DataFrame | None = None) -> DataFrame:
     """``docs`` with their measures, ``posterior``, ``base_failed`` and ``kept``.
 
