@@ -3,25 +3,27 @@
 With one unique key the first row of each key wins. With several, a row wins only
 if it has no key in common with an *accepted* earlier row: a row that lost by one
 key leaves its other keys free for later rows. Taken in order that is a loop over
-all rows; here it runs in rounds over all tasks. In a round every row that is the
-first of the open rows on each of its keys is accepted, and open rows that share a
-key with it are refused. What a row is refused for is worked out at the end.
+all rows; here every task runs it over a block of rows that follow each other, and
+what depends on open rows of earlier blocks waits for the next round. What a row is
+refused for is worked out at the end.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowferry.functions.keys import DELETED, DUPLICATE_KEY, any_null, column, key_text, normal_forms
 from rowferry.operators.classify import SOURCE_VALUE, conform
 from rowferry.operators.paging import number_rows
-from rowferry.sources.workdir import rows_of, write_through
+from rowferry.sources.workdir import empty, write_through
 from rowferry.spec import DestSpec
 
 CHECK, FOREIGN_KEY = "check:%s", "foreign_key:%s"
-#: Open keys that the driver settles in turn, instead of further rounds.
-IN_TURN = 20_000
+#: Unique keys of open rows that one task settles in turn.
+IN_TURN = 1 << 20
 
 
 def has_constraints(spec: DestSpec) -> bool:
@@ -66,44 +68,81 @@ def broken_rules(rows: DataFrame, spec: DestSpec) -> DataFrame:
     return rows
 
 
-def _in_turn(edges: DataFrame) -> DataFrame:
-    """A bounded number of open keys, row after row."""
-    of: dict[int, list[str]] = {}
-    for r in edges.select("row_no", "key").collect():
-        of.setdefault(r["row_no"], []).append(r["key"])
-    taken, won = set(), []
-    for row in sorted(of):
-        if taken.isdisjoint(of[row]):
-            taken.update(of[row])
-            won.append(row)
-    numbers = rows_of(edges.sparkSession, [(won,)], "won array<long>")
-    return numbers.select(F.explode("won").alias("row_no"))
+def _settling():
+    """What a task does with a block. Nested, so that it is sent to the workers whole and they need not have this package."""
+
+    def settle(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        """A block's open rows taken in order; those that are refused are left out. ``marks`` names the keys that earlier
+        rounds took and those that open rows of earlier blocks have, behind which nothing can be said yet."""
+        rows = rows.sort_values("row_no", kind="stable")
+        taken_before = marks["taken"].to_numpy(bool)
+        taken, unsure = set(marks["held"][taken_before].tolist()), set(marks["held"][~taken_before].tolist())
+        numbers, keys = rows["row_no"].to_numpy(), rows["key"].tolist()
+        starts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist()]
+        won, open_ = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        for at, end in zip(starts, [*starts[1:], len(keys)]):
+            own = keys[at:end]
+            if not taken.isdisjoint(own):
+                continue
+            if unsure.isdisjoint(own):
+                taken.update(own)
+                won[at:end] = True
+            else:
+                unsure.update(own)
+                open_[at:end] = True
+        first = np.zeros(len(keys), bool)
+        first[starts] = True
+        return pd.DataFrame({"row_no": numbers, "key": rows["key"].to_numpy(), "won": won, "first": first})[won | open_]
+
+    return settle
+
+
+def _blocks(edges: DataFrame, in_turn: int) -> DataFrame | None:
+    """The open rows in blocks, each of about ``in_turn`` keys and of rows that follow each other; None if there are none."""
+    width = max(1, in_turn // 8)
+    parts = edges.withColumn("part", F.expr(f"row_no div {width}"))
+    # One small row for each stretch of the order.
+    sizes = sorted(tuple(r) for r in parts.groupBy("part").count().collect())
+    if not sizes:
+        return None
+    block, full, placed = 0, 0, []
+    for part, n in sizes:
+        if full and full + n > in_turn:
+            block, full = block + 1, 0
+        placed.append((part, block))
+        full += n
+    of_part = edges.sparkSession.createDataFrame(pd.DataFrame(placed, columns=["part", "block"]), "part long, block int")
+    return parts.join(F.broadcast(of_part), "part").select("block", "row_no", "key")
 
 
 def accepted_rows(edges: DataFrame, in_turn: int = IN_TURN) -> DataFrame:
     """``row_no`` of the rows that a loop in the order of ``row_no`` would accept.
 
-    ``edges`` has one row for each unique key of a row: row_no, key, and n_keys, the number of the row's keys. Each
-    round combines per task before it shuffles, so a key of many rows costs a row per task. Rounds go on until few keys
-    are open, which the driver settles. They number as the longest chain of rows that each wait for the one before,
-    at worst; at random that is a logarithm of the rows.
+    ``edges`` has one row for each unique key of a row: row_no and key. The open rows are cut into blocks along their
+    order. In a round each task takes the rows of a block in turn: it accepts and refuses them as the loop would, but for
+    rows that share a key with an open one of an earlier block, or with one left open before them, which wait for the
+    next round. The first block waits for nothing, so there are no more rounds than blocks, however long the chains of
+    rows that each wait for the one before.
     """
-    won = []
-    while True:
-        n = edges.count()
-        if n <= in_turn:
-            won.append(_in_turn(edges))
-            break
-        first = edges.groupBy("key").agg(F.min(F.struct("row_no", "n_keys")).alias("first")).select("first.*")
-        new = first.groupBy("row_no", "n_keys").agg(F.count("*").alias("firsts")).where(F.col("firsts") == F.col("n_keys"))
-        new = write_through(new.select("row_no"), "round-won")
-        taken = edges.join(new, "row_no", "left_semi").select("key")
-        done = edges.join(taken, "key", "left_semi").select("row_no").distinct()
-        edges = write_through(edges.join(done, "row_no", "left_anti"), "round-open")
-        won.append(new)
-    out = won[0]
-    for more in won[1:]:
-        out = out.unionByName(more)
+    ids = edges.select("key").distinct().withColumn("id", F.monotonically_increasing_id())
+    ids = write_through(ids, "unique-ids")
+    open_ = write_through(edges.join(ids, "key").select("row_no", F.col("id").alias("key")), "unique-numbered")
+    wins: list[DataFrame] = []
+    while (rows := _blocks(open_, in_turn)) is not None:
+        seen = rows.select("key", "block", F.lit(False).alias("taken"))
+        if wins:
+            # What earlier rounds took is settled in the open rows already.
+            seen = seen.unionByName(wins[-1].select("key", F.lit(None).cast("int").alias("block"), F.lit(True).alias("taken")))
+        marks = seen.groupBy("key").agg(F.collect_set("block").alias("blocks"), F.max("taken").alias("taken"))
+        behind = F.filter("blocks", lambda b: F.col("taken") | (b > F.array_min("blocks")))
+        marks = marks.select(F.explode(behind).alias("at"), F.col("key").alias("held"), "taken")
+        done = rows.groupBy("block").cogroup(marks.groupBy("at")).applyInPandas(_settling(), "row_no long, key long, won boolean, first boolean")
+        done = write_through(done, "round")
+        wins.append(done.where("won"))
+        open_ = done.where(~F.col("won")).select("row_no", "key")
+    out = empty(edges.sparkSession, "row_no long")
+    for won in wins:
+        out = out.unionByName(won.where("first").select("row_no"))
     return out
 
 
@@ -131,8 +170,8 @@ def classify_constrained(
     # Numbers are written out with the rows: every round below reads the same ones.
     numbered = number_rows(rows, spec.primary_key)
     entries = numbered.where(F.col("_reason").isNull()).select("row_no", key_entries(numbered, spec).alias("keys"))
-    edges = entries.select("row_no", F.size("keys").alias("n_keys"), F.inline("keys"))
-    edges = edges.select("row_no", "n_keys", "which", F.concat_ws(":", "which", "key").alias("key"))
+    edges = entries.select("row_no", F.inline("keys"))
+    edges = edges.select("row_no", "which", F.concat_ws(":", "which", "key").alias("key"))
     edges = write_through(edges, "unique-keys")
     open_, occupied = edges, None
     if existing is not None:
@@ -140,7 +179,7 @@ def classify_constrained(
         occupied = existing.select(F.explode(key_entries(existing, spec)).alias("e")).select(F.concat_ws(":", "e.which", "e.key").alias("key")).distinct()
         refused = edges.join(occupied, "key", "left_semi").select("row_no").distinct()
         open_ = write_through(edges.join(refused, "row_no", "left_anti"), "unique-open")
-    won = write_through(accepted_rows(open_.select("row_no", "n_keys", "key"), in_turn), "unique-won")
+    won = accepted_rows(open_.select("row_no", "key"), in_turn)
     taken = edges.join(won, "row_no", "left_semi").select("key", F.col("row_no").alias("holder"))
     if occupied is not None:
         taken = taken.unionByName(occupied.select("key", F.lit(0).cast("long").alias("holder")))

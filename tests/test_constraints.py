@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowferry.operators import constraints
 from rowferry.operators.constraints import accepted_rows, classify_constrained
 from rowferry.plans.sync import sync
 from rowferry.sources.table import ConflictError, DestTable
+from rowferry.sources.workdir import write_through
 from rowferry.spec import DestSpec, JobSpec
 
 SCHEMA = T.StructType().add("id", "long").add("a", "string").add("b", "integer").add("c", "double")
@@ -80,6 +82,16 @@ def test_rounds_are_few_at_random(spark):
     assert {r.row_no for r in accepted_rows(edges, in_turn=100).collect()} == want
 
 
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """Every row waits for the one before; the rounds follow the blocks, not the chain."""
+    written = []
+    monkeypatch.setattr(constraints, "write_through", lambda df, label: written.append(label) or write_through(df, label))
+    chain = spark.range(0, 300).select(F.col("id").alias("row_no"), F.lit(2).alias("n_keys"), F.explode(F.transform(F.array(F.col("id"), F.col("id") + 1), lambda k: k.cast("string"))).alias("key"))
+    won = accepted_rows(chain, in_turn=200)
+    assert sorted(r.row_no for r in won.collect()) == list(range(0, 300, 2))
+    assert len(written) <= 6
+
+
 def test_checks_and_foreign_keys(spark):
     spark.createDataFrame([("a", 1), ("b", 2), ("b", 2), (None, 3)], "x string, y int").createOrReplaceTempView("parents")
     spec = DestSpec(SCHEMA, "id", unique={"c": "c"}, checks={"positive": "b > 0", "small": "c < 10 AND b < 100"},
