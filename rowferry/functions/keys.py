@@ -118,6 +118,19 @@ def normal_forms(df: DataFrame, keys: Sequence[str], collation: str | None) -> l
     return [normal_form(k, df.schema[k].dataType, collation) for k in keys]
 
 
+def key_json(df: DataFrame, keys: Sequence[str], collation: str | None) -> Column:
+    """Keys as one text that is equal exactly when they are."""
+    texts = []
+    for form, k in zip(normal_forms(df, keys, collation), keys):
+        dtype = df.schema[k].dataType
+        if isinstance(dtype, (T.ArrayType, T.StructType)):
+            texts.append(F.to_json(form, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}))
+            continue
+        # Zero has two forms.
+        texts.append(key_text(form + F.lit(0.0) if dtype.typeName() in ("float", "double") else form, dtype))
+    return F.to_json(F.array(*texts))
+
+
 def any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [column(k).isNull() for k in keys])
 

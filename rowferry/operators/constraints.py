@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowferry.functions.keys import DELETED, DUPLICATE_KEY, any_null, column, key_text, normal_forms
+from rowferry.functions.keys import DELETED, DUPLICATE_KEY, any_null, column, key_json, normal_forms
 from rowferry.operators.classify import SOURCE_VALUE, conform
 from rowferry.operators.paging import number_rows
 from rowferry.sources.workdir import empty, write_through
@@ -43,10 +43,8 @@ def key_entries(rows: DataFrame, spec: DestSpec) -> Column:
     """The row's unique keys as (which, key); one with a NULL part binds nothing."""
     entries = []
     for i, (_, columns) in enumerate(unique_keys(spec)):
-        forms = normal_forms(rows, columns, spec.key_collation)
-        # Zero has two forms.
-        texts = [key_text(f + F.lit(0.0) if rows.schema[c].dataType.typeName() in ("float", "double") else f, rows.schema[c].dataType) for f, c in zip(forms, columns)]
-        entries.append(F.when(~any_null(columns), F.struct(F.lit(i).alias("which"), F.to_json(F.array(*texts)).alias("key"))))
+        key = key_json(rows, columns, spec.key_collation)
+        entries.append(F.when(~any_null(columns), F.struct(F.lit(i).alias("which"), key.alias("key"))))
     return F.filter(F.array(*entries), lambda e: e.isNotNull())
 
 

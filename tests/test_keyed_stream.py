@@ -1,8 +1,10 @@
 """The stream with state of its own, and polling by key as a source."""
 
+import json
 import random
 from datetime import datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 from rowferry.functions.keys import DUPLICATE_KEY
 from rowferry.sources.keyset import KeysetReader, as_text, register
 from rowferry.spec import DestSpec, JobSpec
+from rowferry.streaming import keyed
 from rowferry.streaming.keyed import DELETE, GONE, IN, INSERT, LATE, settle, stream_keyed
 
 SCHEMA = T.StructType().add("id", "long").add("v", "string").add("at", "timestamp")
@@ -62,6 +65,50 @@ def test_batches_in_order_and_restarts(spark, place, tmp_path):
     assert schema
 
 
+def test_keys_are_settled_slot_by_slot(spark, place, tmp_path, monkeypatch):
+    """A call of Python and a row of state serve many keys."""
+    monkeypatch.setattr(keyed, "SLOTS", 8)
+    dest, _ = place(SPEC)
+    df = spark.range(300).select("id", F.lit("a").alias("v"), F.lit(None).cast("timestamp").alias("at"), F.explode(F.array(F.lit(0), (F.col("id") % 3 == 0).cast("int"))).alias("is_deleted"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    query = stream_keyed(stream, JOB, dest, str(tmp_path / "c"), F.col("is_deleted"))
+    query.awaitTermination()
+    assert {r.id for r in dest.read().collect()} == {i for i in range(300) if i % 3} and dest.rejects().count() == 200
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 8
+
+
+def test_a_slot_forgets_its_deleted_keys_one_by_one():
+    class State:
+        held, now, until, hasTimedOut = None, 1000, None, False
+        exists = property(lambda self: self.held is not None)
+        get = property(lambda self: self.held)
+
+        def getCurrentProcessingTimeMs(self):
+            return self.now
+
+        def update(self, held):
+            self.held = held
+
+        def remove(self):
+            self.held = None
+
+        def setTimeoutDuration(self, ms):
+            self.until = self.now + ms
+
+    def batch(*events):
+        return iter([pd.DataFrame(events, columns=["key", "place", "flagged", "text"])])
+
+    state, run = State(), keyed._settled(100)
+    got = [tuple(r) for f in run((0,), batch(("a", 1, True, "-a"), ("b", 1, False, "+b")), state) for r in f.itertuples(index=False)]
+    assert got == [("+b", "insert")] and state.until == 1100
+    state.now = 1050
+    assert [tuple(r) for f in run((0,), batch(("c", 5, True, "-c"), ("a", 1, False, "+a")), state) for r in f.itertuples(index=False)] == [("+a", "late")]
+    assert state.until == 1150
+    state.now, state.hasTimedOut = 1150, True
+    assert list(run((0,), iter([]), state)) == [] and set(json.loads(state.held[0])) == {"b"}
+
+
 def test_a_batch_does_not_read_the_destination(spark, place, tmp_path, monkeypatch):
     dest, _ = place(SPEC)
     df = spark.range(50).select("id", F.lit("a").alias("v"), F.lit(None).cast("timestamp").alias("at"), F.lit(0).alias("is_deleted"))
