@@ -413,7 +413,7 @@ def full_load_hot_keys(spark, sf):
 def full_load_joined_hot_keys(spark, sf):
     """As ``full_load_hot_keys``, of a query that ends in a join on the hot key: all its rows come from one task."""
     line = table(spark, sf, "lineitem")
-    names = line.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_flag")).hint("merge")
+    names = line.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_flag")).hint("shuffle_hash")
     joined = line.join(names, "l_returnflag").select(*LINE_KEY, "l_partkey", "l_suppkey", "l_returnflag", "n_flag")
     outcome = C.classify(joined, dest_spec(joined, "l_returnflag"))
     return outcome.select(

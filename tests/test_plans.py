@@ -51,3 +51,12 @@ def test_incremental_reads_only_new_keys(spark):
 def test_key_only_queries_read_key_columns(spark):
     text = plan(entry.queries()["delta_deleted_ids"](spark, SF))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in text
+
+
+def test_a_join_on_a_hot_key_sorts_nothing(spark, tmp_path):
+    """All rows of a hot key are in one task, which must not hold them to sort them."""
+    rows = spark.range(60).selectExpr("id l_orderkey", "1 l_linenumber", "id l_partkey", "id l_suppkey", "if(id % 9 = 0, 'A', 'N') l_returnflag")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = entry.queries()["full_load_joined_hot_keys"](spark, str(tmp_path))
+    assert "ShuffledHashJoin" in plan(out) and "SortMergeJoin" not in plan(out)
+    assert sorted((r.l_orderkey, r.n_flag) for r in out.where("outcome = 'accepted'").collect()) == [(0, 7), (1, 53)]
