@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -213,21 +214,29 @@ class NearDuplicates:
         """Nodes in buckets (``key``) of two or more, with the bucket's band, size and least node."""
         nodes = self.rows.join(self.classes.select(F.col("node").alias("_row")), "_row", "left_semi")
         each = nodes.select(F.col("_row").alias("node"), F.posexplode("_bands").alias("band", "key"))
-        buckets = each.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
-        return write_through(each.join(buckets, "key"), "near-buckets")
+        # One shuffle by key; a join with the buckets' sizes would take the keys through a second one.
+        bucket = W.partitionBy("key")
+        each = each.withColumns({"pivot": F.min("node").over(bucket), "size": F.count("*").over(bucket)})
+        return write_through(each.where("size > 1"), "near-buckets")
 
-    def sets(self, nodes: DataFrame) -> DataFrame:
-        """The full shingle sets of distinct nodes."""
+    def of_nodes(self, nodes: DataFrame, *columns: str) -> DataFrame:
+        """Rows of distinct nodes, which are sent to the rows where they are few."""
         wanted = write_through(nodes.distinct(), "near-nodes")
         few = wanted.count() <= self.broadcast_rows
         wanted = wanted.withColumnRenamed("node", "_row")
-        texts = self.rows.join(F.broadcast(wanted) if few else wanted, "_row", "left_semi")
-        texts = texts.select(F.col("_row").alias("node"), F.col(f"`{self.text_col}`").alias("text"))
+        return self.rows.join(F.broadcast(wanted) if few else wanted, "_row", "left_semi").select("_row", *map(F.col, columns))
+
+    def lows(self, members: DataFrame) -> DataFrame:
+        """The signatures that pairs are guessed by, of nodes in buckets only: few of all, and met in every round."""
+        return write_through(self.of_nodes(members.select("node"), "_low"), "near-lows")
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """The full shingle sets of distinct nodes."""
+        texts = self.of_nodes(nodes, f"`{self.text_col}`").toDF("node", "text")
         return write_through(texts.mapInArrow(_sets, "node long, shingles array<long>"), "near-sets")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame, low: DataFrame) -> DataFrame:
         """The pairs (a, b) that reach the threshold on their full sets. Signatures sort out clear misses before."""
-        low = self.rows.select("_row", "_low")
         guess = pairs.join(low.toDF("a", "a_low"), "a").join(low.toDF("b", "b_low"), "b").mapInArrow(_alike, "a long, b long")
         guess = write_through(guess, "near-pairs")
         sets = self.sets(guess.select(F.col("a").alias("node")).unionByName(guess.select(F.col("b").alias("node"))))
@@ -288,8 +297,9 @@ class NearDuplicates:
         comparison of all pairs.
         """
         members = self.members()
+        low = self.lows(members)
         stars = members.where((F.col("band") < ROUND) & (F.col("node") != F.col("pivot")))
-        links = self.verified(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
+        links = self.verified(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), low)
         rest = self.unsettled(members, links)
         # Other nodes of a bucket, another in each bucket, find most of what the least node is too unlike to.
         for seed in range(1, self.stars + 1):
@@ -297,7 +307,7 @@ class NearDuplicates:
             chosen = F.min(F.struct(F.xxhash64("node", "key", F.lit(seed)).alias("order"), F.col("node"), F.col("label")))
             pivots = now.groupBy("key").agg(chosen.alias("pivot")).select("key", "pivot.node", "pivot.label").toDF("key", "b", "b_label")
             stars = now.join(pivots, "key").where("label <> b_label").select(F.col("node").alias("a"), "b").distinct()
-            links = links.unionByName(self.verified(stars))
+            links = links.unionByName(self.verified(stars, low))
             rest = self.unsettled(rest, links)
         small = rest.where(F.col("size") <= self.small_bucket)
         a, b = small.select("key", "node", "label").toDF("key", "a", "a_label"), small.select("key", "node", "label").toDF("key", "b", "b_label")
@@ -305,7 +315,7 @@ class NearDuplicates:
         large = rest.where(F.col("size") > self.small_bucket).select("node", "label").distinct()
         if large.limit(1).count():
             pairs = pairs.unionByName(self.rare_pairs(write_through(large, "near-large"))).distinct()
-        return links.unionByName(self.verified(pairs))
+        return links.unionByName(self.verified(pairs, low))
 
     def result(self) -> DataFrame:
         """The input's columns with n_shingles, component_id and kept."""

@@ -94,3 +94,17 @@ def test_signature_estimates_similarity():
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert dict(map(tuple, components(edges).collect())) == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_only_nodes_in_buckets_are_dealt_by_their_signatures(spark):
+    """Of forty unlike texts and a pair of near copies only the pair's signatures go through the rounds."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(9000)], k=80)) for _ in range(40)]
+    texts.append(texts[0] + " end")
+    steps = minhash.NearDuplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    members = steps.members()
+    low = steps.lows(members)
+    assert low.count() == members.select("node").distinct().count() < 10
+    assert members.where("size < 2 or pivot > node").isEmpty() and members.select("key", "node").distinct().count() == members.count()
+    links = steps.verified(members.where("node <> pivot").selectExpr("node a", "pivot b").distinct(), low)
+    assert links.count() == 1
