@@ -31,6 +31,8 @@ BATCH = SCORED = 8192
 ROUNDS = 2
 #: Distinct words that a task holds while it counts.
 HELD = 1 << 20
+#: Logits up to this size need not be taken less their maxima: the product of two sums of 64 exponentials is a float.
+SAFE = 30.0
 #: The length of an Adam step.
 RATE = 0.02
 BLOCK = 4096
@@ -94,30 +96,39 @@ def _runs(numbers: np.ndarray) -> list[int]:
     return [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(numbers)]
 
 
+def _bound(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """What no logit exceeds in size, as hidden units are within 1."""
+    return (np.abs(weights).sum(-2) + np.abs(bias)).max(-1)
+
+
 def _forward(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray):
     """The inputs and hidden units of words sorted by target; logits of the classes and, of each word's own class, of its
-    members, less their maxima; and the slices of equal class. Sorted rows make every class a slice without copying."""
+    members, less their maxima where they may be large; and the slices of equal class. Sorted rows make every class a slice without copying."""
     inputs = w["embed"][around].reshape(len(targets), 2 * SIDE * WIDTH)
     hidden = inputs @ w["mix"]
     hidden += w["mix_bias"]
     np.tanh(hidden, out=hidden)
     of_class = hidden @ w["classes"]
     of_class += w["class_bias"]
-    of_class -= of_class.max(1, keepdims=True)
+    if not _bound(w["classes"], w["class_bias"]) <= SAFE:
+        of_class -= of_class.max(1, keepdims=True)
     of_word = np.empty((len(targets), MEMBERS), hidden.dtype)
     kinds = targets // MEMBERS
     bounds = _runs(kinds)
     slices = [(int(kinds[a]), a, b) for a, b in zip(bounds, bounds[1:])] if len(kinds) else []
+    bounds = _bound(w["words"], w["word_bias"])
     for kind, a, b in slices:
-        np.matmul(hidden[a:b], w["words"][kind], out=of_word[a:b])
-        of_word[a:b] += w["word_bias"][kind]
-    of_word -= of_word.max(1, keepdims=True)
+        own = of_word[a:b]
+        np.matmul(hidden[a:b], w["words"][kind], out=own)
+        own += w["word_bias"][kind]
+        if not bounds[kind] <= SAFE:
+            own -= own.max(1, keepdims=True)
     return inputs, hidden, of_class, of_word, slices
 
 
 def log_probs(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """The log-probability of each word given those around it: that of its class, and of it within the class."""
-    order = np.argsort(targets, kind="stable")
+    order = np.argsort(targets.astype(np.int16), kind="stable")
     targets, rows = targets[order], np.arange(len(targets))
     _, _, of_class, of_word, _ = _forward(w, around[order], targets)
     own = of_class[rows, targets // MEMBERS] + of_word[rows, targets % MEMBERS]
@@ -131,7 +142,7 @@ def log_probs(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray)
 def gradients(w: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log-probability, by hand."""
     n = len(targets)
-    order = np.argsort(targets, kind="stable")
+    order = np.argsort(targets.astype(np.int16), kind="stable")
     around, targets, rows = around[order], targets[order], np.arange(n)
     inputs, hidden, of_class, of_word, slices = _forward(w, around, targets)
     for logits, at in ((of_class, targets // MEMBERS), (of_word, targets % MEMBERS)):

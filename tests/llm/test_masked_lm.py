@@ -36,6 +36,20 @@ def test_gradients_against_differences():
         assert abs((ends[0] - ends[1]) / 2e-5 - g[name][at]) < 1e-6, name
 
 
+def test_maxima_are_taken_where_logits_are_large_only(monkeypatch):
+    rng = np.random.default_rng(1)
+    around, targets = rng.integers(0, lm.PAD + 1, (500, 4)), rng.integers(0, lm.PAD, 500)
+    small = {k: (rng.standard_normal(s) * 0.2).astype(np.float32) for k, s in lm.SHAPES.items()}
+    steep = {k: v * 500 if k in ("classes", "words") else v for k, v in small.items()}
+    assert lm._bound(small["words"], small["word_bias"]).max() < lm.SAFE < lm._bound(steep["words"], steep["word_bias"]).min()
+    assert lm._forward(small, around, targets)[2].max(1).min() > 0 and lm._forward(steep, around, targets)[2].max() == 0
+    got, far = lm.log_probs(small, around, targets), lm.log_probs(steep, around, targets)
+    assert np.isfinite(far).all() or far.min() == -np.inf and not np.isnan(far).any()
+    monkeypatch.setattr(lm, "SAFE", -1.0)
+    assert np.allclose(got, lm.log_probs(small, around, targets), atol=1e-4)
+    monkeypatch.undo()
+
+
 def test_probabilities_sum_to_one():
     w = lm.start_weights()
     around = np.repeat([[1, 2, 3, lm.PAD]], lm.PAD, 0)
