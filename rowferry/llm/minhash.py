@@ -162,8 +162,20 @@ def _alike(batches):
         yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(1) >= 0.5) if n else pa.array([], pa.bool_()))
 
 
-def similar(shared: Column, a: Column, b: Column) -> Column:
-    return 100 * shared >= PERCENT * (a + b - shared)
+def _similar(batches):
+    """The pairs whose full sets reach the threshold. Rows come sorted by ``b``, whose set is made once for a run of them."""
+    for batch in batches:
+        b = np.asarray(batch.column("b"))
+        new = np.ones(len(b), bool)
+        new[1:] = b[1:] != b[:-1]
+        others, other = shingle_sets(batch.column("b_text").filter(pa.array(new))), None
+        keep = []
+        for one, begins in zip(shingle_sets(batch.column("a_text")), new.tolist()):
+            if begins:
+                other = next(others)
+            shared = len(np.intersect1d(one, other, assume_unique=True))
+            keep.append(100 * shared >= PERCENT * (len(one) + len(other) - shared))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -204,16 +216,28 @@ class NearDuplicates:
         self.rows = write_through(made, "near-sketches")
         doc_id = F.col(f"`{id_col}`")
         first = F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.col("_row").alias("row")))
-        classes = self.rows.where(F.col("_copy").isNotNull()).groupBy("_copy").agg(first.alias("first"))
-        #: One row per class of equal word sequences: its digest, its first row, which is the node, and that row's id.
+        classes = self.rows.where(F.col("_copy").isNotNull()).groupBy("_copy").agg(first.alias("first"), F.count("*").alias("n"))
+        #: One row per class of equal word sequences: its digest, its first row, which is the node, that row's id, its size.
         self.classes = write_through(
-            classes.select("_copy", F.col("first.row").alias("node"), F.col("first.id").alias("id")), "near-classes"
+            classes.select("_copy", F.col("first.row").alias("node"), F.col("first.id").alias("id"), "n"), "near-classes"
         )
+        #: Pairs whose full sets were compared, for each time that some were.
+        self.compared: list[DataFrame] = []
+
+    def nodes(self) -> DataFrame:
+        """The rows that are nodes. Other rows of their classes are sent to the rows where they are few, so that the bands'
+        keys stay where they are."""
+        with_words = self.rows.where(F.col("_copy").isNotNull())
+        repeated = self.classes.where("n > 1").select("_copy", "node")
+        others = with_words.select("_copy", "_row").join(repeated, "_copy").where("_row <> node").select("_row")
+        others = write_through(others, "near-others")
+        if others.count() <= self.broadcast_rows:
+            return with_words.join(F.broadcast(others), "_row", "left_anti")
+        return with_words.join(self.classes.select(F.col("node").alias("_row")), "_row", "left_semi")
 
     def members(self) -> DataFrame:
         """Nodes in buckets (``key``) of two or more, with the bucket's band, size and least node."""
-        nodes = self.rows.join(self.classes.select(F.col("node").alias("_row")), "_row", "left_semi")
-        each = nodes.select(F.col("_row").alias("node"), F.posexplode("_bands").alias("band", "key"))
+        each = self.nodes().select(F.col("_row").alias("node"), F.posexplode("_bands").alias("band", "key"))
         # One shuffle by key; a join with the buckets' sizes would take the keys through a second one.
         bucket = W.partitionBy("key")
         each = each.withColumns({"pivot": F.min("node").over(bucket), "size": F.count("*").over(bucket)})
@@ -230,19 +254,29 @@ class NearDuplicates:
         """The signatures that pairs are guessed by, of nodes in buckets only: few of all, and met in every round."""
         return write_through(self.of_nodes(members.select("node"), "_low"), "near-lows")
 
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """The texts of distinct nodes."""
+        return self.of_nodes(nodes, f"`{self.text_col}`").toDF("node", "text")
+
     def sets(self, nodes: DataFrame) -> DataFrame:
         """The full shingle sets of distinct nodes."""
-        texts = self.of_nodes(nodes, f"`{self.text_col}`").toDF("node", "text")
-        return write_through(texts.mapInArrow(_sets, "node long, shingles array<long>"), "near-sets")
+        return write_through(self.texts(nodes).mapInArrow(_sets, "node long, shingles array<long>"), "near-sets")
 
     def verified(self, pairs: DataFrame, low: DataFrame) -> DataFrame:
-        """The pairs (a, b) that reach the threshold on their full sets. Signatures sort out clear misses before."""
+        """The pairs (a, b), in any order, that reach the threshold on their full sets and were not compared before.
+
+        Signatures sort out clear misses first. Texts are dealt to the pairs, as their sets are several times larger once
+        compressed, and a pair that was refused in one round is not dealt its texts again in the next.
+        """
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        for known in self.compared:
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
         guess = pairs.join(low.toDF("a", "a_low"), "a").join(low.toDF("b", "b_low"), "b").mapInArrow(_alike, "a long, b long")
         guess = write_through(guess, "near-pairs")
-        sets = self.sets(guess.select(F.col("a").alias("node")).unionByName(guess.select(F.col("b").alias("node"))))
-        full = guess.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
-        full = full.withColumn("shared", F.size(F.array_intersect("a_set", "b_set")))
-        return write_through(full.where(similar(F.col("shared"), F.size("a_set"), F.size("b_set"))).select("a", "b"), "near-links")
+        self.compared.append(guess)
+        texts = self.texts(guess.select(F.col("a").alias("node")).unionByName(guess.select(F.col("b").alias("node"))))
+        full = guess.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
+        return write_through(full.select("a", "b", "a_text", "b_text").mapInArrow(_similar, "a long, b long"), "near-links")
 
     def rare_pairs(self, nodes: DataFrame) -> DataFrame:
         """An exact way for nodes of large buckets: pairs that share one of their rarest shingles.
@@ -299,22 +333,22 @@ class NearDuplicates:
         members = self.members()
         low = self.lows(members)
         stars = members.where((F.col("band") < ROUND) & (F.col("node") != F.col("pivot")))
-        links = self.verified(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), low)
+        links = self.verified(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")), low)
         rest = self.unsettled(members, links)
         # Other nodes of a bucket, another in each bucket, find most of what the least node is too unlike to.
         for seed in range(1, self.stars + 1):
             now = rest.where((F.col("band") >= seed * ROUND) & (F.col("band") < (seed + 1) * ROUND))
             chosen = F.min(F.struct(F.xxhash64("node", "key", F.lit(seed)).alias("order"), F.col("node"), F.col("label")))
             pivots = now.groupBy("key").agg(chosen.alias("pivot")).select("key", "pivot.node", "pivot.label").toDF("key", "b", "b_label")
-            stars = now.join(pivots, "key").where("label <> b_label").select(F.col("node").alias("a"), "b").distinct()
+            stars = now.join(pivots, "key").where("label <> b_label").select(F.col("node").alias("a"), "b")
             links = links.unionByName(self.verified(stars, low))
             rest = self.unsettled(rest, links)
         small = rest.where(F.col("size") <= self.small_bucket)
         a, b = small.select("key", "node", "label").toDF("key", "a", "a_label"), small.select("key", "node", "label").toDF("key", "b", "b_label")
-        pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))).select("a", "b").distinct()
+        pairs = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label"))).select("a", "b")
         large = rest.where(F.col("size") > self.small_bucket).select("node", "label").distinct()
         if large.limit(1).count():
-            pairs = pairs.unionByName(self.rare_pairs(write_through(large, "near-large"))).distinct()
+            pairs = pairs.unionByName(self.rare_pairs(write_through(large, "near-large")))
         return links.unionByName(self.verified(pairs, low))
 
     def result(self) -> DataFrame:

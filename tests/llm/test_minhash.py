@@ -108,3 +108,29 @@ def test_only_nodes_in_buckets_are_dealt_by_their_signatures(spark):
     assert members.where("size < 2 or pivot > node").isEmpty() and members.select("key", "node").distinct().count() == members.count()
     links = steps.verified(members.where("node <> pivot").selectExpr("node a", "pivot b").distinct(), low)
     assert links.count() == 1
+
+
+def test_pairs_are_dealt_texts_and_compared_once(spark, monkeypatch):
+    """A pair that was compared is not compared again the other way round, and rounds write no sets of shingles."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(9000)]
+    base = rng.choices(words, k=60)
+    texts = [" ".join(base), " ".join(base[:57] + rng.choices(words, k=3)), " ".join(base[:50] + rng.choices(words, k=10))]
+    labels = []
+    monkeypatch.setattr(minhash, "write_through", lambda df, label, write=minhash.write_through: (labels.append(label), write(df, label))[1])
+    steps = minhash.NearDuplicates(spark.createDataFrame(list(enumerate(texts + texts[:1])), "doc_id long, text string").coalesce(1))
+    members = steps.members()
+    node = [r.node for r in members.select("node").distinct().orderBy("node").collect()]
+    low = steps.lows(members)
+    pairs = spark.createDataFrame([(node[1], node[0]), (node[0], node[1]), (node[2], node[0])], "a long, b long")
+    assert [tuple(r) for r in steps.verified(pairs, low).collect()] == [(node[1], node[0])]
+    assert steps.compared[0].count() == 2
+    assert steps.verified(pairs.selectExpr("b a", "a b"), low).isEmpty() and steps.compared[1].isEmpty()
+    assert "near-sets" not in labels
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_nodes_are_first_rows_of_classes_with_words(spark, broadcast_rows):
+    rows = [(5, "a b c"), (3, "A  b c"), (None, "a b c"), (3, "a b c"), (7, "d"), (8, None), (9, " ")]
+    steps = minhash.NearDuplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), broadcast_rows=broadcast_rows)
+    assert sorted((r.doc_id, r.text) for r in steps.nodes().collect()) == [(3, "A  b c"), (7, "d")]
