@@ -61,3 +61,32 @@ def test_random_strings_are_less_likely_than_text(spark, tmp_path):
     docs.union(spark.createDataFrame(made, docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
     out = {r.doc_id: r.mean_log_prob for r in op7_masked_lm(spark, str(tmp_path)).collect()}
     assert all(out[k] > out[-1 - k] for k in texts)
+
+
+def test_frequent_words_are_scored_where_texts_are_read(spark, monkeypatch):
+    """The table of frequent words changes no score, and what it holds is not joined."""
+    rng = random.Random(2)
+    common = [f"c{i}" for i in range(lm.KNOWN + 400)]
+    rows = [(k, " ".join([*rng.sample(common, 1500), *common[-40:], f"rare{k}"])) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    counts = lm.word_counts(docs)
+    model = lm.train(docs, counts=counts)
+    more = docs.union(spark.createDataFrame([(40, "never seen c1 c2 " * 3), (41, None)], docs.schema))
+    written = []
+    monkeypatch.setattr(lm, "write_through", lambda df, label, write=lm.write_through: written.append((label, write(df, label))) or written[-1][1])
+
+    def scored(frequent, places):
+        monkeypatch.setattr(lm, "FREQUENT", frequent)
+        monkeypatch.setattr(lm, "PLACES", places)
+        out = {r.doc_id: r.log_prob for r in lm.score(more, model, counts=counts).collect()}
+        return out, [df for label, df in written if label == "lm-scores"][-1].selectExpr("sum(size(_lm_rest)) n").first().n
+
+    (none, joined), (some, fewer), (all_, least) = scored(0, 1 << 8), scored(200, 1 << 8), scored(1 << 18, 1 << 20)
+    assert joined > fewer > least >= 2
+    for k, want in none.items():
+        assert abs(some[k] - want) < 1e-6 and abs(all_[k] - want) < 1e-6
+    words, logs = lm.frequent_words(counts, model)
+    n_of = {r.word: r.n for r in lm.beyond(counts, model).collect()}
+    kept = np.flatnonzero(logs >= 0)
+    assert len(kept) > 0.98 * len(n_of)
+    assert all(abs(logs[k] - np.log(n_of[int(words[k].astype(np.int64))])) < 1e-12 for k in kept.tolist())
