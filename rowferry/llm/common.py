@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that are turned into arrays at once; a longer document is a chunk of its own.
 CHUNK = 2 << 20
+#: Bytes that are hashed at once, so that what is made of them stays in a core's cache.
+PIECE = 1 << 16
 
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
@@ -171,7 +173,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + CHUNK // 2, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
         base, top = starts[i], ends[j - 1]
         power, inverse = _tables(int(top - base) + 1)
         piece = data[base:top]

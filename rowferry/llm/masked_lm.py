@@ -74,13 +74,24 @@ class MaskedModel:
     numbers: np.ndarray
     weights: dict[str, np.ndarray]
 
+    def __post_init__(self):
+        """Per first 16 bits of a hash, where hashes with these bits begin, and whether two or more of them have these."""
+        starts = np.searchsorted(self.hashes, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
+        self.first = np.minimum(starts, max(0, len(self.hashes) - 1))
+        self.several = np.diff(starts, append=len(self.hashes)) > 1
+
     def ids(self, hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Word numbers of the network; a word that is not in the vocabulary has that of its length in bytes."""
         out = KNOWN + np.minimum(sizes, MEMBERS - 1)
         if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            known = self.hashes[at] == hashes
-            out[known] = self.numbers[at[known]]
+            bits = (hashes >> np.uint64(48)).astype(np.int64)
+            at = self.first.take(bits)
+            known = self.hashes.take(at) == hashes
+            again = np.flatnonzero(self.several.take(bits) & ~known)
+            if len(again):
+                at[again] = np.minimum(np.searchsorted(self.hashes, hashes[again]), len(self.hashes) - 1)
+                known[again] = self.hashes[at[again]] == hashes[again]
+            out = np.where(known, self.numbers.take(at), out)
         return out
 
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from rowferry.llm import common
 from rowferry.llm import masked_lm as lm
 from rowferry.llm.queries import op7_masked_lm
 
@@ -90,3 +91,28 @@ def test_frequent_words_are_scored_where_texts_are_read(spark, monkeypatch):
     kept = np.flatnonzero(logs >= 0)
     assert len(kept) > 0.98 * len(n_of)
     assert all(abs(logs[k] - np.log(n_of[int(words[k].astype(np.int64))])) < 1e-12 for k in kept.tolist())
+
+
+def test_numbers_of_words_whose_hashes_begin_alike(monkeypatch):
+    rng = np.random.default_rng(4)
+    hashes = np.unique(np.concatenate([rng.integers(0, 2**64, 300, np.uint64), (np.uint64(7) << np.uint64(48)) + rng.integers(0, 2**40, 30, np.uint64), np.array([0, 2**64 - 1], np.uint64)]))
+    known, numbers = hashes[::2], rng.permutation(len(hashes[::2]))
+    model = lm.MaskedModel(known, numbers, {})
+    sizes = rng.integers(1, 100, len(hashes))
+    number = dict(zip(known.tolist(), numbers.tolist()))
+    want = [number.get(h, lm.KNOWN + min(n, lm.MEMBERS - 1)) for h, n in zip(hashes.tolist(), sizes.tolist())]
+    assert model.several.sum() >= 1 and model.ids(hashes, sizes).tolist() == want
+    assert lm.MaskedModel(known[:0], numbers[:0], {}).ids(hashes[:1], sizes[:1]).tolist() == [lm.KNOWN + min(int(sizes[0]), lm.MEMBERS - 1)]
+    assert lm.MaskedModel(known[:1], np.array([5]), {}).ids(known, np.ones(len(known), np.int64)).tolist() == [5] + [lm.KNOWN + 1] * (len(known) - 1)
+
+
+def test_hashes_do_not_depend_on_pieces(monkeypatch):
+    """Words are hashed in pieces of a fixed number of bytes, far fewer than those of a chunk of rows."""
+    text = " ".join(random.Random(3).choices(["a", "Bc", "déf", "w" * 200], k=3000)).encode()
+    data = np.frombuffer(text, np.uint8)
+    starts, ends, _ = common.word_spans(data, np.array([0, len(data)]), common.NOT_SPACE)
+    got = common.word_hashes(data, starts, ends)
+    for piece in (1, 100, 1 << 30):
+        monkeypatch.setattr(common, "PIECE", piece)
+        assert (common.word_hashes(data, starts, ends) == got).all()
+    assert len(set(got.tolist())) == 4
