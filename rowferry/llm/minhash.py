@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,9 @@ CELLS = 1 << 20
 #: A bucket of more classes than this is not compared pair by pair.
 SMALL_BUCKET = 32
 
+#: Pairs whose texts are unpacked together.
+UNPACKED = 256
+
 _LOWER = ASCII_LOWER.tobytes()
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -162,19 +166,31 @@ def _alike(batches):
         yield batch.select(["a", "b"]).filter(pa.array((a == b).mean(1) >= 0.5) if n else pa.array([], pa.bool_()))
 
 
+def _packed(batches):
+    for batch in batches:
+        packed = [zlib.compress(x.as_buffer(), 1) for x in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], names=["node", "text"])
+
+
 def _similar(batches):
-    """The pairs whose full sets reach the threshold. Rows come sorted by ``b``, whose set is made once for a run of them."""
+    """The pairs whose full sets reach the threshold. Rows come sorted by ``b``, whose set is made once for a run of them.
+    A few texts at a time are unpacked."""
     for batch in batches:
-        b = np.asarray(batch.column("b"))
-        new = np.ones(len(b), bool)
-        new[1:] = b[1:] != b[:-1]
-        others, other = shingle_sets(batch.column("b_text").filter(pa.array(new))), None
         keep = []
-        for one, begins in zip(shingle_sets(batch.column("a_text")), new.tolist()):
-            if begins:
-                other = next(others)
-            shared = len(np.intersect1d(one, other, assume_unique=True))
-            keep.append(100 * shared >= PERCENT * (len(one) + len(other) - shared))
+        for part in (batch.slice(i, UNPACKED) for i in range(0, batch.num_rows, UNPACKED)):
+            b = np.asarray(part.column("b"))
+            new = np.ones(len(b), bool)
+            new[1:] = b[1:] != b[:-1]
+            ones, others = (
+                shingle_sets(pa.array([zlib.decompress(x.as_buffer()) for x in texts], pa.large_binary()))
+                for texts in (part.column("a_text"), part.column("b_text").filter(pa.array(new)))
+            )
+            other = None
+            for one, begins in zip(ones, new.tolist()):
+                if begins:
+                    other = next(others)
+                shared = len(np.intersect1d(one, other, assume_unique=True))
+                keep.append(100 * shared >= PERCENT * (len(one) + len(other) - shared))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -266,7 +282,7 @@ class NearDuplicates:
         """The pairs (a, b), in any order, that reach the threshold on their full sets and were not compared before.
 
         Signatures sort out clear misses first. Texts are dealt to the pairs, as their sets are several times larger once
-        compressed, and a pair that was refused in one round is not dealt its texts again in the next.
+        compressed; they are packed, as a batch of rows has two for each pair. A pair that was refused in one round is not dealt its texts again in the next.
         """
         pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         for known in self.compared:
@@ -275,6 +291,7 @@ class NearDuplicates:
         guess = write_through(guess, "near-pairs")
         self.compared.append(guess)
         texts = self.texts(guess.select(F.col("a").alias("node")).unionByName(guess.select(F.col("b").alias("node"))))
+        texts = texts.mapInArrow(_packed, "node long, text binary")
         full = guess.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
         return write_through(full.select("a", "b", "a_text", "b_text").mapInArrow(_similar, "a long, b long"), "near-links")
 
