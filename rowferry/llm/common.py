@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import os
 import shutil
@@ -27,6 +28,10 @@ WORDS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 
+#: Rows that a Parquet reader hands on together and bytes that are sent to Python together. Spark's own bounds are 4,096
+#: rows and 10,000, or tens of MB of texts in each buffer.
+BATCHES = {"spark.sql.parquet.columnarReaderBatchSize": "256", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -77,6 +82,19 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run within hand texts on in batches bounded by ``BATCHES``. What the session sets itself stays."""
+    unset = [k for k in BATCHES if spark.conf.get(k, None) is None]
+    for k in unset:
+        spark.conf.set(k, BATCHES[k])
+    try:
+        yield
+    finally:
+        for k in unset:
+            spark.conf.unset(k)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` less its columns of these names, which an operator is about to add."""
     taken = {n.lower() for n in names}

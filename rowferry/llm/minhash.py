@@ -13,7 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_LOWER, NOT_SPACE, any_names, chunks, gram_hashes, mix, utf8, without, word_hashes, word_spans, write_through
+from .common import (
+    ASCII_LOWER, NOT_SPACE, any_names, chunks, gram_hashes, mix, small_batches, utf8, without, word_hashes, word_spans, write_through,
+)
 
 SHINGLE = 5
 PERCENT = 75
@@ -200,8 +202,8 @@ def components(edges: DataFrame) -> DataFrame:
     Labels spread to neighbours and jump to the label's own label, so the rounds grow with the logarithm of the longest
     path. Each round is written, and only counts of changed labels reach the driver.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = write_through(both, "near-edges")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = write_through(edges.select(F.inline(ways)), "near-edges")
     labels = both.groupBy("a").agg(F.min("b").alias("other"))
     labels = write_through(labels.select(F.col("a").alias("node"), F.least("a", "other").alias("label")), "near-labels")
     while True:
@@ -396,4 +398,5 @@ def near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     one with the least id, the first of those if ids repeat; NULL ids come last, so a component of NULL ids has a NULL
     component_id and still keeps one row. Columns named like added ones are replaced. An empty table gives no rows.
     """
-    return NearDuplicates(docs, text_col, id_col, small_bucket).result()
+    with small_batches(docs.sparkSession):
+        return NearDuplicates(docs, text_col, id_col, small_bucket).result()

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from rowferry.llm import minhash
+from rowferry.llm import common, minhash
 from rowferry.llm.minhash import components, near_duplicates, shingle_sets, signature
 
 SF = "/root/testdata/sf0.01"
@@ -134,3 +134,45 @@ def test_nodes_are_first_rows_of_classes_with_words(spark, broadcast_rows):
     rows = [(5, "a b c"), (3, "A  b c"), (None, "a b c"), (3, "a b c"), (7, "d"), (8, None), (9, " ")]
     steps = minhash.NearDuplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), broadcast_rows=broadcast_rows)
     assert sorted((r.doc_id, r.text) for r in steps.nodes().collect()) == [(3, "A  b c"), (7, "d")]
+
+
+def test_texts_are_handed_on_in_small_batches(spark, monkeypatch):
+    """24 MB of texts in one task reach Python a few MB at a time, and the session keeps its settings."""
+
+    def bounded(step):
+        def run(batches):
+            for batch in batches:
+                if batch.nbytes > 6 << 20:
+                    raise ValueError(f"{batch.nbytes} bytes in a batch")
+                yield from step(iter([batch]))
+
+        return run
+
+    def sketched(step):
+        return lambda batches: step(b for batch in batches for b in bounded(iter)(iter([batch])))
+
+    keys = list(common.BATCHES)
+    before = [spark.conf.get(k, None) for k in keys]
+    read = []
+    sketches, packed = minhash._sketches, minhash._packed
+    monkeypatch.setattr(minhash, "_sketches", lambda at, names: sketched(sketches(at, names)))
+    monkeypatch.setattr(minhash, "_packed", bounded(packed))
+    monkeypatch.setattr(minhash, "write_through", lambda df, label, write=minhash.write_through: (read.append(spark.conf.get(keys[0])), write(df, label))[1])
+    texts = "concat(array_join(transform(sequence(1, 1200), i -> concat('w', id div 2, 'x', i)), ' '), if(id % 2 = 0, '', ' end'))"
+    docs = spark.range(0, 2400, 1, 1).selectExpr("id AS doc_id", f"{texts} AS text")
+    out = near_duplicates(docs)
+    assert set(read) == {"256"}
+    assert out.where("kept").count() == 1200 and out.where("component_id <> doc_id - doc_id % 2").isEmpty()
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_batches_of_the_session_stay(spark):
+    key, other = common.BATCHES
+    spark.conf.set(key, "1000")
+    try:
+        with pytest.raises(ValueError), common.small_batches(spark):
+            assert spark.conf.get(key) == "1000" and spark.conf.get(other) == common.BATCHES[other]
+            raise ValueError
+        assert spark.conf.get(key) == "1000" and spark.conf.get(other, None) is None
+    finally:
+        spark.conf.unset(key)
