@@ -82,16 +82,22 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-@contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs that run within hand texts on in batches bounded by ``BATCHES``. What the session sets itself stays."""
+def bound_batches(spark: SparkSession) -> list[str]:
+    """Bounds batches by ``BATCHES`` from here on, but for what the session sets itself; the settings that were made."""
     unset = [k for k in BATCHES if spark.conf.get(k, None) is None]
     for k in unset:
         spark.conf.set(k, BATCHES[k])
+    return unset
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run within hand texts on in bounded batches."""
+    made = bound_batches(spark)
     try:
         yield
     finally:
-        for k in unset:
+        for k in made:
             spark.conf.unset(k)
 
 

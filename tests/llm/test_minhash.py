@@ -168,11 +168,13 @@ def test_texts_are_handed_on_in_small_batches(spark, monkeypatch):
 
 def test_batches_of_the_session_stay(spark):
     key, other = common.BATCHES
+    before = spark.conf.get(other, None)
+    mine = spark.conf.get(key, None)
     spark.conf.set(key, "1000")
     try:
         with pytest.raises(ValueError), common.small_batches(spark):
             assert spark.conf.get(key) == "1000" and spark.conf.get(other) == common.BATCHES[other]
             raise ValueError
-        assert spark.conf.get(key) == "1000" and spark.conf.get(other, None) is None
+        assert spark.conf.get(key) == "1000" and spark.conf.get(other, None) == before
     finally:
-        spark.conf.unset(key)
+        spark.conf.unset(key) if mine is None else spark.conf.set(key, mine)

@@ -98,3 +98,12 @@ def test_edge_rows(spark, tmp_path):
         spark.createDataFrame([(1, None), (None, "some item of the benchmark")] if data else [], "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
         got = sorted({str(r.doc_id) for r in cp.run(spark, place).collect()})
         assert got == (["2", "None"] if data else [])
+
+
+def test_what_a_stage_returns_hands_texts_on_in_small_batches(spark, tmp_path):
+    """24 MB of texts in one file reach Python a few MB at a time, although the stage's result is run by its caller."""
+    text = "concat(array_join(transform(sequence(1, 1200), i -> concat('w', id, 'x', i)), ' '), '\\n')"
+    spark.range(0, 2400, 1, 1).selectExpr("id AS doc_id", f"{text} AS text", "'en' AS lang", "'web' AS source", "0L AS n_chars").write.parquet(f"{tmp_path}/docs")
+    out = cp.line_dedup(spark, spark.read.parquet(f"{tmp_path}/docs"), str(tmp_path))
+    sizes = out.mapInArrow(lambda batches: (b.select(["doc_id"]).append_column("n", [[b.nbytes] * b.num_rows]) for b in batches), "doc_id long, n long")
+    assert max(r.n for r in sizes.collect()) < 6 << 20 and sizes.count() == 2400
