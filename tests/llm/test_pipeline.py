@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as cp
@@ -105,5 +106,5 @@ def test_what_a_stage_returns_hands_texts_on_in_small_batches(spark, tmp_path):
     text = "concat(array_join(transform(sequence(1, 1200), i -> concat('w', id, 'x', i)), ' '), '\\n')"
     spark.range(0, 2400, 1, 1).selectExpr("id AS doc_id", f"{text} AS text", "'en' AS lang", "'web' AS source", "0L AS n_chars").write.parquet(f"{tmp_path}/docs")
     out = cp.line_dedup(spark, spark.read.parquet(f"{tmp_path}/docs"), str(tmp_path))
-    sizes = out.mapInArrow(lambda batches: (b.select(["doc_id"]).append_column("n", [[b.nbytes] * b.num_rows]) for b in batches), "doc_id long, n long")
+    sizes = out.mapInArrow(lambda batches: (b.select(["doc_id"]).append_column("n", pa.array([b.nbytes] * b.num_rows, pa.int64())) for b in batches), "doc_id long, n long")
     assert max(r.n for r in sizes.collect()) < 6 << 20 and sizes.count() == 2400
